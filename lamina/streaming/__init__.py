@@ -1,5 +1,5 @@
 """Structured Streaming jobs: incremental, exactly-once ingest of new facts."""
 
-from lamina.streaming.ingest import IngestReport, InvalidFactsError, ingest, ingest_snapshot
+from lamina.streaming.ingest import IngestReport, InvalidFactsError, ingest, ingest_snapshot, snapshot_new
 
-__all__ = ["IngestReport", "InvalidFactsError", "ingest", "ingest_snapshot"]
+__all__ = ["IngestReport", "InvalidFactsError", "ingest", "ingest_snapshot", "snapshot_new"]

@@ -47,6 +47,25 @@ def ingest_snapshot(store: FactStore, consume: bool = True, max_files: int = MAX
     return reader.parquet(store.new_path)
 
 
+def snapshot_new(store: FactStore, path: str, checkpoint: str | None = None) -> int:
+    """Copy the not-yet-snapshotted new facts to ``path`` (S7 as a dataset).
+
+    The file sink commits each batch to its ``_spark_metadata`` log, so readers of
+    ``path`` see exactly the committed snapshot. Returns the number of batches."""
+    query = (
+        ingest_snapshot(store, consume=False)
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint or f"{path}_checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return len(query.recentProgress)
+
+
 def absorb_batch(store: FactStore, report: IngestReport):
     """``foreachBatch`` body: shred, check and absorb one micro-batch."""
 
