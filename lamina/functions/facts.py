@@ -166,21 +166,44 @@ def property_id(du: str = "dataunit") -> Column:
 
 
 def with_target(facts: DataFrame) -> DataFrame:
-    """Add ``unit_id`` and ``property_id``."""
+    """Add ``unit_id`` and ``property_id`` (P1) unless already present."""
+    if "unit_id" in facts.columns:
+        return facts
     return facts.withColumn("unit_id", unit_id()).withColumn("property_id", property_id())
 
 
+def only_unit(facts: DataFrame, unit: int, prop: int | None = None) -> DataFrame:
+    """Facts of one kind. Uses the ``unit_id``/``property_id`` columns when present
+    (partition pruning on stored data; a cheap test on the raw union otherwise) and
+    the arm tag expression when not.
+
+    Operators filter on these columns rather than on arms of a rewritten union, so
+    the optimizer never pushes a filter through a rewrite and evaluates it twice."""
+    if "unit_id" in facts.columns:
+        out = facts.where(F.col("unit_id") == unit)
+        return out.where(F.col("property_id") == prop) if prop is not None else out
+    out = facts.where(unit_id() == unit)
+    return out.where(property_id() == prop) if prop is not None else out
+
+
 # --- P5: nested replacement -------------------------------------------------------
 
 
 def set_nested(du: Column, arm: str, path: str, value: Column) -> Column:
     """Replace ``arm.path`` inside the union column ``du``; other arms pass unchanged.
 
-    Only the arm is rebuilt, guarded by the arm being set (``withField`` on a null
-    struct would make a struct of nulls), so the union expression is referenced once
-    and chained replacements stay linear in size."""
-    arm_col = du.getField(arm)
-    return du.withField(arm, F.when(arm_col.isNotNull(), arm_col.withField(path, value)))
+    Only the arm is rebuilt (``withField`` keeps a null arm null), so chained
+    replacements stay linear in size. The union itself (required, never null) is
+    rebuilt as a plain struct of its arms: the optimizer then resolves a later
+    ``dataunit.<arm>...`` reference straight to the arm expression, and a filter
+    pushed below the rewrite does not evaluate the other arms."""
+    fields = []
+    for f in S.DATAUNIT.fields:
+        part = du.getField(f.name)
+        if f.name == arm:
+            part = part.withField(path, value)
+        fields.append(part.alias(f.name))
+    return F.struct(*fields)
 
 
 # --- flat projection ----------------------------------------------------------------

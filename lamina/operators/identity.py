@@ -16,8 +16,9 @@ Two fixpoints compute the same map ``id -> smallest id of its connected componen
 No step collects a neighbour list: per-node facts come from ``min``/``max``
 aggregates (partial aggregation before the shuffle, so a hub node costs one row per
 map task) joined back to the edges, and AQE's skew join splits a hub's edges across
-tasks. Each round's output is cut from the lineage by a reliable checkpoint (or a
-written Parquet table), so a lost executor recomputes at most one round.
+tasks. Each round's output is written as a Parquet table in the shared checkpoint
+folder (or cut by a reliable checkpoint), so a lost executor recomputes at most one
+round, and the next round's joins are planned from real table sizes.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.functions.facts import set_nested
-from lamina.session import checkpoint_stage
+from lamina import schema as S
+from lamina.functions.facts import only_unit, set_nested
+from lamina.session import default_stage
 
 MAX_ROUNDS = 64
 
@@ -150,9 +152,10 @@ def equiv_fixpoint(
     """Repeat :func:`equiv_round` until a round has no progress edge.
 
     Returns the last round's edges ``(a=smallest, b=id)`` and the number of rounds.
-    ``stage(df, name)`` persists each round (default: reliable checkpoint); the
-    progress test then reads the staged round, not its lineage."""
-    stage = stage or checkpoint_stage
+    ``stage(df, name)`` persists each round (default: a Parquet table in the shared
+    checkpoint folder); the progress test then reads the staged round, not its
+    lineage."""
+    stage = stage or default_stage(edges.sparkSession)
     current = edges.select("a", "b")
     for i in range(1, max_rounds + 1):
         flagged = stage(equiv_round(current), f"equiv_round_{i}")
@@ -207,7 +210,7 @@ def star_fixpoint(
     """Alternate large-star and small-star until the graph is a star forest.
 
     Returns star edges ``(a=id, b=smallest)`` and the number of rounds."""
-    stage = stage or checkpoint_stage
+    stage = stage or default_stage(edges.sparkSession)
     oriented = drop_self_loops(edges).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
@@ -265,6 +268,8 @@ def resolve_person(joined: DataFrame) -> DataFrame:
 
 
 def normalize_user_ids(views: DataFrame, canon: DataFrame) -> DataFrame:
-    """Page views with every person replaced by its canonical id (J2); page views only."""
-    v = views.where(F.col("dataunit.page_view").isNotNull()).select("pedigree", "dataunit")
+    """Page views with every person replaced by its canonical id (J2); page views only.
+    Partition columns, when present, are kept."""
+    v = only_unit(views, S.UNIT_PAGE_VIEW)
+    v = v.select("pedigree", "dataunit", *[c for c in ("unit_id", "property_id") if c in v.columns])
     return resolve_person(person_left_join(v, canon))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lamina import schema as S
 from lamina.functions import buckets as B
-from lamina.functions.facts import property_id, unit_id
+from lamina.functions.facts import only_unit, property_id, unit_id
 
 FACT_COLUMNS = ["pedigree", "dataunit"]
 
@@ -23,7 +23,7 @@ def dedup_pageviews(views: DataFrame) -> DataFrame:
     """Distinct page-view facts (A6): equal pedigree (time, source, system), person,
     page and nonce. Hash aggregate with partial distinct before the shuffle, so many
     redeliveries of one fact cost one row per map task."""
-    return views.where(F.col("dataunit.page_view").isNotNull()).select(*FACT_COLUMNS).distinct()
+    return only_unit(views, S.UNIT_PAGE_VIEW).select(*FACT_COLUMNS).distinct()
 
 
 def is_url_page(views: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lamina import schema as S
+from lamina.functions.facts import with_target
 from lamina.operators import identity as I
 from lamina.operators import pageviews as PV
 from lamina.operators.urls import normalize_urls
@@ -24,16 +25,23 @@ def unique_pageviews(
     stage_root: str | None = None,
     method: str = "star",
 ) -> DataFrame:
-    """Normalized, deduplicated page-view facts from any fact dataset."""
-    normalized = normalize_urls(facts)
+    """Normalized, deduplicated page-view facts from any fact dataset.
+
+    Facts are tagged with ``unit_id``/``property_id`` from the raw union first, so
+    every later "page views only" filter tests a column computed before the URL
+    rewrite (on stored data: the partition column itself)."""
+    facts = with_target(facts)
     if stage_root:
-        normalized = stage_facts(normalized, f"{stage_root}/normalized_urls")
+        normalized = stage_facts(normalize_urls(facts), f"{stage_root}/normalized_urls")
+        views = scan_unit(normalized, S.UNIT_PAGE_VIEW)
+    else:
+        views = normalize_urls(scan_unit(facts, S.UNIT_PAGE_VIEW))
     if canon is None:
-        canon = I.canonical_ids(I.equiv_pairs(scan_unit(normalized, S.UNIT_EQUIV)), method=method)
-    users = I.normalize_user_ids(scan_unit(normalized, S.UNIT_PAGE_VIEW), canon)
+        canon = I.canonical_ids(I.equiv_pairs(scan_unit(facts, S.UNIT_EQUIV)), method=method)
+    users = I.normalize_user_ids(views, canon)
     if stage_root:
         users = stage_facts(users, f"{stage_root}/normalized_pageview_users")
-    unique = PV.dedup_pageviews(scan_unit(users, S.UNIT_PAGE_VIEW))
+    unique = PV.dedup_pageviews(users)
     if stage_root:
         unique = stage_facts(unique, f"{stage_root}/unique_pageviews")
     return unique

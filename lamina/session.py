@@ -75,6 +75,14 @@ def parquet_stage(root: str) -> "callable":
     return stage
 
 
+def default_stage(spark: SparkSession):
+    """Stage function for iterative jobs: each step becomes a Parquet table in a fresh
+    folder under the shared checkpoint folder. Unlike an RDD checkpoint, a table
+    carries file sizes, so the planner can choose broadcast or sort-merge joins on
+    the next step from real sizes."""
+    return parquet_stage(workspace(spark, "stage"))
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for assertions on local test folders)."""
     return path[5:] if path.startswith("file:") else path
@@ -83,6 +91,7 @@ def local_path(path: str) -> str:
 __all__ = [
     "build_session",
     "checkpoint_stage",
+    "default_stage",
     "ensure_checkpoint_dir",
     "local_path",
     "parquet_stage",

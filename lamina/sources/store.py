@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina import schema as S
-from lamina.functions.facts import arm_count, property_id, unit_id
+from lamina.functions.facts import arm_count, only_unit, property_id, unit_id
 from lamina.sources import fs
 
 FACT_COLUMNS = ["pedigree", "dataunit"]
@@ -110,15 +110,7 @@ def scan_unit(facts: DataFrame, unit: int, prop: int | None = None) -> DataFrame
     """One fact kind (S4). On a partitioned dataset the predicate on the partition
     column prunes directories (``PartitionFilters``); on other data it is a filter
     on the arm tag."""
-    if "unit_id" in facts.columns:
-        out = facts.where(F.col("unit_id") == unit)
-        if prop is not None:
-            out = out.where(F.col("property_id") == prop)
-        return out
-    out = facts.where(unit_id() == unit)
-    if prop is not None:
-        out = out.where(property_id() == prop)
-    return out
+    return only_unit(facts, unit, prop)
 
 
 def scan_with_path(spark: SparkSession, path: str, schema=S.MASTER) -> DataFrame:
