@@ -32,7 +32,9 @@ from lamina import schema as S
 from lamina.functions.facts import only_unit, set_nested
 from lamina.session import default_stage
 
-MAX_ROUNDS = 64
+# Loop guard only: a fixpoint that has not converged raises, it never returns a
+# partial map. Both methods need O(log n)-O(log^2 n) rounds.
+MAX_ROUNDS = 256
 
 Stage = Callable[[DataFrame, str], DataFrame]
 

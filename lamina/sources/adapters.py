@@ -38,12 +38,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def epoch_seconds(df: DataFrame, col: str):
-    """Whole epoch seconds of a timestamp column, independent of the session time
-    zone: ``TIMESTAMP_NTZ`` values are read as UTC wall time."""
+    """Whole epoch seconds of a timestamp column (fraction dropped toward -inf),
+    independent of the session time zone. ``TIMESTAMP_NTZ`` values are wall times
+    read as UTC: days since the epoch from the wall date, plus the wall clock
+    fields, so no time-zone conversion (and no DST shift) can enter."""
     dtype = df.schema[col].dataType
+    c = F.col(col)
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(col))
-    return F.unix_seconds(F.col(col))
+        days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    return F.unix_seconds(c)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -237,9 +237,10 @@ class FactStore:
         """Merge master's small files into few (S12); contents unchanged.
 
         Writes the next generation range-partitioned on ``(unit_id, property_id,
-        time)``: a big kind is spread over many tasks in proportion to its size,
-        a small kind lands in one file, and files come out sorted by time (tight
-        min/max statistics for pushdown). The row count is checked from Parquet
+        time, fact hash, row id)``: a big kind is spread over many tasks in
+        proportion to its size, a small kind lands in one file, and even a hot group
+        of identical facts (one time, one hash) is split by the row id. Files come
+        out sorted by time (tight min/max statistics for pushdown). The row count is checked from Parquet
         footers before the pointer moves; the old generation is then removed."""
         spark = self.spark
         old_path = self.master_path()
@@ -249,8 +250,17 @@ class FactStore:
         gen = int(self.generation().split("-")[1]) + 1
         new_name = f"gen-{gen:05d}"
         new_path = f"{self.master_root}/{new_name}"
+        secs = F.col("pedigree.true_as_of_secs")
         (
-            old.repartitionByRange(n_parts, "unit_id", "property_id", F.col("pedigree.true_as_of_secs"))
+            old.repartitionByRange(
+                n_parts,
+                "unit_id",
+                "property_id",
+                secs,
+                F.xxhash64("dataunit", "pedigree"),
+                F.monotonically_increasing_id(),
+            )
+            .sortWithinPartitions("unit_id", "property_id", secs)
             .withColumn("ingest_id", F.lit(CONSOLIDATED_INGEST_ID).cast("bigint"))
             .write.mode("overwrite")
             .partitionBy(*S.PARTITION_COLUMNS)
