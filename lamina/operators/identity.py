@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lamina import schema as S
@@ -145,6 +145,25 @@ def progress_count(flagged: DataFrame) -> int:
 # --- I2, I3: fixpoints ---------------------------------------------------------------
 
 
+def _observed_sum(df: DataFrame, name: str, flag) -> tuple[DataFrame, Observation]:
+    """Attach a counter of rows where ``flag`` holds; it is filled by whatever job
+    runs the plan (the stage write), so no extra pass is needed. Retried tasks can
+    only over-count, and callers test the counter for zero."""
+    obs = Observation(name)
+    return df.observe(obs, F.sum(F.when(flag, 1).otherwise(0)).alias("n")), obs
+
+
+def _count(obs: Observation, staged: DataFrame) -> int:
+    """The counter's value. When the optimizer proved the input empty it drops the
+    observed node and no metrics arrive; that is confirmed on the staged result."""
+    try:
+        return int(obs.get.get("n") or 0)
+    except Exception:
+        if staged.isEmpty():
+            return 0
+        raise
+
+
 def equiv_fixpoint(
     edges: DataFrame,
     stage: Stage | None = None,
@@ -155,73 +174,66 @@ def equiv_fixpoint(
 
     Returns the last round's edges ``(a=smallest, b=id)`` and the number of rounds.
     ``stage(df, name)`` persists each round (default: a Parquet table in the shared
-    checkpoint folder); the progress test then reads the staged round, not its
-    lineage."""
+    checkpoint folder); the progress edges are counted while the round is written
+    (A9), so each round is one job."""
     stage = stage or default_stage(edges.sparkSession)
     current = edges.select("a", "b")
     for i in range(1, max_rounds + 1):
-        flagged = stage(equiv_round(current), f"equiv_round_{i}")
-        has_progress = not flagged.where(F.col("progress")).isEmpty()
+        flagged, progress = _observed_sum(equiv_round(current), f"equiv_round_{i}", F.col("progress"))
+        flagged = stage(flagged, f"equiv_round_{i}")
         if trace is not None:
             trace.append(flagged)
-        if not has_progress:
+        if _count(progress, flagged) == 0:
             return flagged.select("a", "b"), i
         current = flagged.select("a", "b")
     raise FixpointError(f"equiv_fixpoint did not converge in {max_rounds} rounds")
 
 
-def _large_star(oriented: DataFrame) -> DataFrame:
+def _large_star(oriented: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Large-star: every node links its larger neighbours to the smallest member of
-    its closed neighbourhood. Output oriented ``a > b``, distinct."""
+    its closed neighbourhood. Output oriented ``a > b``, distinct. The counter is
+    the number of links to a node other than the emitting one."""
     bi = bidirectional_edges(oriented)
     mins = bi.groupBy("a").agg(F.min("b").alias("min_b")).select(
         "a", F.least(F.col("a"), F.col("min_b")).alias("m")
     )
-    return (
-        bi.where(F.col("b") > F.col("a"))
-        .join(mins, "a")
-        .select(F.col("b").alias("a"), F.col("m").alias("b"))
-        .distinct()
-    )
+    emitted = bi.where(F.col("b") > F.col("a")).join(mins, "a")
+    emitted, obs = _observed_sum(emitted, name, F.col("m") != F.col("a"))
+    return emitted.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), obs
 
 
-def _small_star(oriented: DataFrame) -> DataFrame:
+def _small_star(oriented: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Small-star: every node links itself and its smaller neighbours to the smallest
-    of them. Input and output oriented ``a > b``, distinct."""
+    of them. Input and output oriented ``a > b``, distinct. The counter is the
+    number of moved edges (a node with more than one smaller neighbour)."""
     mins = oriented.groupBy("a").agg(F.min("b").alias("m"))
-    moved = (
-        oriented.join(mins, "a")
-        .where(F.col("b") != F.col("m"))
-        .select(F.col("b").alias("a"), F.col("m").alias("b"))
-    )
-    return moved.unionByName(mins.select("a", F.col("m").alias("b"))).distinct()
-
-
-def _is_star_forest(oriented: DataFrame) -> bool:
-    """True when every node has at most one smaller neighbour and that neighbour has
-    none: each component is a star around its smallest id. One aggregate."""
-    out_rows = oriented.select(F.col("a").alias("n"), F.lit(1).alias("o"), F.lit(0).alias("i"))
-    in_rows = oriented.select(F.col("b").alias("n"), F.lit(0).alias("o"), F.lit(1).alias("i"))
-    per_node = out_rows.unionByName(in_rows).groupBy("n").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
-    return per_node.where((F.col("o") > 1) | ((F.col("o") > 0) & (F.col("i") > 0))).isEmpty()
+    moved = oriented.join(mins, "a").where(F.col("b") != F.col("m"))
+    moved, obs = _observed_sum(moved, name, F.lit(True))
+    moved = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.unionByName(mins.select("a", F.col("m").alias("b"))).distinct(), obs
 
 
 def star_fixpoint(
     edges: DataFrame, stage: Stage | None = None, max_rounds: int = MAX_ROUNDS
 ) -> tuple[DataFrame, int]:
-    """Alternate large-star and small-star until the graph is a star forest.
-
-    Returns star edges ``(a=id, b=smallest)`` and the number of rounds."""
+    """Alternate large-star and small-star until a round changes nothing.
+
+    A round with no relink in large-star and no move in small-star proves the
+    graph is a star forest around each component's smallest id: then every node
+    with a larger neighbour has no smaller one, and every other node has exactly
+    one smaller neighbour. Both counters are filled by the round's write, so each
+    round is one job. Returns star edges ``(a=id, b=smallest)`` and the number of
+    rounds."""
     stage = stage or default_stage(edges.sparkSession)
     oriented = drop_self_loops(edges).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     oriented = stage(oriented.distinct(), "star_0")
-    if oriented.isEmpty():
-        return oriented, 0
     for i in range(1, max_rounds + 1):
-        oriented = stage(_small_star(_large_star(oriented)), f"star_{i}")
-        if _is_star_forest(oriented):
+        large, relinked = _large_star(oriented, f"large_star_{i}")
+        small, moved = _small_star(large, f"small_star_{i}")
+        oriented = stage(small, f"star_{i}")
+        if _count(relinked, oriented) == 0 and _count(moved, oriented) == 0:
             return oriented, i
     raise FixpointError(f"star_fixpoint did not converge in {max_rounds} rounds")
 
