@@ -71,6 +71,11 @@ def page_view_unit(person, page, nonce) -> Column:
     )
 
 
+def page_view_arm(page_view) -> Column:
+    """The union holding an existing page-view arm, cast to the declared schema."""
+    return _unit(page_view=_c(page_view)).cast(S.DATAUNIT)
+
+
 def equiv_unit(id1, id2) -> Column:
     return _unit(equiv=F.struct(_c(id1).alias("id1"), _c(id2).alias("id2")))
 

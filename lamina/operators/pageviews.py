@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lamina import schema as S
 from lamina.functions import buckets as B
-from lamina.functions.facts import only_unit, property_id, unit_id
+from lamina.functions.facts import only_unit, page_view_arm, property_id, unit_id
 
 FACT_COLUMNS = ["pedigree", "dataunit"]
 
@@ -22,8 +22,14 @@ FACT_COLUMNS = ["pedigree", "dataunit"]
 def dedup_pageviews(views: DataFrame) -> DataFrame:
     """Distinct page-view facts (A6): equal pedigree (time, source, system), person,
     page and nonce. Hash aggregate with partial distinct before the shuffle, so many
-    redeliveries of one fact cost one row per map task."""
-    return only_unit(views, S.UNIT_PAGE_VIEW).select(*FACT_COLUMNS).distinct()
+    redeliveries of one fact cost one row per map task.
+
+    A page-view fact has its other three arms null (that is what ``unit_id = 4``
+    means), so the key is ``(pedigree, page_view)`` and the union is rebuilt after
+    the shuffle: the scan reads only the page-view leaves, and the shuffle carries
+    no null arms."""
+    pv = only_unit(views, S.UNIT_PAGE_VIEW).select("pedigree", F.col("dataunit.page_view").alias("pv")).distinct()
+    return pv.select("pedigree", page_view_arm(F.col("pv")).alias("dataunit"))
 
 
 def is_url_page(views: DataFrame) -> DataFrame:

@@ -50,3 +50,19 @@ def test_no_python_udf_in_any_query(spark, name):
 def test_batch_view_has_two_aggregation_shuffles(spark):
     plan = _plan(catalog.q_pageview_batch_view(spark, SMALL))
     assert plan.count("HashAggregate") >= 4
+
+
+def test_full_view_path_prunes_other_arms(master):
+    from lamina.operators import identity as I
+    from lamina.operators.urls import normalize_urls
+
+    m = master.read_master()
+    canon = I.canonical_ids(I.equiv_pairs(ST.scan_unit(m, S.UNIT_EQUIV)))
+    views = normalize_urls(ST.scan_unit(m, S.UNIT_PAGE_VIEW))
+    view = PV.pageview_batch_view(PV.dedup_pageviews(I.normalize_user_ids(views, canon)))
+    plan = _plan(view)
+    scan_schema = [line for line in plan.split("\n") if "ReadSchema" in line and "page_view" in line][0]
+    for arm in ("person_property", "page_property", "equiv"):
+        assert arm not in scan_schema
+    filters = [line for line in plan.split("\n") if "Filter " in line]
+    assert filters and not any("regexp" in line for line in filters)  # the URL rule is never re-run in a filter
