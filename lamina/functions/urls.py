@@ -17,22 +17,33 @@ URL_PATTERN = (
     r"(?::[0-9]*)?(/[^?#]*)?(?:[?#].*)?$"
 )
 KNOWN_SCHEMES = ["http", "https", "ftp"]
-# Leading and trailing blanks are not part of a URL.
-BLANKS_PATTERN = r"^\s+|\s+$"
+# Leading and trailing blanks (space, tab, newline, vertical tab, form feed, carriage
+# return) are not part of a URL.
+BLANKS = " \t\n\x0b\f\r"
+# Separator between scheme and host+path in the rewritten text; it cannot occur in a
+# scheme, so the first one found is the separator.
+_SEP = "\x01"
 
 
 def normalize_url(url) -> Column:
-    """Normalized form of ``url`` (a column or column name)."""
+    """Normalized form of ``url`` (a column or column name).
+
+    One anchored ``regexp_replace`` rewrites a parsable URL to
+    ``scheme <SEP> host+path``; an unparsable one is left as it was, so "the text
+    changed" means "it parsed". Blanks are cut by a plain character trim, not a
+    regex: two passes over the string in all."""
     raw = F.col(url) if isinstance(url, str) else url
-    text = F.regexp_replace(raw, BLANKS_PATTERN, "")
-    scheme = F.lower(F.regexp_extract(text, URL_PATTERN, 1))
-    rebuilt = F.concat(scheme, F.lit("://"), F.regexp_extract(text, URL_PATTERN, 2), F.regexp_extract(text, URL_PATTERN, 3))
-    return F.when(scheme.isin(*KNOWN_SCHEMES), rebuilt).otherwise(raw)
+    text = F.btrim(raw, F.lit(BLANKS))
+    rewritten = F.regexp_replace(text, URL_PATTERN, "$1" + _SEP + "$2$3")
+    scheme = F.lower(F.substring_index(rewritten, _SEP, 1))
+    rest = F.split(rewritten, _SEP, 2).getItem(1)
+    parsed = (rewritten != text) & scheme.isin(*KNOWN_SCHEMES)
+    return F.when(parsed, F.concat(scheme, F.lit("://"), rest)).otherwise(raw)
 
 
 def sql_normalize_url(expr: str) -> str:
     """The same rule as ANSI/DuckDB SQL text over the SQL expression ``expr``."""
-    text = f"regexp_replace({expr}, '{BLANKS_PATTERN}', '', 'g')"
+    text = f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
     pat = URL_PATTERN.replace("'", "''")
 
     def g(i: int) -> str:

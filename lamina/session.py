@@ -63,14 +63,26 @@ def checkpoint_stage(df: DataFrame, name: str = "") -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def parquet_stage(root: str) -> "callable":
+def parquet_stage(root: str, keep_last: int | None = None) -> "callable":
     """A stage function that writes each named step as a Parquet table under ``root``
-    and reads it back (S14): the rounds survive the session, not only the job."""
+    and reads it back (S14): the rounds survive the session, not only the job.
+
+    With ``keep_last`` only that many of the most recent tables are kept: an
+    iteration reads just the previous round, so older rounds are deleted once a
+    newer one is written."""
+    written: list[str] = []
 
     def stage(df: DataFrame, name: str) -> DataFrame:
         path = f"{root.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        out = df.sparkSession.read.schema(df.schema).parquet(path)
+        written.append(path)
+        if keep_last is not None:
+            from lamina.sources import fs
+
+            while len(written) > keep_last:
+                fs.delete(df.sparkSession, written.pop(0))
+        return out
 
     return stage
 
@@ -80,7 +92,7 @@ def default_stage(spark: SparkSession):
     folder under the shared checkpoint folder. Unlike an RDD checkpoint, a table
     carries file sizes, so the planner can choose broadcast or sort-merge joins on
     the next step from real sizes."""
-    return parquet_stage(workspace(spark, "stage"))
+    return parquet_stage(workspace(spark, "stage"), keep_last=2)
 
 
 def local_path(path: str) -> str:

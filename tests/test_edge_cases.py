@@ -177,3 +177,30 @@ def test_scan_tolerant_reports_truncated_file(spark, tmp_root):
     assert scan.files_listed == 3 and scan.files_read == 2
     assert len(scan.lost_files) == 1 and scan.lost_files[0].endswith(files[0])
     assert 0 < scan.facts.count() < 30
+
+
+def test_normalize_url_random_agrees_with_sql(spark):
+    import random
+
+    rng = random.Random(17)
+    parts = {
+        "lead": ["", " ", "\t", "  "],
+        "scheme": ["http", "HTTPS", "ftp", "Ftp", "custom", "h2", "", "1http", "mailto"],
+        "sep": ["://", ":/", "//", ":"],
+        "user": ["", "u@", "u:p@", "a@b@"],
+        "host": ["foo.com", "Foo.COM", "foo_bar.com", "[::1]", "[", "", "a b", "xn--d.de", "ü.de"],
+        "port": ["", ":80", ":", ":abc", ":99999999999"],
+        "path": ["", "/", "/a/b", "/a b", "/x;p=1", "/./../", "/\x01x", "/ü"],
+        "tail": ["", "?q=1", "#f", "?a#b", "?x=/y", "#\n", "?"],
+        "trail": ["", " ", "\n", " \t"],
+    }
+    urls = []
+    for _ in range(3000):
+        urls.append("".join(rng.choice(parts[k]) for k in parts))
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string")
+    got = {r.i: r.n for r in df.select("i", normalize_url("u").alias("n")).collect()}
+    con = duckdb.connect()
+    con.register("t", df.toPandas())
+    exp = {r[0]: r[1] for r in con.execute(f"SELECT i, {sql_normalize_url('u')} FROM t").fetchall()}
+    bad = [(urls[i], got[i], exp[i]) for i in range(len(urls)) if got[i] != exp[i]]
+    assert not bad, bad[:5]
