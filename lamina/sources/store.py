@@ -127,8 +127,20 @@ def scan_with_path(spark: SparkSession, path: str, schema=S.MASTER) -> DataFrame
 class TolerantScan:
     facts: DataFrame
     files_listed: int
-    files_read: int
-    lost_files: list[str]
+    lost: DataFrame  # one row per listed file that yielded no row: ``file_path``
+
+    @property
+    def lost_count(self) -> int:
+        return self.lost.count()
+
+    @property
+    def files_read(self) -> int:
+        return self.files_listed - self.lost_count
+
+    @property
+    def lost_files(self) -> list[str]:
+        """The lost files, for reporting (one row per damaged file)."""
+        return [r[0] for r in self.lost.orderBy("file_path").collect()]
 
 
 def scan_tolerant(spark: SparkSession, path: str, schema=S.FACT) -> TolerantScan:
@@ -137,15 +149,15 @@ def scan_tolerant(spark: SparkSession, path: str, schema=S.FACT) -> TolerantScan
     Corrupt files are skipped (``ignoreCorruptFiles``) instead of failing the job;
     transient faults are retried by ``spark.task.maxFailures``. Files listed but not
     seen among the rows' ``_metadata.file_path`` are reported as lost (an empty file
-    counts as lost too; it is reported, not failed)."""
+    counts as lost too; it is reported, not failed). The report is a DataFrame: an
+    anti join of the listing with the distinct file paths of the rows."""
     df = scan_facts(spark, path, schema, tolerant=True)
-    listed = spark.createDataFrame([(p,) for p in df.inputFiles()], "file_path string").select(
+    files = df.inputFiles()
+    listed = spark.createDataFrame([(p,) for p in files], "file_path string").select(
         _norm(F.col("file_path")).alias("file_path")
     )
     seen = df.select(_norm(F.col("_metadata.file_path")).alias("file_path")).distinct()
-    lost = [r[0] for r in listed.join(seen, "file_path", "left_anti").orderBy("file_path").collect()]
-    n_listed = len(df.inputFiles())
-    return TolerantScan(df, n_listed, n_listed - len(lost), lost)
+    return TolerantScan(df, len(files), listed.join(seen, "file_path", "left_anti"))
 
 
 def _norm(path: Column) -> Column:
