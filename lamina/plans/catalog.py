@@ -116,7 +116,7 @@ def _ingested_store(spark, sf_dir) -> ST.FactStore:
 
 def q_scan_facts(spark, sf_dir):
     store = _ingested_store(spark, sf_dir)
-    return flatten(ST.scan_facts(spark, store.master_path(), S.MASTER))
+    return flatten(ST.scan_facts(spark, store.master_path(), S.MASTER).where(store.visible()))
 
 
 def q_scan_unit(spark, sf_dir):
@@ -124,13 +124,15 @@ def q_scan_unit(spark, sf_dir):
 
 
 def q_scan_with_path(spark, sf_dir):
-    df = ST.scan_with_path(spark, _ingested_store(spark, sf_dir).master_path())
+    store = _ingested_store(spark, sf_dir)
+    df = ST.scan_with_path(spark, store.master_path()).where(store.visible())
     return df.select(*flat_columns(), "rel_path")
 
 
 def q_scan_tolerant(spark, sf_dir):
-    scan = ST.scan_tolerant(spark, _ingested_store(spark, sf_dir).master_path(), S.MASTER)
-    return flatten(scan.facts)
+    store = _ingested_store(spark, sf_dir)
+    scan = ST.scan_tolerant(spark, store.master_path(), S.MASTER)
+    return flatten(scan.facts.where(store.visible()))
 
 
 def q_ingest_snapshot(spark, sf_dir):

@@ -56,6 +56,13 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return out
 
 
+def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob pattern (e.g. partition folders)."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return [] if found is None else [str(st.getPath()) for st in found]
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small text file: write a sibling, then rename over the target."""
     fs, p = _fs(spark, path)

@@ -3,14 +3,15 @@
 Layout under one root (a folder in the cluster's shared storage)::
 
     new/                              flat Parquet, appended by producers (S2)
-    master/_CURRENT                   name of the live generation (a few bytes)
-    master/gen-00000/unit_id=4/property_id=0/ingest_id=7/part-*.parquet
+    master/_COMPACTED                 K: batches <= K are compacted (a few bytes)
+    master/unit_id=4/property_id=0/ingest_id=7/part-*.parquet     an ingest batch
+    master/unit_id=4/property_id=0/ingest_id=-9/part-*.parquet    a compaction
     _ingest/checkpoint, _ingest/archive   streaming ingest state (lamina.streaming)
 
 Partitions are ``unit_id`` / ``property_id`` (the union arm tags, S9) and
 ``ingest_id`` (the ingest batch). A batch written twice overwrites itself (dynamic
 partition overwrite), so a replayed ingest batch never duplicates facts.
-Compaction writes a new generation and switches the pointer (S12).
+Compaction merges only new batches and moves the pointer (S12).
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from lamina.functions.facts import arm_count, only_unit, property_id, unit_id
 from lamina.sources import fs
 
 FACT_COLUMNS = ["pedigree", "dataunit"]
-CONSOLIDATED_INGEST_ID = -1
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -194,37 +194,56 @@ def reset_workspace(spark: SparkSession, *paths: str) -> None:
 
 
 class FactStore:
-    """New-data and master datasets under one root."""
+    """New-data and master datasets under one root.
+
+    Master holds two kinds of partitions: ingest batches (``ingest_id >= 0``, one
+    per micro-batch, many small files) and compactions (``ingest_id < 0``). The
+    pointer file ``master/_COMPACTED`` holds K: batches ``<= K`` have been merged
+    into compactions ``-(j + 2)`` for j <= K. Readers see batches above K and
+    compactions at or above ``-(K + 2)``, a partition filter, so moving K switches
+    from the batches to their compaction at once, and a compaction that was written
+    but not committed is never seen."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.new_path = f"{self.root}/new"
-        self.master_root = f"{self.root}/master"
-        self.pointer = f"{self.master_root}/_CURRENT"
+        self.master = f"{self.root}/master"
+        self.pointer = f"{self.master}/_COMPACTED"
         self.ingest_checkpoint = f"{self.root}/_ingest/checkpoint"
         self.ingest_archive = f"{self.root}/_ingest/archive"
 
-    # generations
-    def generation(self) -> str:
-        return fs.read_text(self.spark, self.pointer) or "gen-00000"
+    def compacted_through(self) -> int:
+        text = fs.read_text(self.spark, self.pointer)
+        return int(text) if text else -1
 
     def master_path(self) -> str:
-        return f"{self.master_root}/{self.generation()}"
+        return self.master
 
     def create(self) -> "FactStore":
         fs.mkdirs(self.spark, self.new_path)
-        fs.mkdirs(self.spark, self.master_path())
-        if not fs.exists(self.spark, self.pointer):
-            fs.write_text(self.spark, self.pointer, self.generation())
+        fs.mkdirs(self.spark, self.master)
         return self
 
     # reads
     def read_new(self) -> DataFrame:
         return scan_facts(self.spark, self.new_path)
 
+    def visible(self, k: int | None = None):
+        """Partition predicate selecting the live facts for pointer value ``k``."""
+        k = self.compacted_through() if k is None else k
+        ing = F.col("ingest_id")
+        return (ing > k) | ((ing < 0) & (ing >= -(k + 2)))
+
     def read_master(self) -> DataFrame:
-        return scan_facts(self.spark, self.master_path(), S.MASTER)
+        return scan_facts(self.spark, self.master, S.MASTER).where(self.visible())
+
+    def batch_ids(self) -> list[int]:
+        """Ingest ids present in master (from the directory listing, no data read)."""
+        ids = set()
+        for d in fs.glob_dirs(self.spark, f"{self.master}/unit_id=*/property_id=*/ingest_id=*"):
+            ids.add(int(d.rstrip("/").rsplit("ingest_id=", 1)[1]))
+        return sorted(ids)
 
     # writes
     def append_new(self, facts: DataFrame) -> None:
@@ -236,35 +255,51 @@ class FactStore:
         Narrow: no shuffle, each input task writes its own files; compaction merges
         small files later. Dynamic partition overwrite makes a replay of the same
         ``ingest_id`` replace its earlier output."""
+        if ingest_id < 0:
+            raise ValueError("ingest ids are >= 0; negative ids are compactions")
+        self._write(shredded.withColumn("ingest_id", F.lit(int(ingest_id)).cast("bigint")))
+
+    def _write(self, df: DataFrame) -> None:
         (
-            shredded.select(*FACT_COLUMNS, "unit_id", "property_id")
-            .withColumn("ingest_id", F.lit(int(ingest_id)).cast("bigint"))
+            df.select(*FACT_COLUMNS, *S.PARTITION_COLUMNS)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*S.PARTITION_COLUMNS)
-            .parquet(self.master_path())
+            .parquet(self.master)
         )
 
     def consolidate(self, target_file_bytes: int = TARGET_FILE_BYTES) -> dict:
-        """Merge master's small files into few (S12); contents unchanged.
+        """Merge the ingest batches written since the last compaction into few large
+        files (S12); contents unchanged. Cost is proportional to the new data, not
+        to master.
 
-        Writes the next generation range-partitioned on ``(unit_id, property_id,
+        The batches ``(K, K']`` are range-partitioned on ``(unit_id, property_id,
         time, fact hash, row id)``: a big kind is spread over many tasks in
         proportion to its size, a small kind lands in one file, and even a hot group
         of identical facts (one time, one hash) is split by the row id. Files come
-        out sorted by time (tight min/max statistics for pushdown). The row count is checked from Parquet
-        footers before the pointer moves; the old generation is then removed."""
+        out sorted by time (tight min/max statistics for pushdown). The compaction
+        ``-(K' + 2)`` is checked row for row (Parquet footers) before the pointer
+        moves to K'; the merged batch folders are removed afterwards."""
         spark = self.spark
-        old_path = self.master_path()
-        old = scan_facts(spark, old_path, S.MASTER)
-        files_before = len(fs.data_files(spark, old_path))
-        n_parts = max(1, math.ceil(fs.total_bytes(spark, old_path) / target_file_bytes))
-        gen = int(self.generation().split("-")[1]) + 1
-        new_name = f"gen-{gen:05d}"
-        new_path = f"{self.master_root}/{new_name}"
+        k_old = self.compacted_through()
+        new_ids = [i for i in self.batch_ids() if i > k_old]
+        if not new_ids:
+            return {"rows": 0, "batches": 0, "files_before": 0, "files_after": 0}
+        k_new = max(new_ids)
+        target = -(k_new + 2)
+        raw = scan_facts(spark, self.master, S.MASTER)
+        batches = raw.where((F.col("ingest_id") > k_old) & (F.col("ingest_id") <= k_new))
+        batch_dirs = [
+            d
+            for d in fs.glob_dirs(spark, f"{self.master}/unit_id=*/property_id=*/ingest_id=*")
+            if k_old < int(d.rstrip("/").rsplit("ingest_id=", 1)[1]) <= k_new
+        ]
+        files_before = sum(len(fs.data_files(spark, d)) for d in batch_dirs)
+        size = sum(fs.total_bytes(spark, d) for d in batch_dirs)
+        n_parts = max(1, math.ceil(size / target_file_bytes))
         secs = F.col("pedigree.true_as_of_secs")
-        (
-            old.repartitionByRange(
+        self._write(
+            batches.repartitionByRange(
                 n_parts,
                 "unit_id",
                 "property_id",
@@ -273,16 +308,18 @@ class FactStore:
                 F.monotonically_increasing_id(),
             )
             .sortWithinPartitions("unit_id", "property_id", secs)
-            .withColumn("ingest_id", F.lit(CONSOLIDATED_INGEST_ID).cast("bigint"))
-            .write.mode("overwrite")
-            .partitionBy(*S.PARTITION_COLUMNS)
-            .parquet(new_path)
+            .withColumn("ingest_id", F.lit(target).cast("bigint"))
         )
-        before = old.count()
-        after = scan_facts(spark, new_path, S.MASTER).count()
+        before = batches.count()
+        # a fresh scan: the listing of ``raw`` predates the compaction's files
+        after = scan_facts(spark, self.master, S.MASTER).where(F.col("ingest_id") == target).count()
         if before != after:
-            fs.delete(spark, new_path)
-            raise RuntimeError(f"consolidate: {before} rows before, {after} after; master unchanged")
-        fs.write_text(spark, self.pointer, new_name)
-        fs.delete(spark, old_path)
-        return {"rows": after, "files_before": files_before, "files_after": len(fs.data_files(spark, new_path))}
+            raise RuntimeError(f"consolidate: {before} rows in batches, {after} compacted; pointer not moved")
+        fs.write_text(spark, self.pointer, str(k_new))
+        for d in batch_dirs:
+            fs.delete(spark, d)
+        files_after = sum(
+            len(fs.data_files(spark, d))
+            for d in fs.glob_dirs(spark, f"{self.master}/unit_id=*/property_id=*/ingest_id={target}")
+        )
+        return {"rows": after, "batches": len(new_ids), "files_before": files_before, "files_after": files_after}

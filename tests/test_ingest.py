@@ -43,9 +43,27 @@ def test_consolidate_keeps_rows_and_merges_files(spark, tmp_root):
         store.absorb(facts, i)
     before = store.read_master().count()
     res = store.consolidate()
-    assert res["rows"] == before == 30
+    assert res["rows"] == before == 30 and res["batches"] == 3
     assert res["files_after"] <= 2 < res["files_before"]
-    assert store.generation() == "gen-00001"
+    assert store.compacted_through() == 2 and store.batch_ids() == [-4]
+    assert store.read_master().count() == 30
+    # only new batches are merged next time; the first compaction stays
+    store.absorb(facts, 3)
+    res = store.consolidate()
+    assert res["batches"] == 1 and store.batch_ids() == [-5, -4]
+    assert store.read_master().count() == 40
+    assert store.consolidate()["batches"] == 0
+
+
+def test_uncommitted_compaction_is_invisible(spark, tmp_root):
+    store = ST.FactStore(spark, tmp_root).create()
+    facts = ST.shred(fixture_facts(spark))
+    store.absorb(facts, 0)
+    # a compaction written but not committed (pointer not moved), as after a crash
+    store._write(facts.withColumn("ingest_id", F.lit(-2).cast("bigint")))
+    assert store.read_master().count() == 10
+    res = store.consolidate()  # rewrites the same compaction id, then commits
+    assert res["rows"] == 10 and store.read_master().count() == 10
 
 
 def test_absorb_replay_overwrites_itself(spark, tmp_root):
