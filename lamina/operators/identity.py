@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lamina import schema as S
 from lamina.functions.facts import only_unit, set_nested
-from lamina.session import default_stage
+from lamina.session import default_stage, parquet_stage, workspace
 
 # Loop guard only: a fixpoint that has not converged raises, it never returns a
 # partial map. Both methods need O(log n)-O(log^2 n) rounds.
@@ -175,8 +175,11 @@ def equiv_fixpoint(
     Returns the last round's edges ``(a=smallest, b=id)`` and the number of rounds.
     ``stage(df, name)`` persists each round (default: a Parquet table in the shared
     checkpoint folder); the progress edges are counted while the round is written
-    (A9), so each round is one job."""
-    stage = stage or default_stage(edges.sparkSession)
+    (A9), so each round is one job. With ``trace`` every round's table is kept
+    (the default stage deletes rounds that are two rounds old)."""
+    if stage is None:
+        spark = edges.sparkSession
+        stage = parquet_stage(workspace(spark, "rounds")) if trace is not None else default_stage(spark)
     current = edges.select("a", "b")
     for i in range(1, max_rounds + 1):
         flagged, progress = _observed_sum(equiv_round(current), f"equiv_round_{i}", F.col("progress"))
@@ -191,21 +194,25 @@ def equiv_fixpoint(
 
 def _large_star(oriented: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Large-star: every node links its larger neighbours to the smallest member of
-    its closed neighbourhood. Output oriented ``a > b``, distinct. The counter is
-    the number of links to a node other than the emitting one."""
+    its closed neighbourhood. Output oriented ``a > b``. It is not made distinct:
+    each input edge is relinked exactly once (from its smaller end), so the output
+    has as many rows as the input, and small-star's ``min`` and final ``distinct``
+    absorb the duplicates; this saves a shuffle per round. The counter is the number
+    of links to a node other than the emitting one."""
     bi = bidirectional_edges(oriented)
     mins = bi.groupBy("a").agg(F.min("b").alias("min_b")).select(
         "a", F.least(F.col("a"), F.col("min_b")).alias("m")
     )
     emitted = bi.where(F.col("b") > F.col("a")).join(mins, "a")
     emitted, obs = _observed_sum(emitted, name, F.col("m") != F.col("a"))
-    return emitted.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), obs
+    return emitted.select(F.col("b").alias("a"), F.col("m").alias("b")), obs
 
 
 def _small_star(oriented: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Small-star: every node links itself and its smaller neighbours to the smallest
-    of them. Input and output oriented ``a > b``, distinct. The counter is the
-    number of moved edges (a node with more than one smaller neighbour)."""
+    of them. Input oriented ``a > b`` (duplicates allowed), output oriented and
+    distinct. The counter is the number of moved edges (a node with more than one
+    smaller neighbour)."""
     mins = oriented.groupBy("a").agg(F.min("b").alias("m"))
     moved = oriented.join(mins, "a").where(F.col("b") != F.col("m"))
     moved, obs = _observed_sum(moved, name, F.lit(True))
