@@ -9,7 +9,7 @@ before the second aggregate. Catalyst does not move an aggregate below an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina import schema as S
@@ -92,7 +92,7 @@ def sort_view(view: DataFrame) -> DataFrame:
     return view.orderBy("granularity", "url", "bucket")
 
 
-def _code(col: str, codes: dict) -> F.Column:
+def _code(col: str, codes: dict) -> Column:
     expr = None
     for name, code in codes.items():
         expr = (F.when(F.col(col) == name, F.lit(code))) if expr is None else expr.when(F.col(col) == name, F.lit(code))

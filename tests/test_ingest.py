@@ -109,3 +109,26 @@ def test_scan_with_path(spark, tmp_root):
     store.absorb(ST.shred(fixture_facts(spark)), 0)
     paths = {r[0] for r in ST.scan_with_path(spark, store.master_path()).select("rel_path").collect()}
     assert paths == {"3", "4"}
+
+
+def test_consumed_files_are_archived(spark, tmp_root):
+    store = ST.FactStore(spark, tmp_root).create()
+    for i in range(3):
+        store.append_new(pageviews(spark, [(i, "http://a.com/x", i)]))
+    n_files = len(fs.data_files(spark, store.new_path))
+    from lamina.streaming.ingest import ingest_snapshot
+
+    # one file per micro-batch, so the source can archive all but the newest batch
+    q = (
+        ingest_snapshot(store, max_files=1)
+        .writeStream.foreachBatch(lambda df, bid: store.absorb(ST.shred(df), bid))
+        .option("checkpointLocation", store.ingest_checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    left = len(fs.data_files(spark, store.new_path))
+    archived = len(fs.data_files(spark, store.ingest_archive))
+    assert store.read_master().count() == 3
+    assert archived >= 1 and left + archived == n_files
+    assert ingest(store).rows == 0
