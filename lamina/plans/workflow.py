@@ -15,6 +15,8 @@ from lamina.functions.facts import with_target
 from lamina.operators import identity as I
 from lamina.operators import pageviews as PV
 from lamina.operators.urls import normalize_urls
+from lamina.session import size_shuffles
+from lamina.sources import fs
 from lamina.sources.store import FactStore, scan_unit, stage_facts
 from lamina.streaming.ingest import ingest
 
@@ -57,6 +59,7 @@ def batch_workflow(
     """Ingest new facts, then build the sorted page-view batch view from all of
     master. Late facts are handled by recomputing from master each run."""
     ingest(store)
+    size_shuffles(spark, fs.total_bytes(spark, store.master_path()))
     unique = unique_pageviews(store.read_master(), stage_root=stage_root, method=method)
     view = PV.pageview_batch_view(unique)
     if view_path:

@@ -32,6 +32,21 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+ADVISORY_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = ADVISORY_PARTITION_BYTES) -> int:
+    """Size shuffles for an input of ``input_bytes``: at least one shuffle partition
+    per ``target_bytes`` of input, so no task must hold more than it can sort or hash
+    in memory, and AQE coalesces partitions that turn out small (after partial
+    aggregation most are). Only ever raises the setting. Returns the partition count."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    wanted = max(current, -(-int(input_bytes) // int(target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
+    return wanted
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and run data.
 
@@ -104,6 +119,7 @@ __all__ = [
     "build_session",
     "checkpoint_stage",
     "default_stage",
+    "size_shuffles",
     "ensure_checkpoint_dir",
     "local_path",
     "parquet_stage",

@@ -66,3 +66,14 @@ def test_full_view_path_prunes_other_arms(master):
         assert arm not in scan_schema
     filters = [line for line in plan.split("\n") if "Filter " in line]
     assert filters and not any("regexp" in line for line in filters)  # the URL rule is never re-run in a filter
+
+
+def test_size_shuffles_only_raises(spark):
+    from lamina.session import size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 10) == int(before)
+        assert size_shuffles(spark, 100 * 1024**4) == 409600  # 100 TiB / 256 MiB
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
