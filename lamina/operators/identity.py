@@ -211,36 +211,51 @@ def _large_star(oriented: DataFrame, name: str) -> tuple[DataFrame, Observation]
 def _small_star(oriented: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Small-star: every node links itself and its smaller neighbours to the smallest
     of them. Input oriented ``a > b`` (duplicates allowed), output oriented and
-    distinct. The counter is the number of moved edges (a node with more than one
-    smaller neighbour)."""
+    distinct. One join with the per-node minimum yields both emitted edges, so the
+    input is read twice (aggregate, join). The counter is the number of moved edges
+    (a node with more than one smaller neighbour)."""
     mins = oriented.groupBy("a").agg(F.min("b").alias("m"))
-    moved = oriented.join(mins, "a").where(F.col("b") != F.col("m"))
-    moved, obs = _observed_sum(moved, name, F.lit(True))
-    moved = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(mins.select("a", F.col("m").alias("b"))).distinct(), obs
+    joined, obs = _observed_sum(oriented.join(mins, "a"), name, F.col("b") != F.col("m"))
+    both = F.explode(
+        F.array(
+            F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
+            F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
+        )
+    ).alias("e")
+    out = joined.select(both).select("e.a", "e.b").where(F.col("a") != F.col("b"))
+    return out.distinct(), obs
 
 
 def star_fixpoint(
-    edges: DataFrame, stage: Stage | None = None, max_rounds: int = MAX_ROUNDS
+    edges: DataFrame,
+    stage: Stage | None = None,
+    max_rounds: int = MAX_ROUNDS,
+    trace: list | None = None,
 ) -> tuple[DataFrame, int]:
     """Alternate large-star and small-star until a round changes nothing.
 
     A round with no relink in large-star and no move in small-star proves the
     graph is a star forest around each component's smallest id: then every node
     with a larger neighbour has no smaller one, and every other node has exactly
-    one smaller neighbour. Both counters are filled by the round's write, so each
-    round is one job. Returns star edges ``(a=id, b=smallest)`` and the number of
-    rounds."""
-    stage = stage or default_stage(edges.sparkSession)
+    one smaller neighbour. Both steps are written as tables (small-star reads the
+    large-star table twice instead of recomputing it), and the counters are filled
+    by those writes. Returns star edges ``(a=id, b=smallest)`` and the number of
+    rounds. With ``trace`` every round's table is kept and appended to it."""
+    if stage is None:
+        spark = edges.sparkSession
+        stage = parquet_stage(workspace(spark, "rounds")) if trace is not None else default_stage(spark)
     oriented = drop_self_loops(edges).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     oriented = stage(oriented.distinct(), "star_0")
     for i in range(1, max_rounds + 1):
         large, relinked = _large_star(oriented, f"large_star_{i}")
+        large = stage(large, f"large_{i}")
         small, moved = _small_star(large, f"small_star_{i}")
         oriented = stage(small, f"star_{i}")
-        if _count(relinked, oriented) == 0 and _count(moved, oriented) == 0:
+        if trace is not None:
+            trace.append(oriented)
+        if _count(relinked, large) == 0 and _count(moved, oriented) == 0:
             return oriented, i
     raise FixpointError(f"star_fixpoint did not converge in {max_rounds} rounds")
 
@@ -250,21 +265,78 @@ def swap_pair(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("id"), F.col("a").alias("canonical_id"))
 
 
+def person_codes(edges: DataFrame, stage: Stage) -> DataFrame:
+    """``(p PERSON, code bigint)`` for every person of ``edges``, with codes in person
+    order.
+
+    The distinct persons are sorted once (range partitioning); after the sort,
+    ``monotonically_increasing_id`` (partition index in the high bits, row index in
+    the low ones) grows strictly with the sort order, so ``min`` on codes picks the
+    same person as ``min`` on the structs. The table is staged, so every later use
+    (and any recomputation after a lost executor) sees the same codes."""
+    persons = edges.select(F.col("a").alias("p")).unionByName(edges.select(F.col("b").alias("p"))).distinct()
+    codes = persons.orderBy("p").select("p", F.monotonically_increasing_id().alias("code"))
+    return stage(codes, "person_codes")
+
+
+def encode_edges(edges: DataFrame, codes: DataFrame) -> DataFrame:
+    """Edges of persons → edges of their codes."""
+    ca = codes.select(F.col("p").alias("_pa"), F.col("code").alias("_ca"))
+    cb = codes.select(F.col("p").alias("_pb"), F.col("code").alias("_cb"))
+    return (
+        edges.join(ca, F.col("a") == F.col("_pa"))
+        .join(cb, F.col("b") == F.col("_pb"))
+        .select(F.col("_ca").alias("a"), F.col("_cb").alias("b"))
+    )
+
+
+def decode_map(coded: DataFrame, codes: DataFrame) -> DataFrame:
+    """``(id code, canonical code)`` → ``(id PERSON, canonical_id PERSON)``."""
+    ci = codes.select(F.col("code").alias("_ci"), F.col("p").alias("id"))
+    cc = codes.select(F.col("code").alias("_cc"), F.col("p").alias("canonical_id"))
+    return (
+        coded.join(ci, F.col("cid") == F.col("_ci"))
+        .join(cc, F.col("ccanon") == F.col("_cc"))
+        .select("id", "canonical_id")
+    )
+
+
 def canonical_ids(
     edges: DataFrame,
     method: str = "star",
     stage: Stage | None = None,
     max_rounds: int = MAX_ROUNDS,
+    encode: bool = True,
 ) -> DataFrame:
     """``(id, canonical_id)`` for every id that is not the smallest of its component
-    (I3). Ids seen only in self-loops map to themselves and get no row."""
+    (I3). Ids seen only in self-loops map to themselves and get no row.
+
+    With ``encode`` (default) the fixpoint runs on order-preserving ``bigint`` codes
+    of the persons (:func:`person_codes`): its ``min``/``max`` aggregates are then hash
+    aggregates on fixed-width values instead of sort aggregates on structs, and every
+    shuffle carries 8-byte keys. The map is decoded at the end by two joins."""
+    if method not in ("star", "relink"):
+        raise ValueError(f"unknown method {method!r}")
+    spark = edges.sparkSession
+    # rounds may be deleted once superseded; the codes and the map are kept
+    keep = stage or parquet_stage(workspace(spark, "canonical"))
+    stage = stage or default_stage(spark)
+    codes = None
+    work = edges.select("a", "b")
+    if encode:
+        work = drop_self_loops(work)
+        codes = person_codes(work, keep)
+        work = encode_edges(work, codes)
     if method == "relink":
-        final, _ = equiv_fixpoint(edges, stage=stage, max_rounds=max_rounds)
-        return swap_pair(final)
-    if method == "star":
-        stars, _ = star_fixpoint(edges, stage=stage, max_rounds=max_rounds)
-        return stars.select(F.col("a").alias("id"), F.col("b").alias("canonical_id"))
-    raise ValueError(f"unknown method {method!r}")
+        final, _ = equiv_fixpoint(work, stage=stage, max_rounds=max_rounds)
+        pairs = swap_pair(final)
+    else:
+        stars, _ = star_fixpoint(work, stage=stage, max_rounds=max_rounds)
+        pairs = stars.select(F.col("a").alias("id"), F.col("b").alias("canonical_id"))
+    if codes is None:
+        return pairs
+    coded = pairs.select(F.col("id").alias("cid"), F.col("canonical_id").alias("ccanon"))
+    return keep(decode_map(coded, codes), "canonical_ids")
 
 
 # --- J1, P15, J2 ---------------------------------------------------------------------
