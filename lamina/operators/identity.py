@@ -265,6 +265,14 @@ def swap_pair(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("id"), F.col("a").alias("canonical_id"))
 
 
+ENCODE_MIN_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a DataFrame (from file sizes for scans)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def person_codes(edges: DataFrame, stage: Stage) -> DataFrame:
     """``(p PERSON, code bigint)`` for every person of ``edges``, with codes in person
     order.
@@ -306,15 +314,18 @@ def canonical_ids(
     method: str = "star",
     stage: Stage | None = None,
     max_rounds: int = MAX_ROUNDS,
-    encode: bool = True,
+    encode: bool | str = "auto",
 ) -> DataFrame:
     """``(id, canonical_id)`` for every id that is not the smallest of its component
     (I3). Ids seen only in self-loops map to themselves and get no row.
 
-    With ``encode`` (default) the fixpoint runs on order-preserving ``bigint`` codes
-    of the persons (:func:`person_codes`): its ``min``/``max`` aggregates are then hash
+    With ``encode`` the fixpoint runs on order-preserving ``bigint`` codes of the
+    persons (:func:`person_codes`): its ``min``/``max`` aggregates are then hash
     aggregates on fixed-width values instead of sort aggregates on structs, and every
-    shuffle carries 8-byte keys. The map is decoded at the end by two joins."""
+    shuffle carries 8-byte keys. The map is decoded at the end by two joins. With
+    ``"auto"`` (default) this happens when the optimizer's size estimate of the edges
+    is at least :data:`ENCODE_MIN_BYTES`; below that the one-off sort and joins cost
+    more than they save."""
     if method not in ("star", "relink"):
         raise ValueError(f"unknown method {method!r}")
     spark = edges.sparkSession
@@ -323,6 +334,8 @@ def canonical_ids(
     stage = stage or default_stage(spark)
     codes = None
     work = edges.select("a", "b")
+    if encode == "auto":
+        encode = estimated_bytes(work) >= ENCODE_MIN_BYTES
     if encode:
         work = drop_self_loops(work)
         codes = person_codes(work, keep)

@@ -92,8 +92,10 @@ def test_cookies_sort_first(spark):
     edges = df.select(FF.cookie_person("c").alias("a"), FF.user_person("u1").alias("b")).unionByName(
         df.select(FF.user_person("ua").alias("a"), FF.user_person("ub").alias("b"))
     )
-    for method in ("star", "relink"):
-        rows = I.canonical_ids(edges, method=method).select("id.user_id", "canonical_id.kind", "canonical_id.cookie").collect()
+    for method, encode in (("star", False), ("relink", False), ("star", True), ("relink", True)):
+        rows = I.canonical_ids(edges, method=method, encode=encode).select(
+            "id.user_id", "canonical_id.kind", "canonical_id.cookie"
+        ).collect()
         assert sorted(map(tuple, rows)) == [(1, 1, "z"), (2, 1, "z")]
 
 

@@ -53,8 +53,10 @@ def test_canonical_ids_match_union_find(spark, seed):
     edges = user_edges(spark, pairs) if pairs else None
     if edges is None:
         return
-    assert canon_map(I.canonical_ids(edges, method="star")) == expected
-    assert canon_map(I.canonical_ids(edges, method="relink")) == expected
+    for method in ("star", "relink"):
+        assert canon_map(I.canonical_ids(edges, method=method)) == expected
+    assert canon_map(I.canonical_ids(edges, method="star", encode=True)) == expected
+    assert canon_map(I.canonical_ids(edges, method="relink", encode=True)) == expected
 
 
 def test_canonical_ids_invariant_to_order_direction_duplicates(spark):
