@@ -38,6 +38,15 @@ MAX_ROUNDS = 256
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
+# Edge sets estimated at least this large get the steps that pay off only at size:
+# bigint person codes and a written large-star step.
+LARGE_INPUT_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a DataFrame (from file sizes for scans)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
 class FixpointError(RuntimeError):
     """Raised when a fixpoint does not converge within its round budget."""
@@ -237,9 +246,9 @@ def star_fixpoint(
     A round with no relink in large-star and no move in small-star proves the
     graph is a star forest around each component's smallest id: then every node
     with a larger neighbour has no smaller one, and every other node has exactly
-    one smaller neighbour. Both steps are written as tables (small-star reads the
-    large-star table twice instead of recomputing it), and the counters are filled
-    by those writes. Returns star edges ``(a=id, b=smallest)`` and the number of
+    one smaller neighbour. Each round is written as a table; on large inputs the
+    large-star step is written too, so small-star reads it twice instead of
+    recomputing it. The counters are filled by those writes. Returns star edges ``(a=id, b=smallest)`` and the number of
     rounds. With ``trace`` every round's table is kept and appended to it."""
     if stage is None:
         spark = edges.sparkSession
@@ -250,7 +259,8 @@ def star_fixpoint(
     oriented = stage(oriented.distinct(), "star_0")
     for i in range(1, max_rounds + 1):
         large, relinked = _large_star(oriented, f"large_star_{i}")
-        large = stage(large, f"large_{i}")
+        if estimated_bytes(oriented) >= LARGE_INPUT_BYTES:
+            large = stage(large, f"large_{i}")
         small, moved = _small_star(large, f"small_star_{i}")
         oriented = stage(small, f"star_{i}")
         if trace is not None:
@@ -265,14 +275,6 @@ def swap_pair(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("id"), F.col("a").alias("canonical_id"))
 
 
-ENCODE_MIN_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a DataFrame (from file sizes for scans)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def person_codes(edges: DataFrame, stage: Stage) -> DataFrame:
     """``(p PERSON, code bigint)`` for every person of ``edges``, with codes in person
     order.
@@ -324,7 +326,7 @@ def canonical_ids(
     aggregates on fixed-width values instead of sort aggregates on structs, and every
     shuffle carries 8-byte keys. The map is decoded at the end by two joins. With
     ``"auto"`` (default) this happens when the optimizer's size estimate of the edges
-    is at least :data:`ENCODE_MIN_BYTES`; below that the one-off sort and joins cost
+    is at least :data:`LARGE_INPUT_BYTES`; below that the one-off sort and joins cost
     more than they save."""
     if method not in ("star", "relink"):
         raise ValueError(f"unknown method {method!r}")
@@ -335,7 +337,7 @@ def canonical_ids(
     codes = None
     work = edges.select("a", "b")
     if encode == "auto":
-        encode = estimated_bytes(work) >= ENCODE_MIN_BYTES
+        encode = estimated_bytes(work) >= LARGE_INPUT_BYTES
     if encode:
         work = drop_self_loops(work)
         codes = person_codes(work, keep)

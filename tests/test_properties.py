@@ -95,3 +95,12 @@ def test_view_sums_equal_per_granularity_and_idempotence(spark):
     assert PV.dedup_pageviews(unique).count() == n
     twice = normalize_urls(views)
     assert twice.exceptAll(views).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 4])
+def test_large_input_path_matches_union_find(spark, monkeypatch, seed):
+    """Codes and a written large-star step, as used on big edge sets."""
+    monkeypatch.setattr(I, "LARGE_INPUT_BYTES", 0)
+    pairs = random_graph(seed)
+    for method in ("star", "relink"):
+        assert canon_map(I.canonical_ids(user_edges(spark, pairs), method=method)) == union_find(pairs)
