@@ -34,7 +34,7 @@ _cache: dict = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str):
-    return (id(spark.sparkContext), sf_dir.rstrip("/"), what)
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
 
 
 def _memo(spark: SparkSession, sf_dir: str, what: str, build):
