@@ -23,6 +23,7 @@ round, and the next round's joins are planned from real table sizes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
@@ -157,8 +158,9 @@ def progress_count(flagged: DataFrame) -> int:
 def _observed_sum(df: DataFrame, name: str, flag) -> tuple[DataFrame, Observation]:
     """Attach a counter of rows where ``flag`` holds; it is filled by whatever job
     runs the plan (the stage write), so no extra pass is needed. Retried tasks can
-    only over-count, and callers test the counter for zero."""
-    obs = Observation(name)
+    only over-count, and callers test the counter for zero. Names are made unique,
+    so concurrent or repeated fixpoints never read each other's counters."""
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.sum(F.when(flag, 1).otherwise(0)).alias("n")), obs
 
 

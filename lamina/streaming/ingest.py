@@ -16,6 +16,7 @@ the batch replays after the data is fixed.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -71,7 +72,7 @@ def absorb_batch(store: FactStore, report: IngestReport):
 
     def run(batch: DataFrame, batch_id: int) -> None:
         shredded = shred(batch).withColumn("_ok", well_formed() & legal_target())
-        obs = Observation(f"ingest_{batch_id}")
+        obs = Observation(f"ingest_{batch_id}_{uuid.uuid4().hex[:8]}")
         observed = shredded.observe(
             obs,
             F.count(F.lit(1)).alias("rows"),
