@@ -206,3 +206,23 @@ def test_normalize_url_random_agrees_with_sql(spark):
     exp = {r[0]: r[1] for r in con.execute(f"SELECT i, {sql_normalize_url('u')} FROM t").fetchall()}
     bad = [(urls[i], got[i], exp[i]) for i in range(len(urls)) if got[i] != exp[i]]
     assert not bad, bad[:5]
+
+
+def test_sort_facts_orders_enums_by_code_and_union_by_arm(spark):
+    person = FF.user_person(F.lit(1))
+    rows = [
+        (FF.pedigree(F.lit(5), "BACKTYPE", "external_data"), FF.person_property_unit(person, gender=F.lit("FEMALE"))),
+        (FF.pedigree(F.lit(5), "BACKTYPE", "external_data"), FF.person_property_unit(person, gender=F.lit("MALE"))),
+        (FF.pedigree(F.lit(5), "BACKTYPE", "external_data"), FF.person_property_unit(person, full_name=F.lit("Z"))),
+        (FF.pedigree(F.lit(5), "SELF", "external_data"), FF.equiv_unit(person, FF.user_person(F.lit(2)))),
+        (FF.pedigree(F.lit(5), "SELF", "page_view"), FF.page_view_unit(person, FF.url_page(F.lit("u")), F.lit(1))),
+        (FF.pedigree(F.lit(4), "BACKTYPE", "page_view"), FF.page_property_unit(FF.url_page(F.lit("u")), F.lit(1))),
+    ]
+    df = None
+    for i, (ped, unit) in enumerate(rows):
+        one = spark.range(1).select(*FF.make_fact(ped, unit), F.lit(i).alias("i"))
+        df = one if df is None else df.unionByName(one)
+    got = [r.i for r in PV.sort_facts(df).select("i").collect()]
+    # time 4 first; then SELF before BACKTYPE; page_view system before external_data;
+    # within BACKTYPE person properties: full_name (arm 1) before gender (arm 2), MALE before FEMALE
+    assert got == [5, 4, 3, 2, 1, 0]
