@@ -126,9 +126,13 @@ def scan_with_path(spark: SparkSession, path: str, schema=S.MASTER) -> DataFrame
 @dataclass
 class TolerantScan:
     facts: DataFrame
-    files_listed: int
+    listed: DataFrame  # one row per data file found: ``file_path``
     lost: DataFrame  # one row per listed file that yielded no row: ``file_path``
 
+    @property
+    def files_listed(self) -> int:
+        return self.listed.count()
+
     @property
     def lost_count(self) -> int:
         return self.lost.count()
@@ -149,15 +153,19 @@ def scan_tolerant(spark: SparkSession, path: str, schema=S.FACT) -> TolerantScan
     Corrupt files are skipped (``ignoreCorruptFiles``) instead of failing the job;
     transient faults are retried by ``spark.task.maxFailures``. Files listed but not
     seen among the rows' ``_metadata.file_path`` are reported as lost (an empty file
-    counts as lost too; it is reported, not failed). The report is a DataFrame: an
-    anti join of the listing with the distinct file paths of the rows."""
+    counts as lost too; it is reported, not failed). The listing is itself a
+    DataFrame (the ``binaryFile`` source with only ``path`` selected reads no file
+    content), so no file list passes through the driver; the report is an anti join
+    of the listing with the distinct file paths of the rows."""
     df = scan_facts(spark, path, schema, tolerant=True)
-    files = df.inputFiles()
-    listed = spark.createDataFrame([(p,) for p in files], "file_path string").select(
-        _norm(F.col("file_path")).alias("file_path")
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(_norm(F.col("path")).alias("file_path"))
     )
     seen = df.select(_norm(F.col("_metadata.file_path")).alias("file_path")).distinct()
-    return TolerantScan(df, len(files), listed.join(seen, "file_path", "left_anti"))
+    return TolerantScan(df, listed, listed.join(seen, "file_path", "left_anti"))
 
 
 def _norm(path: Column) -> Column:
