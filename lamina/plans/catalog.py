@@ -6,7 +6,7 @@ Queries that exercise the store write into a fresh folder under the shared
 checkpoint folder and read back, so their result is the facts that went through
 the sink. Intermediate products shared by many queries (the canonical map, the
 adapter facts) are derived once per session and table folder and cut from the
-lineage by a checkpoint.
+lineage by a written table (the canonical map) or a checkpoint (the first round).
 """
 
 from __future__ import annotations
@@ -46,14 +46,14 @@ def _memo(spark: SparkSession, sf_dir: str, what: str, build):
 
 
 def canon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical map of the adapter's equiv edges (star fixpoint), checkpointed."""
+    """Canonical map of the adapter's equiv edges (star fixpoint), a written table."""
     return _memo(
         spark, sf_dir, "canon", lambda: I.canonical_ids(I.equiv_pairs(A.equiv_facts(spark, sf_dir)))
     )
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The adapter's new facts (S1); the canonical map is a checkpointed input."""
+    """The adapter's new facts (S1); the canonical map is a written input table."""
     return A.adapter_facts(spark, sf_dir, canon(spark, sf_dir))
 
 
