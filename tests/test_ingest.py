@@ -132,3 +132,32 @@ def test_consumed_files_are_archived(spark, tmp_root):
     assert store.read_master().count() == 3
     assert archived >= 1 and left + archived == n_files
     assert ingest(store).rows == 0
+
+
+def test_batch_replayed_after_crash_is_not_duplicated(spark, tmp_root):
+    """A batch written to master whose commit never happened is replayed on the next
+    run and overwrites its own partition: exactly once."""
+    from lamina.streaming.ingest import IngestReport, absorb_batch, ingest_snapshot
+
+    store = ST.FactStore(spark, tmp_root).create()
+    store.append_new(fixture_facts(spark))
+    absorb = absorb_batch(store, IngestReport())
+
+    def crash_after_write(df, batch_id):
+        absorb(df, batch_id)
+        raise RuntimeError("driver lost after the write, before the commit")
+
+    q = (
+        ingest_snapshot(store)
+        .writeStream.foreachBatch(crash_after_write)
+        .option("checkpointLocation", store.ingest_checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    with pytest.raises(Exception):
+        q.awaitTermination()
+    assert store.read_master().count() == 10  # written, not committed
+    report = ingest(store)  # the same batch id again
+    assert report.batches == [0] and report.rows == 10
+    assert store.read_master().count() == 10
+    assert ingest(store).rows == 0
