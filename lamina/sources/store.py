@@ -276,6 +276,17 @@ class FactStore:
             .parquet(self.master)
         )
 
+    def _remove_unreachable(self, k: int) -> None:
+        """Delete folders no reader can see at pointer ``k``: compactions that were
+        written but never committed (id below ``-(k + 2)``) and batches already merged
+        (``0 <= id <= k``) whose deletion was cut off. An uncommitted compaction
+        must go before the pointer moves again, or a later, larger range of visible
+        compaction ids would take it in."""
+        for d in fs.glob_dirs(self.spark, f"{self.master}/unit_id=*/property_id=*/ingest_id=*"):
+            i = int(d.rstrip("/").rsplit("ingest_id=", 1)[1])
+            if i < -(k + 2) or 0 <= i <= k:
+                fs.delete(self.spark, d)
+
     def consolidate(self, target_file_bytes: int = TARGET_FILE_BYTES) -> dict:
         """Merge the ingest batches written since the last compaction into few large
         files (S12); contents unchanged. Cost is proportional to the new data, not
@@ -287,9 +298,13 @@ class FactStore:
         of identical facts (one time, one hash) is split by the row id. Files come
         out sorted by time (tight min/max statistics for pushdown). The compaction
         ``-(K' + 2)`` is checked row for row (Parquet footers) before the pointer
-        moves to K'; the merged batch folders are removed afterwards."""
+        moves to K'; the merged batch folders are removed afterwards. Leftovers of an
+        interrupted run (an uncommitted compaction, undeleted merged batches) are
+        removed first. One writer at a time is assumed (the workflow runs ingest and
+        compaction in sequence)."""
         spark = self.spark
         k_old = self.compacted_through()
+        self._remove_unreachable(k_old)
         new_ids = [i for i in self.batch_ids() if i > k_old]
         if not new_ids:
             return {"rows": 0, "batches": 0, "files_before": 0, "files_after": 0}

@@ -161,3 +161,21 @@ def test_batch_replayed_after_crash_is_not_duplicated(spark, tmp_root):
     assert report.batches == [0] and report.rows == 10
     assert store.read_master().count() == 10
     assert ingest(store).rows == 0
+
+
+def test_orphan_compaction_does_not_resurface(spark, tmp_root):
+    """A compaction written but not committed must stay invisible even after later
+    batches move the pointer past its id."""
+    store = ST.FactStore(spark, tmp_root).create()
+    facts = ST.shred(fixture_facts(spark))
+    store.absorb(facts, 0)
+    store.absorb(facts, 1)
+    # crash while compacting batches 0..1 into -(1 + 2): written, pointer not moved
+    orphan = store.read_master().withColumn("ingest_id", F.lit(-3).cast("bigint"))
+    store._write(orphan)
+    store.absorb(facts, 2)
+    assert store.read_master().count() == 30
+    res = store.consolidate()  # batches 0..2 into -(2 + 2); the pointer moves to 2
+    assert res["rows"] == 30
+    assert store.read_master().count() == 30
+    assert store.batch_ids() == [-4]
