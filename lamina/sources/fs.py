@@ -79,9 +79,17 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
+    """Contents of a small text file written by :func:`write_text`.
+
+    :func:`write_text` completes the sibling ``.tmp`` before it removes the old
+    file, so when the file itself is missing (a writer stopped between delete and
+    rename) the sibling holds the complete new value and is read instead."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return None
+        tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+        if not fs.exists(tmp):
+            return None
+        p = tmp
     stream = fs.open(p)
     try:
         reader = spark.sparkContext._jvm.java.io.BufferedReader(

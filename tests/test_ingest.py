@@ -179,3 +179,17 @@ def test_orphan_compaction_does_not_resurface(spark, tmp_root):
     assert res["rows"] == 30
     assert store.read_master().count() == 30
     assert store.batch_ids() == [-4]
+
+
+def test_pointer_survives_stop_between_delete_and_rename(spark, tmp_root):
+    store = ST.FactStore(spark, tmp_root).create()
+    facts = ST.shred(fixture_facts(spark))
+    store.absorb(facts, 0)
+    store.consolidate()
+    assert store.compacted_through() == 0
+    fs.write_text(spark, store.pointer, "0")
+    # simulate: the new value is in the sibling, the old file already deleted
+    fs.write_text(spark, store.pointer + ".tmp", "0")
+    fs.delete(spark, store.pointer)
+    assert store.compacted_through() == 0
+    assert store.read_master().count() == 10
