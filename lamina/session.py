@@ -24,6 +24,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # partitioned writes hit at most six kinds per task: keep their files open
+        # instead of sorting each task's rows by partition value first
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
