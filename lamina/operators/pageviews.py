@@ -9,12 +9,15 @@ before the second aggregate. Catalyst does not move an aggregate below an
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina import schema as S
 from lamina.functions import buckets as B
 from lamina.functions.facts import only_unit, page_view_arm, property_id, unit_id
+from lamina.sources import fs
 
 FACT_COLUMNS = ["pedigree", "dataunit"]
 
@@ -121,9 +124,34 @@ def sort_facts(facts: DataFrame) -> DataFrame:
 
 
 def cache_view(view: DataFrame, path: str | None = None) -> DataFrame:
-    """Keep the view for later readers (O3): written as a Parquet table when a path
-    is given (survives executor loss and the session), else persisted."""
+    """Keep the view for later readers (O3): published as a Parquet table when a
+    path is given (survives executor loss and the session, see
+    :func:`publish_view`), else persisted."""
     if path is None:
         return view.persist()
-    view.write.mode("overwrite").parquet(path)
-    return view.sparkSession.read.parquet(path)
+    return publish_view(view, path)
+
+
+def publish_view(view: DataFrame, root: str) -> DataFrame:
+    """Write the view as a new version under ``root`` and switch ``root/_CURRENT``
+    to it. Readers (:func:`read_view`) see the old or the new view, never a half
+    written one; the previous version is kept for readers that resolved it
+    already, older ones are removed."""
+    spark = view.sparkSession
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    view.write.mode("overwrite").parquet(f"{root}/{version}")
+    pointer = f"{root}/_CURRENT"
+    previous = fs.read_text(spark, pointer)
+    fs.write_text(spark, pointer, version)
+    for d in fs.glob_dirs(spark, f"{root}/v-*"):
+        if d.rstrip("/").rsplit("/", 1)[1] not in (version, previous):
+            fs.delete(spark, d)
+    return spark.read.parquet(f"{root}/{version}")
+
+
+def read_view(spark, root: str) -> DataFrame:
+    """The current published view under ``root``."""
+    version = fs.read_text(spark, f"{root}/_CURRENT")
+    if version is None:
+        raise FileNotFoundError(f"no view published under {root}")
+    return spark.read.parquet(f"{root}/{version}")

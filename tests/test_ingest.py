@@ -193,3 +193,18 @@ def test_pointer_survives_stop_between_delete_and_rename(spark, tmp_root):
     fs.delete(spark, store.pointer)
     assert store.compacted_through() == 0
     assert store.read_master().count() == 10
+
+
+def test_published_view_switches_atomically(spark, tmp_root):
+    from lamina.operators import pageviews as PV
+
+    root = f"{tmp_root}/view"
+    v1 = spark.createDataFrame([("u", "h", 0, 1)], "url string, granularity string, bucket int, pageviews bigint")
+    v2 = spark.createDataFrame([("u", "h", 0, 2)], "url string, granularity string, bucket int, pageviews bigint")
+    PV.cache_view(v1, root)
+    assert PV.read_view(spark, root).first().pageviews == 1
+    PV.cache_view(v2, root)
+    assert PV.read_view(spark, root).first().pageviews == 2
+    PV.cache_view(v1, root)
+    assert PV.read_view(spark, root).first().pageviews == 1
+    assert len(fs.glob_dirs(spark, f"{root}/v-*")) == 2  # current and previous only
