@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import near_dedup, packing, piece_codec, repetition, secret_scan, token_counts, toxicity
+from lamina.llm import fingerprints, lm_scoring, near_dedup, packing, piece_codec, repetition, secret_scan, token_counts, toxicity, url_cascade
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality."""
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), good)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -27,7 +33,22 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = repetition.quality(_table(spark, sf_dir, "documents"))
-    return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered_words", "longest_repeat")
+    return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered_words")
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fingerprints.edited_pairs(_table(spark, sf_dir, "documents"))
+    own, edited = F.col("sketch"), F.col("edited_sketch")
+    return p.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        F.array_join(own, "").alias("fingerprint"),
+        F.array_join(edited, "").alias("edited_fingerprint"),
+        fingerprints.likeness(own, edited).alias("near_edited"),
+        fingerprints.likeness(own, F.col("next_sketch")).alias("near_next"),
+        fingerprints.containment(own, edited).alias("kept_in_edited"),
+    )
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +68,11 @@ def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_cascade.judge(pages, url_cascade.listed_hosts(pages)).select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(_table(spark, sf_dir, "documents"))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -67,8 +93,78 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op2_packing, op3_quality_rules, op5_near_dedup, op6_toxicity, op7_piece_codec, op9_secret_scan, op10_token_counts, pipeline)}
+    return {q.__name__: q for q in (op1_lm_scoring, op2_packing, op3_quality_rules, op4_fingerprints, op5_near_dedup, op6_toxicity, op7_piece_codec, op8_url_cascade, op9_secret_scan, op10_token_counts, pipeline)}
+
+
+#: The words of a text, and a list's windows of n words, as DuckDB expressions.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')"
+
+_OP3 = f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
+win AS (SELECT r, n, i, list_slice(ws, i, i + n - 1) AS g
+        FROM w, (VALUES (5), (8), (101)) AS s(n), range(1, len(ws) - n + 2) AS t(i) WHERE len(ws) >= n),
+rep AS (SELECT r, n, i FROM win QUALIFY count(*) OVER (PARTITION BY r, n, g) > 1),
+cov AS (SELECT r, n, count(DISTINCT i + k) AS c FROM rep, range(0, rep.n) AS t(k) GROUP BY r, n),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM w),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS d FROM lines
+        WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]') GROUP BY r),
+base AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(d, 0) AS n_dup_lines,
+         coalesce(c8.c, 0) AS n_repeat_words, coalesce(c5.c, 0) AS covered_words, c101.c IS NOT NULL AS long_repeat
+  FROM w LEFT JOIN dup USING (r) LEFT JOIN cov c8 ON c8.r = w.r AND c8.n = 8
+  LEFT JOIN cov c5 ON c5.r = w.r AND c5.n = 5 LEFT JOIN cov c101 ON c101.r = w.r AND c101.n = 101)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 100 * covered_words > 30 * n_words OR long_repeat) AS kept,
+       covered_words::BIGINT AS covered_words
+FROM base
+"""
+
+_OP4 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, md5(coalesce(text, '')) AS h FROM documents),
+o AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS nxt
+      FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, h ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (SELECT row_number() OVER () AS r, doc_id, n, text, nxt,
+             substring(text, 1, n - n // 3) || substring(nxt, 1, n // 3) AS edited FROM o),
+t AS (SELECT r, 1 AS k, {_WORDS} AS ws FROM e UNION ALL
+      SELECT r, 2, {_WORDS.replace("text", "edited")} FROM e UNION ALL SELECT r, 3, {_WORDS.replace("text", "nxt")} FROM e),
+s AS (SELECT r, k, list_transform(range(1, greatest(len(ws) - 4, 1) + 1),
+                                  lambda i: substring(md5(array_to_string(list_slice(ws, i, i + 4), ' ')), 1, 16)) AS g
+      FROM t WHERE len(ws) > 0),
+f AS (SELECT r, k, CASE WHEN len(list_filter(g, lambda x: x < '2')) > 0
+                        THEN list_sort(list_distinct(list_filter(g, lambda x: x < '2'))) ELSE [list_min(g)] END AS f FROM s),
+p AS (SELECT e.*, coalesce(a.f, []::VARCHAR[]) AS a, coalesce(b.f, []::VARCHAR[]) AS b, coalesce(c.f, []::VARCHAR[]) AS c
+      FROM e LEFT JOIN f a ON a.r = e.r AND a.k = 1 LEFT JOIN f b ON b.r = e.r AND b.k = 2 LEFT JOIN f c ON c.r = e.r AND c.k = 3)
+SELECT doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+       array_to_string(b, '') AS edited_fingerprint,
+       CASE WHEN len(a) + len(b) = 0 THEN 1.0::DOUBLE
+            ELSE len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END AS near_edited,
+       CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE
+            ELSE len(list_intersect(a, c))::DOUBLE / (len(a) + len(c) - len(list_intersect(a, c))) END AS near_next,
+       CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(a, b))::DOUBLE / len(a) END AS kept_in_edited
+FROM p
+"""
+
+_OP8 = r"""
+WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT *, CASE
+        WHEN (host = 'www.example.com' OR suffix(host, '.www.example.com')) AND prefix(path, '/en/') THEN 'www.example.com/en/'
+        WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/en/') THEN 'example.com/en/'
+        WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/es/') THEN 'net/es/'
+        WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/fr/') THEN 'net/fr/'
+        WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/') THEN 'com/' END AS rule,
+      regexp_matches(host, '(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)') AS listed FROM u)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
+FROM r
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL for the queries that SQL can express."""
+    return {"op3_quality_rules": _OP3, "op4_fingerprints": _OP4, "op8_url_cascade": _OP8}
