@@ -15,8 +15,9 @@ Two fixpoints compute the same map ``id -> smallest id of its connected componen
 
 No step collects a neighbour list: per-node facts come from ``min``/``max``
 aggregates (partial aggregation before the shuffle, so a hub node costs one row per
-map task) joined back to the edges, and AQE's skew join splits a hub's edges across
-tasks. Each round's output is written as a Parquet table in the shared checkpoint
+map task) joined back to the edges. Inside a fixpoint these facts are written first, so
+both sides of the join come from a shuffle of their own and AQE's skew join can split a
+hub's edges across tasks. Each round's output is written as a Parquet table in the shared checkpoint
 folder (or cut by a reliable checkpoint), so a lost executor recomputes at most one
 round, and the next round's joins are planned from real table sizes.
 """
@@ -39,15 +40,6 @@ MAX_ROUNDS = 256
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
-# Edge sets estimated at least this large get the steps that pay off only at size:
-# bigint person codes and a written large-star step.
-LARGE_INPUT_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a DataFrame (from file sizes for scans)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
 
 class FixpointError(RuntimeError):
     """Raised when a fixpoint does not converge within its round budget."""
@@ -133,15 +125,17 @@ def progress_edges(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.col("progress")).select("a", "b")
 
 
-def equiv_round(edges: DataFrame) -> DataFrame:
-    """One relinking round.
+def equiv_round(edges: DataFrame, stage: Stage | None = None, name: str = "node_stats") -> DataFrame:
+    """One relinking round (I1). With ``stage`` the per-node facts are written first, so
+    that AQE can split a hub in the join with them.
 
     Returns ``(a, b, progress)``: the new edge set, one row per distinct edge, with
     ``progress`` true when any emission of that edge was a progress emission. So
     ``select(a, b)`` is the new edge set (A5) and ``where(progress)`` the progress
     edges (P8); A4 and A5 fold into one aggregate, one shuffle."""
     bi = bidirectional_edges(edges)
-    relinked = relink_to_smallest(bi, node_stats(bi))
+    stats = node_stats(bi)
+    relinked = relink_to_smallest(bi, stats if stage is None else stage(stats, name))
     return relinked.groupBy(F.col("m").alias("a"), F.col("x").alias("b")).agg(
         F.max("progress").alias("progress")
     )
@@ -188,12 +182,13 @@ def equiv_fixpoint(
     checkpoint folder); the progress edges are counted while the round is written
     (A9), so each round is one job. With ``trace`` every round's table is kept
     (the default stage deletes rounds that are two rounds old)."""
+    spark = edges.sparkSession
+    side = default_stage(spark)
     if stage is None:
-        spark = edges.sparkSession
         stage = parquet_stage(workspace(spark, "rounds")) if trace is not None else default_stage(spark)
     current = edges.select("a", "b")
     for i in range(1, max_rounds + 1):
-        flagged, progress = _observed_sum(equiv_round(current), f"equiv_round_{i}", F.col("progress"))
+        flagged, progress = _observed_sum(equiv_round(current, side, f"stats_{i}"), f"equiv_round_{i}", F.col("progress"))
         flagged = stage(flagged, f"equiv_round_{i}")
         if trace is not None:
             trace.append(flagged)
@@ -203,7 +198,7 @@ def equiv_fixpoint(
     raise FixpointError(f"equiv_fixpoint did not converge in {max_rounds} rounds")
 
 
-def _large_star(oriented: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def _large_star(oriented: DataFrame, name: str, stage: Stage) -> tuple[DataFrame, Observation]:
     """Large-star: every node links its larger neighbours to the smallest member of
     its closed neighbourhood. Output oriented ``a > b``. It is not made distinct:
     each input edge is relinked exactly once (from its smaller end), so the output
@@ -214,18 +209,19 @@ def _large_star(oriented: DataFrame, name: str) -> tuple[DataFrame, Observation]
     mins = bi.groupBy("a").agg(F.min("b").alias("min_b")).select(
         "a", F.least(F.col("a"), F.col("min_b")).alias("m")
     )
+    mins = stage(mins, f"{name}_mins")
     emitted = bi.where(F.col("b") > F.col("a")).join(mins, "a")
     emitted, obs = _observed_sum(emitted, name, F.col("m") != F.col("a"))
     return emitted.select(F.col("b").alias("a"), F.col("m").alias("b")), obs
 
 
-def _small_star(oriented: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def _small_star(oriented: DataFrame, name: str, stage: Stage) -> tuple[DataFrame, Observation]:
     """Small-star: every node links itself and its smaller neighbours to the smallest
     of them. Input oriented ``a > b`` (duplicates allowed), output oriented and
     distinct. One join with the per-node minimum yields both emitted edges, so the
     input is read twice (aggregate, join). The counter is the number of moved edges
     (a node with more than one smaller neighbour)."""
-    mins = oriented.groupBy("a").agg(F.min("b").alias("m"))
+    mins = stage(oriented.groupBy("a").agg(F.min("b").alias("m")), f"{name}_mins")
     joined, obs = _observed_sum(oriented.join(mins, "a"), name, F.col("b") != F.col("m"))
     both = F.explode(
         F.array(
@@ -248,22 +244,22 @@ def star_fixpoint(
     A round with no relink in large-star and no move in small-star proves the
     graph is a star forest around each component's smallest id: then every node
     with a larger neighbour has no smaller one, and every other node has exactly
-    one smaller neighbour. Each round is written as a table; on large inputs the
-    large-star step is written too, so small-star reads it twice instead of
-    recomputing it. The counters are filled by those writes. Returns star edges ``(a=id, b=smallest)`` and the number of
+    one smaller neighbour. Each round is written as a table, and so is the large-star
+    step, which small-star reads twice, and the minima of either step. The counters are
+    filled by those writes. Returns star edges ``(a=id, b=smallest)`` and the number of
     rounds. With ``trace`` every round's table is kept and appended to it."""
+    spark = edges.sparkSession
+    side = parquet_stage(workspace(spark, "stars"), keep_last=3)
     if stage is None:
-        spark = edges.sparkSession
         stage = parquet_stage(workspace(spark, "rounds")) if trace is not None else default_stage(spark)
     oriented = drop_self_loops(edges).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     oriented = stage(oriented.distinct(), "star_0")
     for i in range(1, max_rounds + 1):
-        large, relinked = _large_star(oriented, f"large_star_{i}")
-        if estimated_bytes(oriented) >= LARGE_INPUT_BYTES:
-            large = stage(large, f"large_{i}")
-        small, moved = _small_star(large, f"small_star_{i}")
+        large, relinked = _large_star(oriented, f"large_star_{i}", side)
+        large = side(large, f"large_{i}")
+        small, moved = _small_star(large, f"small_star_{i}", side)
         oriented = stage(small, f"star_{i}")
         if trace is not None:
             trace.append(oriented)
@@ -318,18 +314,15 @@ def canonical_ids(
     method: str = "star",
     stage: Stage | None = None,
     max_rounds: int = MAX_ROUNDS,
-    encode: bool | str = "auto",
+    encode: bool = True,
 ) -> DataFrame:
     """``(id, canonical_id)`` for every id that is not the smallest of its component
     (I3). Ids seen only in self-loops map to themselves and get no row.
 
-    With ``encode`` the fixpoint runs on order-preserving ``bigint`` codes of the
-    persons (:func:`person_codes`): its ``min``/``max`` aggregates are then hash
-    aggregates on fixed-width values instead of sort aggregates on structs, and every
-    shuffle carries 8-byte keys. The map is decoded at the end by two joins. With
-    ``"auto"`` (default) this happens when the optimizer's size estimate of the edges
-    is at least :data:`LARGE_INPUT_BYTES`; below that the one-off sort and joins cost
-    more than they save."""
+    With ``encode`` (default) the fixpoint runs on order-preserving ``bigint`` codes of
+    the persons (:func:`person_codes`), whatever the size: its ``min``/``max`` aggregates
+    are then hash aggregates on fixed-width values instead of sort aggregates on structs,
+    and every shuffle carries 8-byte keys. The map is decoded at the end by two joins."""
     if method not in ("star", "relink"):
         raise ValueError(f"unknown method {method!r}")
     spark = edges.sparkSession
@@ -338,8 +331,6 @@ def canonical_ids(
     stage = stage or default_stage(spark)
     codes = None
     work = edges.select("a", "b")
-    if encode == "auto":
-        encode = estimated_bytes(work) >= LARGE_INPUT_BYTES
     if encode:
         work = drop_self_loops(work)
         codes = person_codes(work, keep)

@@ -372,10 +372,8 @@ def q_granularity_sum(spark, sf_dir):
 
 def q_progress_count(spark, sf_dir):
     r1 = _round1(spark, sf_dir)
-    return r1.agg(
-        F.count(F.lit(1)).alias("edges"),
-        F.count(F.when(F.col("progress"), 1)).alias("progress_edges"),
-    )
+    progress = F.lit(I.progress_count(r1)).cast("bigint")
+    return r1.agg(F.count(F.lit(1)).alias("edges")).withColumn("progress_edges", progress)
 
 
 def q_pageview_batch_view(spark, sf_dir):
@@ -410,7 +408,8 @@ def q_equiv_fixpoint(spark, sf_dir):
 
 
 def q_canonical_ids(spark, sf_dir):
-    return canon(spark, sf_dir).select(*flat_person("id", "id"), *flat_person("canonical_id", "canonical"))
+    found = I.canonical_ids(_equiv_edges(spark, sf_dir))
+    return found.select(*flat_person("id", "id"), *flat_person("canonical_id", "canonical"))
 
 
 def q_batch_workflow(spark, sf_dir):

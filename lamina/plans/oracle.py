@@ -41,14 +41,36 @@ def flat_select(src: str, **vals: str) -> str:
     return f"SELECT {cols} FROM {src}"
 
 
+# Persons are numbers here: a user id, or for a cookie its number less this, so that
+# cookies come before users and among themselves in the order of their text.
+COOKIE_BASE = 10**12
+
+
+def kind(expr: str) -> str:
+    return f"CASE WHEN {expr} < 0 THEN 1 WHEN {expr} >= 0 THEN 2 END"
+
+
+def cookie(expr: str) -> str:
+    return f"CASE WHEN {expr} < 0 THEN 'c' || lpad(CAST({expr} + {COOKIE_BASE} AS VARCHAR), 12, '0') END"
+
+
+def user(expr: str) -> str:
+    return f"CASE WHEN {expr} >= 0 THEN {expr} END"
+
+
 def person(expr: str, prefix: str) -> str:
-    """A user-id person flattened to ``<prefix>_kind/_cookie/_user_id``."""
+    """A person flattened to ``<prefix>_kind/_cookie/_user_id``."""
     return (
-        f"CAST(CASE WHEN {expr} IS NULL THEN NULL ELSE 2 END AS INTEGER) AS {prefix}_kind, "
-        f"CAST(NULL AS VARCHAR) AS {prefix}_cookie, CAST({expr} AS BIGINT) AS {prefix}_user_id"
+        f"CAST({kind(expr)} AS INTEGER) AS {prefix}_kind, "
+        f"CAST({cookie(expr)} AS VARCHAR) AS {prefix}_cookie, CAST({user(expr)} AS BIGINT) AS {prefix}_user_id"
     )
 
 
+def who(expr: str, prefix: str = "person") -> dict[str, str]:
+    """The same as values of :func:`flat_select`."""
+    return {f"{prefix}_kind": kind(expr), f"{prefix}_cookie": cookie(expr), f"{prefix}_user_id": user(expr)}
+
+
 def _facts(url) -> str:
     pv = flat_select(
         "pvr",
@@ -57,11 +79,10 @@ def _facts(url) -> str:
         true_as_of_secs="secs",
         source="'SELF'",
         system="'page_view'",
-        person_kind="2",
-        person_user_id="user_id",
         page_kind="1",
         page_url=url("raw_url"),
         nonce="nonce",
+        **who("user_id"),
     )
     eq = flat_select(
         "eqf",
@@ -70,25 +91,23 @@ def _facts(url) -> str:
         true_as_of_secs="secs",
         source="'SELF'",
         system="'page_view'",
-        person_kind="2",
-        person_user_id="a",
-        person2_kind="2",
-        person2_user_id="b",
+        **who("a"),
+        **who("b", "person2"),
     )
     prop = dict(true_as_of_secs="0", source="'BACKTYPE'", system="'external_data'")
     pp = flat_select(
         "pprop", unit_id="2", property_id="1", page_kind="1", page_url=url("raw_url"), page_views="page_views", **prop
     )
-    who = dict(person_kind="2", person_user_id="c_custkey", **prop)
-    p1 = flat_select("people", unit_id="1", property_id="1", full_name="c_name", **who)
+    customer = dict(person_kind="2", person_user_id="c_custkey", **prop)
+    p1 = flat_select("people", unit_id="1", property_id="1", full_name="c_name", **customer)
     p2 = flat_select(
         "people",
         unit_id="1",
         property_id="2",
         gender="CASE WHEN c_custkey % 2 = 1 THEN 'MALE' ELSE 'FEMALE' END",
-        **who,
+        **customer,
     )
-    p3 = flat_select("people", unit_id="1", property_id="3", country="n_name", **who)
+    p3 = flat_select("people", unit_id="1", property_id="3", country="n_name", **customer)
     return "\nUNION ALL\n".join([pv, eq, pp, p1, p2, p3])
 
 
@@ -99,10 +118,10 @@ ev_all AS (
          CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS secs
   FROM events),
 eqf AS (
-  SELECT user_id AS a,
-         CAST(json_extract_string(props, '$.k') AS BIGINT) + 100 * (user_id // 100) AS b,
-         secs
-  FROM ev_all WHERE event_type = 'error' AND value < 2),
+  SELECT user_id AS a, CASE k WHEN 8 THEN user_id + 1 WHEN 9 THEN user_id WHEN 7 THEN -{COOKIE_BASE}
+           ELSE event_id - (CASE WHEN event_id % 8 = 0 THEN event_id % 16 ELSE 0 END) - {COOKIE_BASE} END AS b, secs
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM ev_all WHERE event_type = 'error') e),
+npages AS (SELECT coalesce(max(page_id), 0) + 1 AS np FROM pages),
 eq AS (SELECT DISTINCT a, b FROM eqf),
 bi AS (SELECT a, b FROM eq WHERE a <> b UNION SELECT b, a FROM eq WHERE a <> b),
 reach AS (
@@ -127,7 +146,7 @@ raw AS (
             FROM ev e LEFT JOIN canon c ON c.id = e.user_id WHERE e.event_id % 7 = 0),
 pvr AS (
   SELECT r.user_id, p.url AS raw_url, r.secs, r.event_id AS nonce
-  FROM raw r JOIN pages p ON p.page_id = r.event_id % 10),
+  FROM raw r CROSS JOIN npages LEFT JOIN pages p ON p.page_id = r.event_id % np),
 pvn AS (
   SELECT v.user_id AS raw_user_id, c.canonical_id,
          coalesce(c.canonical_id, v.user_id) AS user_id,
@@ -145,7 +164,7 @@ gran AS (
 view AS (
   SELECT url, granularity, bucket, CAST(sum(pageviews) AS BIGINT) AS pageviews
   FROM gran GROUP BY 1, 2, 3),
-pcount AS (SELECT event_id % 10 AS page_id, count(*) AS n FROM ev GROUP BY 1),
+pcount AS (SELECT event_id % np AS page_id, count(*) AS n FROM ev CROSS JOIN npages GROUP BY 1),
 pprop AS (
   SELECT p.url AS raw_url, CAST(coalesce(c.n, 0) AS INTEGER) AS page_views
   FROM pages p LEFT JOIN pcount c ON c.page_id = p.page_id),
@@ -158,12 +177,10 @@ nfacts AS (
 {_facts(sql_normalize_url)}),
 ufacts AS (
 {flat_select("uniq", unit_id="4", property_id="0", true_as_of_secs="secs", source="'SELF'",
-             system="'page_view'", person_kind="2", person_user_id="user_id", page_kind="1",
-             page_url="url", nonce="nonce")}),
+             system="'page_view'", page_kind="1", page_url="url", nonce="nonce", **who("user_id"))}),
 nviews AS (
 {flat_select("pvn", unit_id="4", property_id="0", true_as_of_secs="secs", source="'SELF'",
-             system="'page_view'", person_kind="2", person_user_id="user_id", page_kind="1",
-             page_url="url", nonce="nonce")})
+             system="'page_view'", page_kind="1", page_url="url", nonce="nonce", **who("user_id"))})
 """
 
 FACTS = f"{BASE} SELECT * FROM facts"
@@ -217,7 +234,7 @@ def oracle_sql() -> dict[str, str]:
             "raw_url AS page_url, nonce FROM pvr"
         ),
         "hour_bucket": _q(
-            "SELECT url, CAST(user_id AS BIGINT) AS user_id, CAST(secs // 3600 AS INTEGER) AS hour FROM uniq"
+            f"SELECT url, CAST({user('user_id')} AS BIGINT) AS user_id, CAST(secs // 3600 AS INTEGER) AS hour FROM uniq"
         ),
         "coarse_buckets": _q(
             "SELECT hour, CAST(hour // 24 AS INTEGER) AS day, CAST(hour // 24 // 7 AS INTEGER) AS week, "

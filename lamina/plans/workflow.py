@@ -1,9 +1,11 @@
 """The batch workflow (W1): ingest → normalize URLs → normalize user ids → dedup →
 batch view, as a chain of DataFrame functions.
 
-With ``stage_root`` every step is written (vertical layout) and read back, so a
-failed run restarts from the last finished step; without it the steps fuse into
-one plan per action and Catalyst prunes partitions and columns through them.
+With ``stage_root`` every step is written (vertical layout) and read back; without it
+the steps fuse into one plan per action and Catalyst prunes partitions and columns
+through them. A failed run is run again from its start. The result without
+``view_path`` is a plan over master: it stays readable until the second compaction
+after it, as every held reader of master does.
 """
 
 from __future__ import annotations
@@ -15,8 +17,6 @@ from lamina.functions.facts import with_target
 from lamina.operators import identity as I
 from lamina.operators import pageviews as PV
 from lamina.operators.urls import normalize_urls
-from lamina.session import size_shuffles
-from lamina.sources import fs
 from lamina.sources.store import FactStore, scan_unit, stage_facts
 from lamina.streaming.ingest import ingest
 
@@ -59,7 +59,6 @@ def batch_workflow(
     """Ingest new facts, then build the sorted page-view batch view from all of
     master. Late facts are handled by recomputing from master each run."""
     ingest(store)
-    size_shuffles(spark, fs.total_bytes(spark, store.master_path()))
     unique = unique_pageviews(store.read_master(), stage_root=stage_root, method=method)
     view = PV.pageview_batch_view(unique)
     if view_path:

@@ -8,6 +8,7 @@ as in tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,26 +36,12 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-ADVISORY_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = ADVISORY_PARTITION_BYTES) -> int:
-    """Size shuffles for an input of ``input_bytes``: at least one shuffle partition
-    per ``target_bytes`` of input, so no task must hold more than it can sort or hash
-    in memory, and AQE coalesces partitions that turn out small (after partial
-    aggregation most are). Only ever raises the setting. Returns the partition count."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    wanted = max(current, -(-int(input_bytes) // int(target_bytes)))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
-    return wanted
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and run data.
 
     Order: ``spark.checkpoint.dir``, then the context's checkpoint dir; only when
-    both are unset is a local folder made (tests on one machine)."""
+    both are unset and the master is local is a local folder made. On a cluster the
+    executors would not share it, so there a missing setting raises."""
     sc = spark.sparkContext
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
@@ -64,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir.rstrip("/")
     if current:
         return current.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="lamina-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -72,7 +61,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def workspace(spark: SparkSession, name: str = "run") -> str:
     """A fresh directory under the shared checkpoint folder for one run's data."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base}/lamina/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/lamina/{name}-{uuid.uuid4().hex[:12]}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_made: dict[str, list[str]] = {}
+
+
+def remove_workspaces(spark: SparkSession) -> int:
+    """Delete every folder :func:`workspace` has given to this application; returns how
+    many. For the end of a run, once its results are read or copied."""
+    from lamina.sources import fs
+
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        fs.delete(spark, path)
+    return len(paths)
 
 
 def checkpoint_stage(df: DataFrame, name: str = "") -> DataFrame:
@@ -113,18 +118,12 @@ def default_stage(spark: SparkSession):
     return parquet_stage(workspace(spark, "stage"), keep_last=2)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for assertions on local test folders)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 __all__ = [
     "build_session",
     "checkpoint_stage",
     "default_stage",
-    "size_shuffles",
+    "remove_workspaces",
     "ensure_checkpoint_dir",
-    "local_path",
     "parquet_stage",
     "workspace",
 ]

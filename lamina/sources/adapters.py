@@ -1,11 +1,13 @@
 """Facts from the driver tables (``events``, ``pages``, ``customer``, ``nation``).
 
-* page views: view/click events; person = user id, page = URL of page
-  ``event_id % 10``, nonce = event id, time = epoch seconds of ``ts``. Two kinds of
-  redelivery give the dedup work: every 10th event again, and every 7th again under
-  its canonical id.
-* equiv edges: error events with ``value < 2`` link the user to
-  ``props.k + 100 * (user_id div 100)``.
+* page views: view/click events; person = user id, page = URL of the page
+  ``event_id % (largest page_id + 1)`` (a page without a row has no URL: the view keeps
+  a null one, and :func:`views_without_page` counts them), nonce = event id, time =
+  epoch seconds of ``ts``. Two kinds of redelivery give the dedup work: every 10th
+  event again, and every 7th again under its canonical id.
+* equiv edges: every error event links its user to another person (:func:`_linked`),
+  by ``props.k``: one cookie that many users share (a hub), the next user, the user
+  itself, or a cookie of the event; some events share that cookie.
 * page properties: ``page_views`` = number of view/click events on the page.
 * person properties: full name, gender and country (location) per customer.
 
@@ -25,11 +27,11 @@ from lamina.functions import facts as FF
 from lamina.operators.identity import canonical_ids, equiv_pairs
 
 # Fixed values of the adapter.
-PAGE_MODULUS = 10  # page of an event: event_id % 10
 REDELIVER_EVERY = 10  # every 10th event is delivered twice
 REDELIVER_CANONICAL_EVERY = 7  # every 7th again under the canonical id
-EQUIV_MAX_VALUE = 2.0  # error events with value < 2 carry an equiv edge
-EQUIV_USER_BLOCK = 100  # the linked id stays in the user's block of 100
+HUB_K, NEXT_USER_K, SELF_K = 7, 8, 9  # props.k of edges to the hub, the next user, itself
+COOKIE_SHARED = 16  # events 16 n and 16 n + 8 share a cookie
+COOKIE_DIGITS = 12  # zero-padded, so cookies sort as their numbers do
 VIEW_TYPES = ["view", "click"]
 
 
@@ -55,22 +57,36 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", "user_id", "event_type", "value", "props", epoch_seconds(ev, "ts").alias("secs"))
 
 
+def _linked(k, user, event):
+    """The other person of an error event's edge."""
+    number = F.when(k == HUB_K, F.lit(0)).when(event % (COOKIE_SHARED // 2) == 0, event - event % COOKIE_SHARED).otherwise(event)
+    cookie = FF.cookie_person(F.concat(F.lit("c"), F.lpad(number.cast("string"), COOKIE_DIGITS, "0")))
+    return F.when(k == NEXT_USER_K, FF.user_person(user + 1)).when(k == SELF_K, FF.user_person(user)).otherwise(cookie)
+
+
 def equiv_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _events(spark, sf_dir).where(
-        (F.col("event_type") == "error") & (F.col("value") < EQUIV_MAX_VALUE)
-    )
-    other = F.get_json_object("props", "$.k").cast("bigint") + EQUIV_USER_BLOCK * F.call_function(
-        "div", F.col("user_id"), F.lit(EQUIV_USER_BLOCK)
-    )
-    return ev.select(
-        *FF.make_fact(FF.pedigree(F.col("secs")), FF.equiv_unit(FF.user_person("user_id"), FF.user_person(other)))
-    )
+    ev = _events(spark, sf_dir).where(F.col("event_type") == "error")
+    other = _linked(F.get_json_object("props", "$.k").cast("bigint"), F.col("user_id"), F.col("event_id"))
+    return ev.select(*FF.make_fact(FF.pedigree(F.col("secs")), FF.equiv_unit(FF.user_person("user_id"), other)))
 
 
 def _page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "pages").select("page_id", "url")
 
 
+def _with_page(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the number of their page: over all pages, whatever their count."""
+    last = _page_urls(spark, sf_dir).agg(F.max("page_id")).first()[0] or 0
+    return events.withColumn("page_id", F.col("event_id") % F.lit(last + 1))
+
+
+def views_without_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n``: how many view/click events have a page without a row in ``pages``."""
+    ev = _events(spark, sf_dir).where(F.col("event_type").isin(*VIEW_TYPES))
+    missed = _with_page(ev, spark, sf_dir).join(_page_urls(spark, sf_dir), "page_id", "left_anti")
+    return missed.agg(F.count(F.lit(1)).alias("n"))
+
+
 def pageview_facts(spark: SparkSession, sf_dir: str, canon: DataFrame | None = None) -> DataFrame:
     """Page-view facts with both kinds of redelivery."""
     ev = (
@@ -88,8 +104,7 @@ def pageview_facts(spark: SparkSession, sf_dir: str, canon: DataFrame | None = N
         .select(F.coalesce("_canonical", "person").alias("person"), "event_id", "secs")
     )
     raw = ev.unionByName(again).unionByName(under_canonical)
-    pages = _page_urls(spark, sf_dir)
-    joined = raw.join(pages, (F.col("event_id") % PAGE_MODULUS) == F.col("page_id"))
+    joined = _with_page(raw, spark, sf_dir).join(_page_urls(spark, sf_dir), "page_id", "left")
     return joined.select(
         *FF.make_fact(
             FF.pedigree(F.col("secs")),
@@ -100,12 +115,8 @@ def pageview_facts(spark: SparkSession, sf_dir: str, canon: DataFrame | None = N
 
 def page_property_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``page_views`` property per page (0 for pages no event hits)."""
-    counts = (
-        _events(spark, sf_dir)
-        .where(F.col("event_type").isin(*VIEW_TYPES))
-        .groupBy((F.col("event_id") % PAGE_MODULUS).alias("page_id"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    ev = _events(spark, sf_dir).where(F.col("event_type").isin(*VIEW_TYPES))
+    counts = _with_page(ev, spark, sf_dir).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
     pages = _page_urls(spark, sf_dir).join(counts, "page_id", "left")
     return pages.select(
         *FF.make_fact(

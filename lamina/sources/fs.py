@@ -7,6 +7,7 @@ store the cluster names (HDFS, object stores, local files in tests).
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -39,21 +40,12 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def data_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files below ``path`` (hidden ``_``/``.`` files and folders skipped)."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        fp = st.getPath()
-        rel = str(fp.toUri().getPath())[len(str(p.toUri().getPath())) :]
-        if any(part.startswith(("_", ".")) for part in rel.split("/") if part):
-            continue
-        out.append(str(fp))
-    return out
+def count_paths(spark: SparkSession, pattern: str) -> int:
+    """How many paths match a glob pattern (e.g. the data files of folders); the names
+    stay in the JVM."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return 0 if found is None else len(found)
 
 
 def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
@@ -63,39 +55,51 @@ def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
     return [] if found is None else [str(st.getPath()) for st in found]
 
 
+def _numbered(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """The versions of a small text file, the newest first."""
+    found = ((d.rsplit(".", 1)[1], d) for d in glob_dirs(spark, f"{path}.[0-9]*"))
+    return sorted(((int(n), d) for n, d in found if n.isdigit()), reverse=True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small text file: write a sibling, then rename over the target."""
-    fs, p = _fs(spark, path)
+    """Replace a small text file in one step: a new version ``<path>.<n>`` appears by one
+    rename to a name that did not exist, which no file system does by halves. Readers
+    take the largest number, so they find the old contents or the new. The version
+    before is kept for readers that have just listed it. One writer at a time."""
+    fs, _ = _fs(spark, path)
     jvm = spark.sparkContext._jvm
+    versions = _numbered(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    number = versions[0][0] + 1 if versions else 0
+    if not fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(f"{path}.{number}")):
+        raise OSError(f"{path}.{number} could not be written")
+    for _, old in versions[1:]:
+        delete(spark, old)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    """Contents of a small text file written by :func:`write_text`.
-
-    :func:`write_text` completes the sibling ``.tmp`` before it removes the old
-    file, so when the file itself is missing (a writer stopped between delete and
-    rename) the sibling holds the complete new value and is read instead."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-        if not fs.exists(tmp):
+    """Contents of a small text file written by :func:`write_text`; None without one."""
+    jvm = spark.sparkContext._jvm
+    for _ in range(10):
+        versions = _numbered(spark, path)
+        if not versions:
             return None
-        p = tmp
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8")
-        )
-        line = reader.readLine()
-        return None if line is None else str(line)
-    finally:
-        stream.close()
+        fs, p = _fs(spark, versions[0][1])
+        try:
+            stream = fs.open(p)
+        except Py4JJavaError:  # replaced twice since it was listed
+            if fs.exists(p):
+                raise
+            continue
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            line = reader.readLine()
+            return None if line is None else str(line)
+        finally:
+            stream.close()
+    raise OSError(f"{path} is replaced faster than it can be read")

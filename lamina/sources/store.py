@@ -2,8 +2,9 @@
 
 Layout under one root (a folder in the cluster's shared storage)::
 
+    rejected/ingest_id=7/             facts that cannot be routed, with a reason
     new/                              flat Parquet, appended by producers (S2)
-    master/_COMPACTED                 K: batches <= K are compacted (a few bytes)
+    master/_COMPACTED                 K and the live compactions (a few bytes)
     master/unit_id=4/property_id=0/ingest_id=7/part-*.parquet     an ingest batch
     master/unit_id=4/property_id=0/ingest_id=-9/part-*.parquet    a compaction
     _ingest/checkpoint, _ingest/archive   streaming ingest state (lamina.streaming)
@@ -11,11 +12,13 @@ Layout under one root (a folder in the cluster's shared storage)::
 Partitions are ``unit_id`` / ``property_id`` (the union arm tags, S9) and
 ``ingest_id`` (the ingest batch). A batch written twice overwrites itself (dynamic
 partition overwrite), so a replayed ingest batch never duplicates facts.
-Compaction merges only new batches and moves the pointer (S12).
+Compaction merges the new batches, with earlier compactions that are not much larger,
+and moves the pointer (S12). What it merged stays on disk until the next compaction.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -126,12 +129,18 @@ def scan_with_path(spark: SparkSession, path: str, schema=S.MASTER) -> DataFrame
 @dataclass
 class TolerantScan:
     facts: DataFrame
-    listed: DataFrame  # one row per data file found: ``file_path``
-    lost: DataFrame  # one row per listed file that yielded no row: ``file_path``
+    #: One row per data file: ``file_path``, ``expected`` (rows by its footer; null if
+    #: that can't be read) and ``read`` (rows that were decoded whole).
+    files: DataFrame
+
+    @property
+    def lost(self) -> DataFrame:
+        """The files that did not yield all their rows."""
+        return self.files.where("expected is null or read < expected")
 
     @property
     def files_listed(self) -> int:
-        return self.listed.count()
+        return self.files.count()
 
     @property
     def lost_count(self) -> int:
@@ -142,30 +151,36 @@ class TolerantScan:
         return self.files_listed - self.lost_count
 
     @property
-    def lost_files(self) -> list[str]:
-        """The lost files, for reporting (one row per damaged file)."""
-        return [r[0] for r in self.lost.orderBy("file_path").collect()]
+    def lost_rows(self) -> int:
+        """Rows missing from files with a readable footer."""
+        row = self.lost.agg(F.sum(F.col("expected") - F.col("read"))).first()
+        return int(row[0] or 0)
 
 
 def scan_tolerant(spark: SparkSession, path: str, schema=S.FACT) -> TolerantScan:
-    """Read what can be read; report files that yielded nothing.
-
-    Corrupt files are skipped (``ignoreCorruptFiles``) instead of failing the job;
-    transient faults are retried by ``spark.task.maxFailures``. Files listed but not
-    seen among the rows' ``_metadata.file_path`` are reported as lost (an empty file
-    counts as lost too; it is reported, not failed). The listing is itself a
-    DataFrame (the ``binaryFile`` source with only ``path`` selected reads no file
-    content), so no file list passes through the driver; the report is an anti join
-    of the listing with the distinct file paths of the rows."""
+    """Read what can be read; report files that lost rows.
+
+    Corrupt files are skipped from the fault on (``ignoreCorruptFiles``) instead of
+    failing the job; transient faults are retried by ``spark.task.maxFailures``. The
+    report compares, file by file, the rows that the footer states (a scan of no
+    column) with the rows of which every leaf was decoded, so damaged pages show as
+    well as damaged footers. The listing is itself a DataFrame (the ``binaryFile``
+    source with only ``path`` selected reads no file content): no file list passes
+    through the driver. The report is a second and third pass over the files, run only
+    when it is asked for."""
     df = scan_facts(spark, path, schema, tolerant=True)
+    at = _norm(F.col("_metadata.file_path")).alias("file_path")
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
         .select(_norm(F.col("path")).alias("file_path"))
     )
-    seen = df.select(_norm(F.col("_metadata.file_path")).alias("file_path")).distinct()
-    return TolerantScan(df, listed, listed.join(seen, "file_path", "left_anti"))
+    expected = df.groupBy(at).agg(F.count(F.lit(1)).alias("expected"))
+    whole = df.select(at, F.xxhash64("pedigree", "dataunit").alias("_h"))
+    read = whole.groupBy("file_path").agg(F.count("_h").alias("read"), F.bit_xor("_h").alias("_all")).where("_all is not null")
+    files = listed.join(expected, "file_path", "left").join(read.select("file_path", "read"), "file_path", "left")
+    return TolerantScan(df, files.withColumn("read", F.coalesce("read", F.lit(0))))
 
 
 def _norm(path: Column) -> Column:
@@ -206,11 +221,12 @@ class FactStore:
 
     Master holds two kinds of partitions: ingest batches (``ingest_id >= 0``, one
     per micro-batch, many small files) and compactions (``ingest_id < 0``). The
-    pointer file ``master/_COMPACTED`` holds K: batches ``<= K`` have been merged
-    into compactions ``-(j + 2)`` for j <= K. Readers see batches above K and
-    compactions at or above ``-(K + 2)``, a partition filter, so moving K switches
-    from the batches to their compaction at once, and a compaction that was written
-    but not committed is never seen."""
+    pointer file ``master/_COMPACTED`` holds K and the ids of the live compactions:
+    batches ``<= K`` are in these. Readers see batches above K and the live
+    compactions, a partition filter, so replacing the pointer (one rename) switches
+    from the merged parts to their compaction at once. A compaction that was written
+    but not committed is not live and never seen, and what a compaction merged stays
+    on disk until the next one, for readers that hold the pointer of before."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -218,12 +234,20 @@ class FactStore:
         self.new_path = f"{self.root}/new"
         self.master = f"{self.root}/master"
         self.pointer = f"{self.master}/_COMPACTED"
+        self.rejected = f"{self.root}/rejected"
         self.ingest_checkpoint = f"{self.root}/_ingest/checkpoint"
         self.ingest_archive = f"{self.root}/_ingest/archive"
 
-    def compacted_through(self) -> int:
+    def state(self) -> tuple[int, tuple[int, ...]]:
+        """(K, live compactions) of the pointer."""
         text = fs.read_text(self.spark, self.pointer)
-        return int(text) if text else -1
+        if not text:
+            return -1, ()
+        held = json.loads(text)
+        return int(held["through"]), tuple(held["live"])
+
+    def compacted_through(self) -> int:
+        return self.state()[0]
 
     def master_path(self) -> str:
         return self.master
@@ -237,21 +261,27 @@ class FactStore:
     def read_new(self) -> DataFrame:
         return scan_facts(self.spark, self.new_path)
 
-    def visible(self, k: int | None = None):
-        """Partition predicate selecting the live facts for pointer value ``k``."""
-        k = self.compacted_through() if k is None else k
+    def visible(self, state: tuple[int, tuple[int, ...]] | None = None) -> Column:
+        """Partition predicate selecting the live facts for a pointer's state."""
+        k, live = self.state() if state is None else state
         ing = F.col("ingest_id")
-        return (ing > k) | ((ing < 0) & (ing >= -(k + 2)))
+        return (ing > k) | ing.isin(*live) if live else ing > k
 
     def read_master(self) -> DataFrame:
-        return scan_facts(self.spark, self.master, S.MASTER).where(self.visible())
+        """The live facts. The pointer is read before the files are listed and again
+        after; if a compaction committed in between, both are read again, so the
+        listing always has the parts that the pointer names."""
+        for _ in range(100):
+            state = self.state()
+            listed = scan_facts(self.spark, self.master, S.MASTER)
+            if self.state() == state:
+                return listed.where(self.visible(state))
+        raise RuntimeError("compactions kept committing while master was listed")
 
     def batch_ids(self) -> list[int]:
-        """Ingest ids present in master (from the directory listing, no data read)."""
-        ids = set()
-        for d in fs.glob_dirs(self.spark, f"{self.master}/unit_id=*/property_id=*/ingest_id=*"):
-            ids.add(int(d.rstrip("/").rsplit("ingest_id=", 1)[1]))
-        return sorted(ids)
+        """Live ingest ids in master (from the directory listing, no data read)."""
+        k, live = self.state()
+        return sorted(i for i in self._dirs() if i > k or i in live)
 
     # writes
     def append_new(self, facts: DataFrame) -> None:
@@ -267,6 +297,16 @@ class FactStore:
             raise ValueError("ingest ids are >= 0; negative ids are compactions")
         self._write(shredded.withColumn("ingest_id", F.lit(int(ingest_id)).cast("bigint")))
 
+    def reject(self, facts: DataFrame, ingest_id: int) -> None:
+        """Keep facts that cannot be routed, with their ``reason``; a replay of the
+        batch replaces them."""
+        facts.write.mode("overwrite").parquet(f"{self.rejected}/ingest_id={int(ingest_id)}")
+
+    def read_rejected(self) -> DataFrame:
+        """Rejected facts with ``reason`` and ``ingest_id``."""
+        schema = S.T.StructType([*S.FACT.fields, S.T.StructField("reason", S.T.StringType()), S.T.StructField("ingest_id", S.T.LongType())])
+        return self.spark.read.schema(schema).parquet(self.rejected)
+
     def _write(self, df: DataFrame) -> None:
         (
             df.select(*FACT_COLUMNS, *S.PARTITION_COLUMNS)
@@ -276,53 +316,62 @@ class FactStore:
             .parquet(self.master)
         )
 
-    def _remove_unreachable(self, k: int) -> None:
-        """Delete folders no reader can see at pointer ``k``: compactions that were
-        written but never committed (id below ``-(k + 2)``) and batches already merged
-        (``0 <= id <= k``) whose deletion was cut off. An uncommitted compaction
-        must go before the pointer moves again, or a later, larger range of visible
-        compaction ids would take it in."""
+    def _dirs(self, ids: list[int] | None = None) -> dict[int, list[str]]:
+        """Partition folders by ingest id (of ``ids``, or all)."""
+        out: dict[int, list[str]] = {}
         for d in fs.glob_dirs(self.spark, f"{self.master}/unit_id=*/property_id=*/ingest_id=*"):
             i = int(d.rstrip("/").rsplit("ingest_id=", 1)[1])
-            if i < -(k + 2) or 0 <= i <= k:
-                fs.delete(self.spark, d)
-
-    def consolidate(self, target_file_bytes: int = TARGET_FILE_BYTES) -> dict:
-        """Merge the ingest batches written since the last compaction into few large
-        files (S12); contents unchanged. Cost is proportional to the new data, not
-        to master.
-
-        The batches ``(K, K']`` are range-partitioned on ``(unit_id, property_id,
-        time, fact hash, row id)``: a big kind is spread over many tasks in
-        proportion to its size, a small kind lands in one file, and even a hot group
-        of identical facts (one time, one hash) is split by the row id. Files come
-        out sorted by time (tight min/max statistics for pushdown). The compaction
-        ``-(K' + 2)`` is checked row for row (Parquet footers) before the pointer
-        moves to K'; the merged batch folders are removed afterwards. Leftovers of an
-        interrupted run (an uncommitted compaction, undeleted merged batches) are
-        removed first. One writer at a time is assumed (the workflow runs ingest and
-        compaction in sequence)."""
+            if ids is None or i in ids:
+                out.setdefault(i, []).append(d)
+        return out
+
+    def _files(self, ids: list[int]) -> int:
+        one_of = "{" + ",".join(map(str, ids)) + "}"
+        return fs.count_paths(self.spark, f"{self.master}/unit_id=*/property_id=*/ingest_id={one_of}/part-*")
+
+    def consolidate(self, target_file_bytes: int = TARGET_FILE_BYTES, growth: float = 2.0) -> dict:
+        """Merge the ingest batches written since the last compaction, and earlier
+        compactions, into few large files (S12); contents unchanged.
+
+        Earlier compactions are taken in from the smallest up, as long as each is at
+        most ``growth`` times what is merged already. So those left differ by that
+        factor, there are only logarithmically many of them, and a fact is rewritten
+        logarithmically often.
+
+        The parts are range-partitioned on ``(unit_id, property_id, time, fact hash,
+        row id)``: a big kind is spread over many tasks in proportion to its size, a
+        small kind lands in one file, and even a hot group of identical facts (one
+        time, one hash) is split by the row id. Files come out sorted by time (tight
+        min/max statistics for pushdown). The compaction ``-(K' + 2)`` is checked row
+        for row (Parquet footers) before the pointer moves to K'. Folders that no
+        pointer names any more (merged before the last compaction, or left by an
+        interrupted one) are removed first. One writer at a time is assumed (the
+        workflow runs ingest and compaction in sequence)."""
         spark = self.spark
-        k_old = self.compacted_through()
-        self._remove_unreachable(k_old)
-        new_ids = [i for i in self.batch_ids() if i > k_old]
+        k_old, live = self.state()
+        found = self._dirs()
+        for i, dirs in found.items():
+            if 0 <= i <= k_old or (i < 0 and i not in live):
+                for d in dirs:
+                    fs.delete(spark, d)
+        new_ids = sorted(i for i in found if i > k_old)
         if not new_ids:
             return {"rows": 0, "batches": 0, "files_before": 0, "files_after": 0}
-        k_new = max(new_ids)
+        size_of = {i: sum(fs.total_bytes(spark, d) for d in found.get(i, ())) for i in [*new_ids, *live]}
+        merged, size = list(new_ids), sum(size_of[i] for i in new_ids)
+        for i in sorted(live, key=lambda x: size_of[x]):
+            if size_of[i] > growth * size:
+                break
+            merged.append(i)
+            size += size_of[i]
+        k_new = new_ids[-1]
         target = -(k_new + 2)
-        raw = scan_facts(spark, self.master, S.MASTER)
-        batches = raw.where((F.col("ingest_id") > k_old) & (F.col("ingest_id") <= k_new))
-        batch_dirs = [
-            d
-            for d in fs.glob_dirs(spark, f"{self.master}/unit_id=*/property_id=*/ingest_id=*")
-            if k_old < int(d.rstrip("/").rsplit("ingest_id=", 1)[1]) <= k_new
-        ]
-        files_before = sum(len(fs.data_files(spark, d)) for d in batch_dirs)
-        size = sum(fs.total_bytes(spark, d) for d in batch_dirs)
+        parts = scan_facts(spark, self.master, S.MASTER).where(F.col("ingest_id").isin(*merged))
+        files_before = self._files(merged)
         n_parts = max(1, math.ceil(size / target_file_bytes))
         secs = F.col("pedigree.true_as_of_secs")
         self._write(
-            batches.repartitionByRange(
+            parts.repartitionByRange(
                 n_parts,
                 "unit_id",
                 "property_id",
@@ -333,16 +382,11 @@ class FactStore:
             .sortWithinPartitions("unit_id", "property_id", secs)
             .withColumn("ingest_id", F.lit(target).cast("bigint"))
         )
-        before = batches.count()
-        # a fresh scan: the listing of ``raw`` predates the compaction's files
+        before = parts.count()
+        # a fresh scan: the listing of ``parts`` predates the compaction's files
         after = scan_facts(spark, self.master, S.MASTER).where(F.col("ingest_id") == target).count()
         if before != after:
-            raise RuntimeError(f"consolidate: {before} rows in batches, {after} compacted; pointer not moved")
-        fs.write_text(spark, self.pointer, str(k_new))
-        for d in batch_dirs:
-            fs.delete(spark, d)
-        files_after = sum(
-            len(fs.data_files(spark, d))
-            for d in fs.glob_dirs(spark, f"{self.master}/unit_id=*/property_id=*/ingest_id={target}")
-        )
-        return {"rows": after, "batches": len(new_ids), "files_before": files_before, "files_after": files_after}
+            raise RuntimeError(f"consolidate: {before} rows in its parts, {after} compacted; pointer not moved")
+        left = [i for i in live if i not in merged]
+        fs.write_text(spark, self.pointer, json.dumps({"through": k_new, "live": [*left, target]}))
+        return {"rows": after, "batches": len(new_ids), "files_before": files_before, "files_after": self._files([target])}

@@ -6,12 +6,13 @@ committed, and facts arriving during or after the run wait for the next run (S7)
 Each micro-batch is shredded and absorbed by ``foreachBatch`` into master under
 ``ingest_id = batch id`` with dynamic partition overwrite, so a batch replayed after
 a failure overwrites its own output instead of duplicating it. Consumed files are
-archived by the source (``cleanSource``) once a later batch has committed (S8).
+left, deleted or archived by the source (``cleanSource``) once a later batch has
+committed (S8); archiving on an object store copies them.
 
 Every batch is checked: facts with more or fewer than one union arm, missing
-pedigree fields or an illegal target are counted while the batch is written (one
-pass, ``observe``); legal facts are written, and a non-zero count fails the run so
-the batch replays after the data is fixed.
+pedigree fields or an illegal target are rejected. Legal facts are written to master,
+rejected ones with their reason to the ``rejected`` dataset of the store, under the
+same batch id; the run goes on and reports their number.
 """
 
 from __future__ import annotations
@@ -19,82 +20,112 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lamina import schema as S
-from lamina.sources.store import FactStore, legal_target, shred, well_formed
-
-MAX_FILES_PER_TRIGGER = 1000
+from lamina.functions.facts import arm_count
+from lamina.sources import fs
+from lamina.sources.store import FACT_COLUMNS, FactStore, legal_target, shred, well_formed
 
 
 class InvalidFactsError(ValueError):
-    """Raised when an ingest batch holds facts that cannot be routed."""
+    """Raised at the end of a run that rejected facts, if that is asked for."""
 
 
 @dataclass
 class IngestReport:
     batches: list[int] = field(default_factory=list)
-    rows: int = 0
+    rows: int = 0  # facts in the batches, rejected ones included
+    rejected: int = 0
     consolidated: dict | None = None
 
 
-def ingest_snapshot(store: FactStore, consume: bool = True, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Streaming DataFrame over the not-yet-ingested new facts (S7). With ``consume``
-    the source archives files it has committed (S8)."""
-    reader = store.spark.readStream.schema(S.FACT).option("maxFilesPerTrigger", max_files)
-    if consume:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", store.ingest_archive)
+def ingest_snapshot(store: FactStore, consume: bool | str = True, max_bytes: int | None = None, max_files: int | None = None) -> DataFrame:
+    """Streaming DataFrame over the not-yet-ingested new facts (S7). ``consume``: what
+    the source does with files it has committed (S8), ``"off"`` (or False),
+    ``"delete"`` or ``"archive"`` (or True). Without ``max_bytes`` or ``max_files`` all
+    that has arrived is one batch."""
+    how = {True: "archive", False: "off"}.get(consume, consume)
+    reader = store.spark.readStream.schema(S.FACT).option("cleanSource", how)
+    if how == "archive":
+        reader = reader.option("sourceArchiveDir", store.ingest_archive)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", str(int(max_bytes)))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", int(max_files))
     return reader.parquet(store.new_path)
 
 
-def snapshot_new(store: FactStore, path: str, checkpoint: str | None = None) -> int:
+def snapshot_new(store: FactStore, path: str, checkpoint: str | None = None, **limits) -> int:
     """Copy the not-yet-snapshotted new facts to ``path`` (S7 as a dataset).
 
     The file sink commits each batch to its ``_spark_metadata`` log, so readers of
     ``path`` see exactly the committed snapshot. Returns the number of batches."""
+    checkpoint = checkpoint or f"{path}_checkpoint"
+    commits = f"{checkpoint}/commits/[0-9]*"
+    before = fs.count_paths(store.spark, commits)
     query = (
-        ingest_snapshot(store, consume=False)
+        ingest_snapshot(store, consume=False, **limits)
         .writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", checkpoint or f"{path}_checkpoint")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return len(query.recentProgress)
+    # the commit log: the progress reports of a query are only its last ones
+    return fs.count_paths(store.spark, commits) - before
+
+
+def reject_reason() -> Column:
+    """Why a shredded fact cannot be routed; null for a legal one."""
+    return (
+        F.when(arm_count() != 1, "not one union arm")
+        .when(~F.coalesce(well_formed(), F.lit(False)), "missing or unknown pedigree field")
+        .when(~F.coalesce(legal_target(), F.lit(False)), "no legal target")
+    )
 
 
 def absorb_batch(store: FactStore, report: IngestReport):
     """``foreachBatch`` body: shred, check and absorb one micro-batch."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        shredded = shred(batch).withColumn("_ok", well_formed() & legal_target())
+        shredded = shred(batch).withColumn("reason", reject_reason())
         obs = Observation(f"ingest_{batch_id}_{uuid.uuid4().hex[:8]}")
         observed = shredded.observe(
             obs,
             F.count(F.lit(1)).alias("rows"),
-            F.sum(F.when(F.col("_ok"), 0).otherwise(1)).alias("invalid"),
+            F.count("reason").alias("rejected"),
         )
-        store.absorb(observed.where(F.col("_ok")).drop("_ok"), batch_id)
+        store.absorb(observed.where(F.col("reason").isNull()).drop("reason"), batch_id)
         metrics = obs.get
-        invalid = int(metrics.get("invalid") or 0)
-        if invalid:
-            raise InvalidFactsError(f"ingest batch {batch_id}: {invalid} facts with no legal target")
+        rejected = int(metrics.get("rejected") or 0)
+        if rejected:
+            store.reject(shredded.where(F.col("reason").isNotNull()).select(*FACT_COLUMNS, "reason"), batch_id)
         report.batches.append(batch_id)
         report.rows += int(metrics.get("rows") or 0)
+        report.rejected += rejected
 
     return run
 
 
-def ingest(store: FactStore, consume: bool = True, consolidate: bool = True, **consolidate_args) -> IngestReport:
-    """Move all new facts into master, then compact it."""
+def ingest(
+    store: FactStore,
+    consume: bool | str = True,
+    consolidate: bool = True,
+    fail_on_rejects: bool = False,
+    max_bytes: int | None = None,
+    **consolidate_args,
+) -> IngestReport:
+    """Move all new facts into master, then compact it (S13). With ``fail_on_rejects``
+    the run raises at its end if facts were rejected; legal ones are in master then."""
     store.create()
     report = IngestReport()
     query = (
-        ingest_snapshot(store, consume=consume)
+        ingest_snapshot(store, consume=consume, max_bytes=max_bytes)
         .writeStream.foreachBatch(absorb_batch(store, report))
         .option("checkpointLocation", store.ingest_checkpoint)
         .trigger(availableNow=True)
@@ -105,4 +136,6 @@ def ingest(store: FactStore, consume: bool = True, consolidate: bool = True, **c
         raise query.exception()
     if consolidate and report.batches:
         report.consolidated = store.consolidate(**consolidate_args)
+    if fail_on_rejects and report.rejected:
+        raise InvalidFactsError(f"{report.rejected} facts rejected, see {store.rejected}")
     return report

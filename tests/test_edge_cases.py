@@ -177,10 +177,44 @@ def test_scan_tolerant_reports_truncated_file(spark, tmp_root):
         fh.write(data[: len(data) // 2])
     scan = ST.scan_tolerant(spark, path)
     assert scan.files_listed == 3 and scan.files_read == 2
-    assert len(scan.lost_files) == 1 and scan.lost_files[0].endswith(files[0])
+    lost = scan.lost.collect()
+    assert len(lost) == 1 and lost[0].file_path.endswith(files[0]) and (lost[0].expected, lost[0].read) == (None, 0)
     assert 0 < scan.facts.count() < 30
 
 
+def test_scan_tolerant_counts_rows_lost_in_damaged_pages(spark, tmp_root):
+    """The footer is whole, so counting rows alone would miss the loss."""
+    import pyarrow.parquet as pq
+
+    path = os.path.join(tmp_root, "facts")
+    # no equal values and no dictionaries, so that every page holds data
+    rows = [(i, f"http://a.com/{i}", i) for i in range(30000)]
+    pageviews(spark, rows).repartition(3).write.option("parquet.block.size", 65536).option("parquet.enable.dictionary", "false").parquet(path)
+    files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
+    meta = {f: pq.ParquetFile(os.path.join(path, f)).metadata for f in files}
+    # the first file: all pages zeroed; the second: zeroed from its second row group on
+    second = min(meta[files[1]].row_group(1).column(c).data_page_offset for c in range(meta[files[1]].num_columns)) if meta[files[1]].num_row_groups > 1 else None
+    for name, start in ((files[0], 4), (files[1], second)):
+        if start is None:
+            continue
+        victim = os.path.join(path, name)
+        data = bytearray(open(victim, "rb").read())
+        end = len(data) - 8 - int.from_bytes(data[-8:-4], "little")
+        data[start:end] = bytes(end - start)
+        with open(victim, "wb") as fh:
+            fh.write(data)
+    for crc in os.listdir(path):
+        if crc.endswith(".crc"):
+            os.remove(os.path.join(path, crc))
+    scan = ST.scan_tolerant(spark, path)
+    lost = {r.file_path.rsplit("/", 1)[1]: (r.expected, r.read) for r in scan.lost.collect()}
+    assert lost[files[0]] == (meta[files[0]].num_rows, 0)
+    if second is not None:
+        expected, read = lost[files[1]]
+        assert expected == meta[files[1]].num_rows and 0 < read <= meta[files[1]].row_group(0).num_rows
+    assert scan.lost_rows == sum(e - r for e, r in lost.values()) and files[2] not in lost
+
+
 def test_normalize_url_random_agrees_with_sql(spark):
     import random
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +15,10 @@ from lamina.sources import store as ST
 from lamina.streaming import InvalidFactsError, ingest, snapshot_new
 
 
+def data_files(path):
+    return [f for _, _, names in os.walk(path.removeprefix("file:")) for f in names if f.startswith("part-")]
+
+
 def test_ingest_twice_equals_once(spark, tmp_root):
     store = ST.FactStore(spark, tmp_root).create()
     store.append_new(fixture_facts(spark))
@@ -47,11 +54,15 @@ def test_consolidate_keeps_rows_and_merges_files(spark, tmp_root):
     assert res["files_after"] <= 2 < res["files_before"]
     assert store.compacted_through() == 2 and store.batch_ids() == [-4]
     assert store.read_master().count() == 30
-    # only new batches are merged next time; the first compaction stays
+    # the next one takes the first in: it is not much larger than the new batch
     store.absorb(facts, 3)
     res = store.consolidate()
-    assert res["batches"] == 1 and store.batch_ids() == [-5, -4]
+    assert res["batches"] == 1 and store.batch_ids() == [-5]
     assert store.read_master().count() == 40
+    # a compaction much larger than what is new stays as it is
+    store.absorb(facts, 4)
+    assert store.consolidate(growth=0.0)["rows"] == 10 and store.batch_ids() == [-6, -5]
+    assert store.read_master().count() == 50
     assert store.consolidate()["batches"] == 0
 
 
@@ -74,15 +85,22 @@ def test_absorb_replay_overwrites_itself(spark, tmp_root):
     assert store.read_master().count() == 10
 
 
-def test_invalid_facts_fail_ingest(spark, tmp_root):
+def test_invalid_facts_are_rejected_and_the_run_goes_on(spark, tmp_root):
     store = ST.FactStore(spark, tmp_root).create()
-    bad = equivs(spark, [(1, 2)]).withColumn(
-        "dataunit", F.col("dataunit").withField("page_view", F.col("dataunit.page_view"))
-    ).withColumn("dataunit", F.col("dataunit").withField("equiv", F.lit(None).cast(S.EQUIV_EDGE)))
+    bad = equivs(spark, [(1, 2)]).withColumn("dataunit", F.col("dataunit").withField("equiv", F.lit(None).cast(S.EQUIV_EDGE)))
+    old = equivs(spark, [(1, 3)]).withColumn("pedigree", F.col("pedigree").withField("true_as_of_secs", F.lit(None).cast("int")))
     store.append_new(bad)
-    with pytest.raises(Exception) as err:
-        ingest(store)
-    assert "InvalidFactsError" in str(err.value) or isinstance(err.value, InvalidFactsError) or "no legal target" in str(err.value)
+    store.append_new(old)
+    store.append_new(fixture_facts(spark))
+    report = ingest(store)
+    assert (report.rows, report.rejected) == (12, 2) and store.read_master().count() == 10
+    reasons = sorted(r.reason for r in store.read_rejected().collect())
+    assert reasons == ["missing or unknown pedigree field", "not one union arm"]
+    assert ingest(store).rows == 0 and store.read_master().count() == 10
+    store.append_new(bad)
+    with pytest.raises(InvalidFactsError, match="1 facts rejected"):
+        ingest(store, fail_on_rejects=True)
+    assert store.read_rejected().count() == 3
 
 
 def test_snapshot_freezes_new_facts(spark, tmp_root):
@@ -101,7 +119,7 @@ def test_stage_facts_and_reset(spark, tmp_root):
     staged = ST.stage_facts(fixture_facts(spark), path)
     assert sorted(staged.select("unit_id").distinct().toPandas()["unit_id"]) == [3, 4]
     ST.reset_workspace(spark, path)
-    assert fs.exists(spark, path) and fs.data_files(spark, path) == []
+    assert fs.exists(spark, path) and data_files(path) == []
 
 
 def test_scan_with_path(spark, tmp_root):
@@ -115,7 +133,7 @@ def test_consumed_files_are_archived(spark, tmp_root):
     store = ST.FactStore(spark, tmp_root).create()
     for i in range(3):
         store.append_new(pageviews(spark, [(i, "http://a.com/x", i)]))
-    n_files = len(fs.data_files(spark, store.new_path))
+    n_files = len(data_files(store.new_path))
     from lamina.streaming.ingest import ingest_snapshot
 
     # one file per micro-batch, so the source can archive all but the newest batch
@@ -127,8 +145,8 @@ def test_consumed_files_are_archived(spark, tmp_root):
         .start()
     )
     q.awaitTermination()
-    left = len(fs.data_files(spark, store.new_path))
-    archived = len(fs.data_files(spark, store.ingest_archive))
+    left = len(data_files(store.new_path))
+    archived = len(data_files(store.ingest_archive))
     assert store.read_master().count() == 3
     assert archived >= 1 and left + archived == n_files
     assert ingest(store).rows == 0
@@ -181,18 +199,87 @@ def test_orphan_compaction_does_not_resurface(spark, tmp_root):
     assert store.batch_ids() == [-4]
 
 
-def test_pointer_survives_stop_between_delete_and_rename(spark, tmp_root):
-    store = ST.FactStore(spark, tmp_root).create()
+def test_pointer_is_replaced_in_one_step(spark, tmp_root):
+    """A reader that polls while the pointer is replaced always finds a value."""
+    path = f"{tmp_root}/pointer"
+    fs.write_text(spark, path, "0")
+    seen, stop = [], threading.Event()
+
+    def poll():
+        while not stop.is_set():
+            seen.append(fs.read_text(spark, path))
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    for i in range(1, 60):
+        fs.write_text(spark, path, str(i))
+    stop.set()
+    reader.join()
+    assert None not in seen and fs.read_text(spark, path) == "59"
+
+
+def _stored(spark, root, batches=3):
+    store = ST.FactStore(spark, root).create()
     facts = ST.shred(fixture_facts(spark))
-    store.absorb(facts, 0)
+    for i in range(batches):
+        store.absorb(facts, i)
+    return store
+
+
+def test_a_held_reader_outlives_a_compaction(spark, tmp_root):
+    store = _stored(spark, tmp_root)
+    held = store.read_master()
     store.consolidate()
-    assert store.compacted_through() == 0
-    fs.write_text(spark, store.pointer, "0")
-    # simulate: the new value is in the sibling, the old file already deleted
-    fs.write_text(spark, store.pointer + ".tmp", "0")
-    fs.delete(spark, store.pointer)
-    assert store.compacted_through() == 0
-    assert store.read_master().count() == 10
+    assert held.count() == 30 and store.read_master().count() == 30
+    store.absorb(ST.shred(fixture_facts(spark)), 3)
+    after = store.read_master()
+    store.consolidate()
+    assert after.count() == 40 and store.read_master().count() == 40
+
+
+@pytest.mark.parametrize("when", ["before listing", "after listing"])
+def test_a_compaction_commits_while_master_is_read(spark, tmp_root, monkeypatch, when):
+    """Either side of the listing: the reader gets all rows, from one state."""
+    store = _stored(spark, tmp_root)
+    other = ST.FactStore(spark, tmp_root)
+    scan, done = ST.scan_facts, []
+
+    def racing(*args, **kw):
+        if done or len(args) < 3:
+            return scan(*args, **kw)
+        done.append(1)
+        if when == "before listing":
+            other.consolidate()
+            return scan(*args, **kw)
+        listed = scan(*args, **kw)
+        other.consolidate()
+        return listed
+
+    monkeypatch.setattr(ST, "scan_facts", racing)
+    assert store.read_master().count() == 30 and done
+
+
+def test_many_small_ingests_leave_few_compactions(spark, tmp_root):
+    store = ST.FactStore(spark, tmp_root).create()
+    facts = ST.shred(fixture_facts(spark)).cache()
+    for i in range(20):
+        store.absorb(facts, i)
+        store.consolidate()
+    assert store.read_master().count() == 200
+    assert len(store.batch_ids()) <= 5
+    assert store._files(store.batch_ids()) <= 2 * 5  # two kinds
+
+
+def test_batches_are_counted_from_the_commit_log(spark, tmp_root):
+    store = ST.FactStore(spark, tmp_root).create()
+    for i in range(5):
+        store.append_new(pageviews(spark, [(i, "http://a.com/x", i)]).coalesce(1))
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        assert snapshot_new(store, f"{tmp_root}/snap", max_files=1) == 5
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
 
 
 def test_published_view_switches_atomically(spark, tmp_root):

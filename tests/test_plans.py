@@ -27,7 +27,8 @@ def master(spark, tmp_path_factory):
 
 def test_scan_unit_prunes_partitions(master):
     plan = _plan(ST.scan_unit(master.read_master(), S.UNIT_PAGE_VIEW))
-    assert "PartitionFilters: [isnotnull(unit_id" in plan and "(unit_id#" in plan
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "isnotnull(unit_id#" in filters and "(unit_id#" in filters and "ingest_id#" in filters
 
 
 def test_view_reads_only_needed_leaves(master):
@@ -68,12 +69,30 @@ def test_full_view_path_prunes_other_arms(master):
     assert filters and not any("regexp" in line for line in filters)  # the URL rule is never re-run in a filter
 
 
-def test_size_shuffles_only_raises(spark):
-    from lamina.session import size_shuffles
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
 
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, 10) == int(before)
-        assert size_shuffles(spark, 100 * 1024**4) == 409600  # 100 TiB / 256 MiB
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    from lamina.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    for master, raises in (("local[4]", False), ("local", False), ("local-cluster[2,1,1024]", True), ("spark://h:7077", True)):
+        context = SimpleNamespace(master=master, getConf=lambda: conf, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        session = SimpleNamespace(sparkContext=context, conf=conf)
+        if raises:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                ensure_checkpoint_dir(session)
+        else:
+            assert ensure_checkpoint_dir(session)
+
+
+def test_workspaces_are_removed(spark):
+    from lamina.session import remove_workspaces, workspace
+    from lamina.sources import fs
+
+    path = workspace(spark, "scratch")
+    spark.range(3).write.parquet(path)
+    kept = __import__("lamina.session", fromlist=["_made"])._made
+    others = kept[spark.sparkContext.applicationId][:]
+    kept[spark.sparkContext.applicationId] = [path]
+    assert remove_workspaces(spark) == 1 and not fs.exists(spark, path)
+    kept[spark.sparkContext.applicationId] = others

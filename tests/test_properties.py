@@ -98,9 +98,8 @@ def test_view_sums_equal_per_granularity_and_idempotence(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 4])
-def test_large_input_path_matches_union_find(spark, monkeypatch, seed):
-    """Codes and a written large-star step, as used on big edge sets."""
-    monkeypatch.setattr(I, "LARGE_INPUT_BYTES", 0)
+@pytest.mark.parametrize("encode", [True, False])
+def test_codes_or_structs_match_union_find(spark, encode, seed):
     pairs = random_graph(seed)
     for method in ("star", "relink"):
-        assert canon_map(I.canonical_ids(user_edges(spark, pairs), method=method)) == union_find(pairs)
+        assert canon_map(I.canonical_ids(user_edges(spark, pairs), method=method, encode=encode)) == union_find(pairs)

@@ -80,6 +80,37 @@ def test_hot_url_and_copies_view_sums(spark):
     assert hot == len({r for r in set(rows) if r[1] == "http://hot.com/x"})
 
 
+def test_hub_is_split_in_every_join(spark):
+    """With the per-node facts written first, AQE splits a hub in both star joins and in
+    the relinking round."""
+    rng = random.Random(3)
+    edges = [(1, 10 + i) for i in range(20000)] + [(rng.randint(30000, 60000), rng.randint(30000, 60000)) for _ in range(4000)]
+    # both directions of the hub: as the larger end and as the smaller one
+    edges += [(90000, 100 + i) for i in range(20000)]
+    df = user_edges(spark, edges)
+    plain = spark.createDataFrame([(max(e), min(e)) for e in edges if e[0] != e[1]], "a bigint, b bigint").distinct()
+    stage = I.parquet_stage(I.workspace(spark, "hub"))
+    with conf(
+        spark,
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        },
+    ):
+        joins = {
+            "large": I._large_star(plain, "t_large", stage)[0],
+            "small": I._small_star(plain, "t_small", stage)[0],
+            "round": I.equiv_round(df, stage),
+        }
+        for name, out in joins.items():
+            out.collect()
+            assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString(), name
+
+
 def test_hub_node_components(spark):
     pairs = [(1000, i) for i in range(1, 900)] + [(i, i + 1) for i in range(900, 960)] + [(959, 5)]
     expected = {i: 1 for i in list(range(2, 900)) + list(range(900, 961)) + [1000]}
