@@ -7,11 +7,14 @@ hash and worked on once. No step loops over characters in Python.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: The separators of ``[^\x20\x09-\x0D]+``.
 IS_SPACE = np.zeros(256, bool)
@@ -47,6 +50,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package from where the driver has
+    it, whatever their working folder. A cluster's executors need it installed."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    held = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in held:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, held)])
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):

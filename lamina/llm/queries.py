@@ -11,12 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import fingerprints, lm_scoring, near_dedup, packing, piece_codec, repetition, secret_scan, token_counts, toxicity, url_cascade
+from lamina.llm import fingerprints, flat, lm_scoring, near_dedup, packing, piece_codec, repetition, secret_scan, token_counts, toxicity, url_cascade
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    flat.on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -107,9 +107,10 @@ class Classifier:
         return self.thresholds.get(lang, self.thresholds[None])
 
 
-def train(texts: list[str | None], labels: np.ndarray, epochs: int = 8, rate: float = 0.05, batch: int = 32, seed: int = 7) -> Classifier:
+def train(texts: list[str | None], labels: np.ndarray, epochs: int = 8, rate: float = 0.05, batch: int = 32, seed: int = 7, least_steps: int = 800) -> Classifier:
     """Adagrad on the logistic loss, both labels weighted alike; the gradient of the
-    maximum flows to the window that holds it."""
+    maximum flows to the window that holds it. Few texts are gone through more often,
+    for ``least_steps`` steps in all."""
     model, rng = Classifier.new(seed), np.random.default_rng(seed)
     labels = np.asarray(labels, np.float32)
     share = float(labels.mean()) if len(labels) else 0.0
@@ -124,7 +125,7 @@ def train(texts: list[str | None], labels: np.ndarray, epochs: int = 8, rate: fl
     second = {k: np.full_like(getattr(model, k), 1e-3) for k in names}
     bias_second = 1e-3
     filters = FILTERS * len(WIDTHS)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-least_steps * batch // len(labels)))):
         order = rng.permutation(len(labels))
         for lo in range(0, len(order), batch):
             rows = order[lo : lo + batch]
