@@ -24,11 +24,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import near_dedup, packing, repetition, secret_scan, toxicity
+from lamina.llm import flat, near_dedup, packing, repetition, secret_scan, toxicity
 from lamina.session import ensure_checkpoint_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    flat.on_workers(spark)
     return repetition.keep_good(docs)
 
 
@@ -61,6 +62,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage's result is a Parquet table in the
     folder that the cluster shares."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    flat.on_workers(spark)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{base}/{k}-{name}"
