@@ -209,11 +209,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 2000, sample
     marked = labels.where("doc_id is not null and toxic is not null").where(bucket(F.col("doc_id")) != 0)
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang").where(F.length("text") <= sample_chars)
-    joined = source.join(marked, "doc_id").select("text", "lang", "toxic", F.xxhash64("doc_id", "text").alias("place"))
-    rows = []
+    source = source.withColumn("place", F.xxhash64("doc_id", "text"))
+    # which texts: found by ids and hashes alone, then fetched by a join with these few
+    known = source.select("doc_id", "place").join(marked, "doc_id")
+    picked = []
     for label in (0, 1):
-        rows += joined.where(F.col("toxic") == label).orderBy("place", "text").limit(sample_per_class).collect()
-    rows.sort(key=lambda r: (r.place, r.text))
+        picked += known.where(F.col("toxic") == label).orderBy("place", "doc_id").limit(sample_per_class).collect()
+    if not picked:
+        return train([], np.zeros(0))
+    # at most 2 * sample_per_class rows
+    sample = docs.sparkSession.createDataFrame(picked, known.schema).dropDuplicates(["doc_id", "place"])
+    texts = source.join(F.broadcast(sample), ["doc_id", "place"]).dropDuplicates(["doc_id", "place"])
+    rows = texts.select("text", "lang", "toxic", "place").collect()
+    rows.sort(key=lambda r: (r.place, r.text, r.lang or ""))
     calib = [r for i, r in enumerate(rows) if i % 5 == 0]
     own = [r for i, r in enumerate(rows) if i % 5]
     model = train([r.text for r in own], np.array([r.toxic for r in own]), **training)
