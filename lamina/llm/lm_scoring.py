@@ -40,26 +40,25 @@ from lamina.llm.pieces import default_path, model
 
 SPREAD = 32
 START = 1
+#: Keys of n-grams: pairs from 0 up (context * vocabulary + token), the total, contexts
+#: from -2 down, tokens below these.
 _TOTAL = -1
 
 
-def _bigrams(table: pa.Table, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts and tokens of a block's texts, and how many tokens each text has."""
+def _bigrams(table: pa.Table, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts and tokens of a block's texts, keys of their pairs, and how many tokens
+    each text has."""
     raw = table.column("ids").to_pylist()
     n = np.fromiter((len(x) // 2 for x in raw), np.int64, len(raw))
-    word = np.frombuffer(b"".join(raw), "<u2").astype(np.int64)
+    word = np.frombuffer(b"".join(raw), "<u2")
     context = np.empty_like(word)
     context[1:] = word[:-1]
     context[(np.cumsum(n) - n)[n > 0]] = START
-    return context, word, n
+    wide = np.int32 if vocabulary**2 < 1 << 31 else np.int64
+    return context, word, context.astype(wide) * wide(vocabulary) + word, n
 
 
-def _keys(context: np.ndarray, word: np.ndarray, v: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of bigrams (from 0 up), of contexts and of tokens (below _TOTAL)."""
-    return context * v + word, -2 - context, -2 - v - word
-
-
-def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, mass: float = 64.0, block_rows: int = 4000) -> DataFrame:
+def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, mass: float = 64.0, block_rows: int = 2000) -> DataFrame:
     """One row a row of ``docs``: doc_id, n_tokens, loss_target, loss_background,
     ce_difference. ``target`` has the ids (doc_id) of the target texts."""
     size = docs.count()
@@ -67,45 +66,61 @@ def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     spread = min(SPREAD, max(1, math.ceil(size / block_rows)))
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder(path, keep=100_000)
         if len(encoder.model.pieces) > 1 << 16:
             raise ValueError("token ids are kept in 16 bits")
         for batch in batches:
             for part in flat.row_slices(batch, 2):
-                ids = [np.frombuffer(b"".join([p[1] for p in parts]), "<i4").astype("<u2").tobytes() for parts in encoder(part.column(2).to_pylist())]
+                ids = encoder.packed(part.column(2).to_pylist(), "<u2")
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], names=["block", "doc_id", "ids"])
 
     def count(tokens: pa.Table, marked: pa.Table) -> pa.Table:
         v = len(model(path or default_path()).pieces)
-        context, word, n = _bigrams(tokens, v)
+        context, word, pairs, n = _bigrams(tokens, v)
         wanted = set(marked.column("doc_id").to_pylist()) - {None}
         is_target = np.repeat(np.fromiter((d in wanted for d in tokens.column("doc_id").to_pylist()), bool, len(n)), n)
-        keys, background, own = [np.array([_TOTAL])], [np.array([len(word)])], [np.array([int(is_target.sum())])]
-        for k in _keys(context, word, v):
-            found, back = np.unique(k, return_inverse=True)
-            keys.append(found)
-            background.append(np.bincount(back, minlength=len(found)))
-            own.append(np.bincount(back[is_target], minlength=len(found)))
+        found, times = np.unique(pairs, return_counts=True)
+        of_target = np.zeros(len(found), np.int64)
+        t_found, t_times = np.unique(pairs[is_target], return_counts=True)
+        of_target[np.searchsorted(found, t_found)] = t_times
+        keys, background, own = [found], [times], [of_target]
+        # contexts, then tokens
+        for first, values in ((-2, context), (-2 - v, word)):
+            every = np.bincount(values, minlength=v)
+            seen = np.flatnonzero(every)
+            keys.append(first - seen)
+            background.append(every[seen])
+            own.append(np.bincount(values[is_target], minlength=v)[seen])
+        if len(tokens):
+            keys.append(np.array([_TOTAL]))
+            background.append(np.array([len(word)]))
+            own.append(np.array([int(is_target.sum())]))
         keys, background, own = (np.concatenate(x).astype(np.int64) for x in (keys, background, own))
         block = tokens.column("block")[0].as_py() if len(tokens) else 0
-        if not len(tokens):
-            keys, background, own = keys[:0], background[:0], own[:0]
         return pa.table({"block": np.full(len(keys), block, np.int64), "key": keys, "b": background, "t": own})
 
     def losses(tokens: pa.Table, counts: pa.Table) -> pa.Table:
         v = len(model(path or default_path()).pieces)
-        context, word, n = _bigrams(tokens, v)
+        context, word, pairs, n = _bigrams(tokens, v)
         key, b, t = (counts.column(c).to_numpy() for c in ("key", "b", "t"))
         order = np.argsort(key)
         key, b, t = key[order], b[order], t[order]
-        at = [np.searchsorted(key, k) for k in _keys(context, word, v)]
-        total = np.searchsorted(key, _TOTAL)
-        scale = t[total] / b[total] if len(tokens) and b[total] else 0.0
+        low = int(np.searchsorted(key, 0))
+        total_b, total_t = (int(x[low - 1]) if low else 0 for x in (b, t))  # key _TOTAL
+        scale = total_t / total_b if total_b else 0.0
+        text = np.repeat(np.arange(len(n)), n)
+        at = np.searchsorted(key[low:], pairs)  # pairs are keys from 0 up
         means = []
-        for c, size in ((t.astype(float), float(t[total]) if len(tokens) else 0.0), (b * scale, float(t[total]) if len(tokens) else 0.0)):
-            p1 = (c[at[2]] + 1) / (size + v)
-            loss = -np.log((c[at[0]] + mass * p1) / (c[at[1]] + mass))
-            sums = np.bincount(np.repeat(np.arange(len(n)), n), weights=loss, minlength=len(n))
+        for c in (t.astype(float), b * scale):
+            by_context, p1 = np.zeros(v), np.zeros(v)
+            single = -2 - key[: max(low - 1, 0)]
+            by_context[single[single < v]] = c[: len(single)][single < v]
+            p1[single[single >= v] - v] = c[: len(single)][single >= v]
+            p1 = (p1 + 1) / (total_t + v)
+            # a loss for each distinct pair, then one for each token
+            pair = key[low:]
+            loss = -np.log((c[low:] + mass * p1[pair % v]) / (by_context[pair // v] + mass))
+            sums = np.bincount(text, weights=loss[at], minlength=len(n)) if len(pair) else np.zeros(len(n))
             means.append(sums / np.maximum(n, 1))
         none = n == 0
         out = [pa.array(x, pa.float64(), mask=none) for x in (*means, means[0] - means[1])]

@@ -142,20 +142,37 @@ def encode_chunks(m: PieceModel, texts: list[str]) -> tuple[np.ndarray, np.ndarr
 
 class Encoder:
     """Encodes texts; chunks met before are looked up. The table holds the chunks of
-    one call, and of earlier calls as long as it has no more than ``keep``."""
+    one call, and of earlier calls as long as it has no more than ``keep``. An encoder
+    is for calls or for ``packed``, not for both."""
 
     def __init__(self, path: str | None = None, keep: int = 200_000):
         self.model, self.keep = model(path or default_path()), keep
-        self.known: dict[str, tuple[int, bytes, bytes, bytes]] = {}
+        self.known: dict = {}
 
-    def __call__(self, texts: list[str | None]) -> Iterator[list[tuple[int, bytes, bytes, bytes]]]:
-        """For each text, of its chunks: number of ids, ids (little-endian, 4 bytes
-        each), ids in decimal with a comma after each, decoded bytes."""
+    def _cut(self, texts: list[str | None]) -> tuple[list[list[str]], list[str]]:
+        """The chunks of all texts, and those that are not in the table."""
         cut = [chunks(t or "") for t in texts]
         own = set().union(*cut)
         new = list(own.difference(self.known))
         if len(self.known) + len(new) > self.keep:
             self.known = {c: self.known[c] for c in own.intersection(self.known)}
+        return cut, new
+
+    def packed(self, texts: list[str | None], kind: str) -> list[bytes]:
+        """The ids of each text as integers of a numpy type, one after the other."""
+        cut, new = self._cut(texts)
+        if new:
+            ids, count = encode_chunks(self.model, [MARK + c for c in new])
+            raw = ids.astype(kind).tobytes()
+            ends = (np.cumsum(count) * np.dtype(kind).itemsize).tolist()
+            self.known.update(zip(new, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        find = self.known.__getitem__
+        return [b"".join(map(find, c)) for c in cut]
+
+    def __call__(self, texts: list[str | None]) -> Iterator[list[tuple[int, bytes, bytes, bytes]]]:
+        """For each text, of its chunks: number of ids, ids (little-endian, 4 bytes
+        each), ids in decimal with a comma after each, decoded bytes."""
+        cut, new = self._cut(texts)
         if new:
             m = self.model
             ids, count = encode_chunks(m, [MARK + c for c in new])
