@@ -108,15 +108,19 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     code points replaced by as many first ones of the next document), sketch,
     edited_sketch, next_sketch (the three fingerprints)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    # one key that is never null, so that the joins find the texts where the grouping put them
+    key = lambda i, h: F.concat(F.coalesce(F.col(i).cast("string"), F.lit("-")), F.lit(":"), F.col(h))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.md5(text.cast("binary")).alias("h"))
-    keys = rows.groupBy("doc_id", "h").agg(F.max(F.length("text")).alias("n"))
-    order = next_documents(keys)
+    order = next_documents(rows.groupBy("doc_id", "h").agg(F.max(F.length("text")).alias("n")))
+    before = order.select(key("doc_id", "h").alias("p_key"), F.col("n").alias("p_n"), key("next_id", "next_h").alias("next_key"))
     # repeated rows are one until the end
-    once = rows.groupBy("doc_id", "h").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    before = order.select(F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), F.col("n").alias("p_n"), "next_id", "next_h")
-    told = once.join(before, once.doc_id.eqNullSafe(before.next_id) & (once.h == before.next_h))
-    told = told.select("p_id", "p_h", F.substring(F.col("text"), F.lit(1), F.floor(F.col("p_n") / 3).cast("int")).alias("head"), fingerprint(F.col("text")).alias("next_sketch"))
-    both = once.join(told, once.doc_id.eqNullSafe(told.p_id) & (once.h == told.p_h))
+    keyed = rows.select(key("doc_id", "h").alias("key"), "doc_id", "text")
+    once = keyed.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("copies"))
+    # the columns of this copy are used too, so that its shuffle is the other's
+    after = once.where("copies > 0 and (doc_id is null or doc_id = doc_id)")
+    told = after.join(before, after["key"] == before["next_key"])
+    told = told.select("p_key", F.substring(F.col("text"), F.lit(1), F.floor(F.col("p_n") / 3).cast("int")).alias("head"), fingerprint(F.col("text")).alias("next_sketch"))
+    both = once.join(told, once["key"] == told["p_key"])
     both = both.select("doc_id", "text", "copies", F.length("text").cast("long").alias("n_chars"), "head", "next_sketch")
     kept = F.col("n_chars") - F.floor(F.col("n_chars") / 3)
     both = both.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), kept.cast("int")), F.col("head")))
