@@ -8,10 +8,14 @@ source and id are never inputs of a score.
 
 The model is fitted on the driver from a bounded sample of labelled rows: at most
 ``sample_per_class`` texts of each label, of at most ``sample_chars`` characters, taken
-in the order of a hash of the id; that bound does not grow with the data. A fifth of
-the sample is not trained on and sets each language's threshold (the score with the
-best F1; languages with few labelled rows use that of all). Scoring runs on every whole
-text where it lies; nothing is shuffled.
+in the order of a hash of the id, a fifth of them not trained on; that bound does not
+grow with the data. Thresholds come from all labelled rows that were neither held out
+nor trained on, whole texts of any length: Spark scores them and adds up a histogram
+(language, label, bin of the score), whose size depends on the number of languages only.
+Rows that were trained on are made up for by weights, so that a language's labels stand
+in their true proportion at every size of the table. A language's threshold has the best
+F1 on its histogram; languages with few labelled rows use that of all. Scoring runs on
+every whole text where it lies; texts are never shuffled.
 
 Results for special cases: null and empty texts get the score of a text without words.
 Rows without a language use the common threshold. Repeated rows get equal scores. With
@@ -174,29 +178,70 @@ def train(texts: list[str | None], labels: np.ndarray, epochs: int = 8, rate: fl
     return model
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The threshold with the best F1; between the two scores that it lies between."""
-    order = np.argsort(-scores, kind="stable")
-    s, y = scores[order], labels[order]
-    hit = np.cumsum(y)
-    f1 = 2 * hit / (np.arange(1, len(s) + 1) + y.sum())
-    f1[:-1][s[:-1] == s[1:]] = -1
-    k = int(f1.argmax())
-    return float((s[k] + s[k + 1]) / 2 if k + 1 < len(s) else s[k] / 2)
+#: The least score of each bin but the first, even in the logit; a threshold lies on or
+#: between them, so a bin is on one side of it.
+EDGES = 1 / (1 + np.exp(-np.linspace(-20, 20, 2049)))
 
 
-def calibrate(model: Classifier, texts: list[str | None], labels: np.ndarray, langs: list[str | None], least: int = 20) -> None:
-    """Sets the thresholds; a language needs ``least`` rows of either label."""
-    labels = np.asarray(labels)
-    if not len(labels) or labels.min() == labels.max() or model.constant is not None:
+def best_threshold(counts: np.ndarray) -> float:
+    """The threshold with the best F1 on the counts (2 x bins) of labels 0 and 1; in
+    the middle of the gap between the two bins that it lies between."""
+    bins = np.flatnonzero(counts.sum(0))[::-1]
+    hit, chosen = np.cumsum(counts[1, bins]), np.cumsum(counts[:, bins].sum(0))
+    k = int((2 * hit / (chosen + counts[1].sum())).argmax())
+    top = float(EDGES[bins[k] - 1]) if bins[k] else 0.0
+    return (top + float(EDGES[bins[k + 1]])) / 2 if k + 1 < len(bins) else top / 2
+
+
+def _weighted(counts: np.ndarray, trained: np.ndarray) -> np.ndarray:
+    """Counts (2 x bins) at the true label rate, from counts by label, kind of text and
+    bin (2 x 2 x bins) of the rows not trained on, and how many of each label and kind
+    were: those are taken to score like the others of their label and kind."""
+    left = counts.sum(2)
+    out = (counts * ((left + trained) / np.maximum(left, 1))[:, :, None]).sum(1)
+    return out * ((left + trained).sum(1) / np.maximum(out.sum(1), 1e-300))[:, None]
+
+
+def calibrate(model: Classifier, histogram: list[tuple[str | None, int, bool, int | None, int]], least: int = 20) -> None:
+    """Sets the thresholds from rows (lang, label, short, bin, count); the bin is null
+    for rows that were trained on. A language needs ``least`` other rows of either label."""
+    if model.constant is not None:
         return
-    scores = model.scores(*flat.text_bytes(pa.array(texts, pa.string())))
-    model.thresholds[None] = best_threshold(scores, labels)
-    langs = np.array([x or "" for x in langs], object)
-    for lang in set(langs) - {""}:
-        own = langs == lang
-        if min(labels[own].sum(), (1 - labels[own]).sum()) >= least:
-            model.thresholds[lang] = best_threshold(scores[own], labels[own])
+    by_lang: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    empty = lambda: (np.zeros((2, 2, len(EDGES) + 1)), np.zeros((2, 2)))
+    common = empty()
+    for lang, label, short, place, n in histogram:
+        for counts, trained in (common, by_lang.setdefault(lang, empty()) if lang else empty()):
+            if place is None:
+                trained[int(label), int(short)] += n
+            else:
+                counts[int(label), int(short), place] += n
+    for lang, (counts, trained) in [(None, common), *by_lang.items()]:
+        if counts.sum((1, 2)).min() >= (least if lang else 1):
+            model.thresholds[lang] = best_threshold(_weighted(counts, trained))
+
+
+def histogram(docs: DataFrame, marked: DataFrame, trained: DataFrame, model: Classifier, sample_chars: int) -> DataFrame:
+    """(lang, toxic, short, bin, n) of all labelled rows of ``docs`` (doc_id, text,
+    lang, place). ``marked``: doc_id, toxic; ``trained``: doc_id, place of the few rows
+    that were trained on, whose bin is null; short: at most ``sample_chars`` characters."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            for part in flat.row_slices(batch, 1):
+                place = np.searchsorted(EDGES, m.scores(*flat.text_bytes(part.column(1))), side="right")
+                place = pa.array(place, pa.int32(), mask=part.column(4).to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), place], names=["doc_id", "lang", "short", "bin"])
+
+    # only ids and bins are shuffled; rows of one id are added up before they meet its label
+    rows = docs.where("doc_id is not null").where(bucket(F.col("doc_id")) != 0)
+    rows = rows.join(F.broadcast(trained.withColumn("trained", F.lit(True))), ["doc_id", "place"], "left")
+    rows = rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), (F.length("text") <= sample_chars).alias("short"), F.coalesce("trained", F.lit(False)).alias("trained"))
+    binned = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang string, short boolean, bin int")
+    of_id = binned.groupBy("doc_id", "lang", "short", "bin").agg(F.count("*").alias("n"))
+    return of_id.join(marked, "doc_id").groupBy("lang", "toxic", "short", "bin").agg(F.sum("n").alias("n"))
 
 
 def bucket(doc_id: Column) -> Column:
@@ -205,11 +250,13 @@ def bucket(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 2000, sample_chars: int = 6000, **training) -> Classifier:
-    """Fits on a bounded sample of the labelled rows that aren't held out."""
+    """Trains on a bounded sample of the labelled rows that aren't held out, and sets
+    the thresholds from all of them that were not trained on."""
     marked = labels.where("doc_id is not null and toxic is not null").where(bucket(F.col("doc_id")) != 0)
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang").where(F.length("text") <= sample_chars)
-    source = source.withColumn("place", F.xxhash64("doc_id", "text"))
+    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", (F.length("text") <= sample_chars).alias("short"))
+    whole = whole.withColumn("place", F.xxhash64("doc_id", "text"))
+    source = whole.where("short").drop("short")
     # which texts: found by ids and hashes alone, then fetched by a join with these few
     known = source.select("doc_id", "place").join(marked, "doc_id")
     picked = []
@@ -220,12 +267,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 2000, sample
     # at most 2 * sample_per_class rows
     sample = docs.sparkSession.createDataFrame(picked, known.schema).dropDuplicates(["doc_id", "place"])
     texts = source.join(F.broadcast(sample), ["doc_id", "place"]).dropDuplicates(["doc_id", "place"])
-    rows = texts.select("text", "lang", "toxic", "place").collect()
+    rows = texts.select("doc_id", "text", "lang", "toxic", "place").collect()
     rows.sort(key=lambda r: (r.place, r.text, r.lang or ""))
-    calib = [r for i, r in enumerate(rows) if i % 5 == 0]
     own = [r for i, r in enumerate(rows) if i % 5]
     model = train([r.text for r in own], np.array([r.toxic for r in own]), **training)
-    calibrate(model, [r.text for r in calib], np.array([r.toxic for r in calib]), [r.lang for r in calib])
+    if model.constant is None:
+        trained = docs.sparkSession.createDataFrame([(r.doc_id, r.place) for r in own], known.select("doc_id", "place").schema)
+        calibrate(model, [tuple(r) for r in histogram(whole.drop("short"), marked, trained, model, sample_chars).collect()])
     return model
 
 
