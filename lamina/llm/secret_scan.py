@@ -13,6 +13,9 @@ Spans are [start, end) in code points, leftmost and without overlap within a rul
 They are found from the lengths of the matches and of the texts between them; prefix
 sums go by blocks, so a text with very many matches stays cheap.
 
+A private key's span goes from its BEGIN line over its body to its END line; without an
+END line it ends with the last piece of base64 that follows the header.
+
 Results for special cases: a null text is empty and has no spans. Repeated rows get
 equal results, each its own row. Whole texts are searched. Documents are told apart by
 id and text, so null or repeated ids do no harm; further columns have no influence.
@@ -52,13 +55,30 @@ BASE = (
     Rule("hex", r"[0-9a-f]+", 0, 32, same_as=r"[0-9a-f]{32,}"),
 )
 
+_PEM = r"[A-Z\x20]{0,24}PRIVATE\x20KEY-----"
+#: What may stand between the pieces of a key: blanks, line breaks, also as escapes, and
+#: the quotes, plus signs and marks of code, comments and quoted mail.
+_GAP = r"""(?:[\x20\t\r\n"'+,;>#*|.]|\\+[nrt]?)*+"""
+_BASE64 = r"(?:[A-Za-z0-9+/]|\\/)"
+_PAD = r"(?:=|\\u003d){0,2}+"
+#: Pieces of a key's body: its header fields; long runs of base64; lines of base64 only,
+#: however short; a last short run before the END line. Possessive, so that Java takes
+#: bodies of any length without recursion. Text with other words ends the body.
+_BODY = "|".join((
+    rf"{_GAP}(?:Proc-Type:\x20*+[0-9],[A-Z-]++|DEK-Info:\x20*+[A-Z0-9-]++(?:,[0-9A-Fa-f]++)?+)",
+    rf"{_GAP}{_BASE64}{{20,}}+{_PAD}",
+    rf"""["'\x20\t]*+(?:[\r\n]|\\+[rn]){_GAP}{_BASE64}++{_PAD}(?=["'\x20\t+,;]*+(?![^\r\n\\]))""",
+    rf"{_GAP}{_BASE64}++{_PAD}(?={_GAP}-----END\x20{_PEM})",
+))
+
 #: Well-known forms of tokens and keys.
 MORE = (
     Rule("github", r"gh[opusr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"),
+    # the header, the body as far as it goes, and the END line if it follows
+    Rule("private_key", rf"-----BEGIN\x20{_PEM}(?:{_BODY})*+(?:{_GAP}-----END\x20{_PEM})?+"),
 )
 
 RULES = BASE + MORE

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import base64
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 
-from lamina.llm import flat, toxicity
+from lamina.llm import flat, secret_scan, toxicity
 
 from .conftest import sentence
 
@@ -53,3 +55,41 @@ def test_threshold_at_the_true_label_rate():
     toxicity.calibrate(some, [(*r[:3], None, 1) if t else r for r, t in zip(whole, trained, strict=True)])
     got, best = _best_f1(scores, labels, some.thresholds["en"])
     assert got >= best - 0.02
+
+
+def _key(seed, size=1200, width=64):
+    body = base64.b64encode(random.Random(seed).randbytes(size)).decode()
+    return [body[i : i + width] for i in range(0, len(body), width)]
+
+
+def test_no_part_of_a_key_is_left(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = _key(1, 1201)
+    plain = "-----BEGIN PRIVATE KEY-----"
+    texts = {
+        "lines": "\n".join(["before", begin, *lines, end, "after it"]),
+        "crlf": "\r\n".join(["before", begin, *lines, end, "after it"]),
+        "indented": "\n    ".join(["before", begin, *lines, end, "after it"]),
+        "short lines": "\n".join(["before", begin, *_key(2, 100, 10), end, "after it"]),
+        "fields": "\n".join(["before", begin, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B2C3D", "", *lines, end, "after it"]),
+        "one line": " ".join(["before", begin, *lines, end, "after it"]),
+        "no breaks": "before " + begin + "".join(lines) + end + " after it",
+        "escaped": 'before "' + "\\n".join([begin, *lines, end, ""]) + '" after it',
+        "json": 'before "' + "\\n".join([begin, *lines, end, ""]).replace("/", "\\/") + '" after it',
+        "code": "before " + ' +\n'.join(f'"{x}\\n"' for x in [begin, *lines, end]) + " after it",
+        "quoted": "before\n" + "\n".join(f"> {x}" for x in [begin, *lines, end]) + "\nafter it",
+        "no end": "\n".join(["before", begin, *lines, "after it"]),
+        "no end, cut": "\n".join(["before", begin, *lines])[:-9],
+        "two": "\n".join(["before", begin, *lines, end, begin, *_key(3), end, "after it"]),
+        "long": "\n".join(["before", begin, *_key(4, 2_000_000), end, "after it"]),
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    for name, text in ((r.doc_id, r.text) for r in secret_scan.redact(df, length_col=None).collect()):
+        assert text.startswith("before") and (text.endswith("after it") or name == "no end, cut"), name
+        rest = text.replace("[SECRET]", " ").removeprefix("before").removesuffix("after it")
+        assert not re.search(r"[A-Za-z0-9/+]{2}", rest.replace("\\n", "")), (name, rest[:300])
+        assert "PRIVATE" not in text, name
+    # text that follows a lone header is no key
+    for text in (plain + " starts a key. Then text.", plain + "\nThe header starts a key.\nmore text", "a " + plain + "\n\nb c " + end):
+        got = secret_scan.redact(spark.createDataFrame([(1, text)], "doc_id int, text string"), length_col=None).first().text
+        assert got == text.replace(plain, "[SECRET]")
