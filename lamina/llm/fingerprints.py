@@ -13,6 +13,10 @@ holds for all documents, so
 
 A document with shingles but none below the threshold retains its least hash alone, so
 only documents without words have an empty fingerprint; merging keeps this rule too.
+Such a stand-in (one text of 8 shingles in three has it) says nothing about hashes below
+the threshold, and a true fingerprint nothing about those above: whether a short text is
+part of a longer one can't be told then. ``containment`` and ``likeness`` are null where
+the fingerprints can't tell; they are never 0.0 for want of hashes.
 
 Results for special cases: a null text is empty; texts without words have the empty
 fingerprint, alike (1.0) among themselves and unlike (0.0) any other. Equal texts have
@@ -72,15 +76,27 @@ def merged(a: Column, b: Column) -> Column:
     return retained(F.array_union(a, b))
 
 
+def stands_in(a: Column) -> Column:
+    """Whether a fingerprint is a least hash that stands in for none below the threshold."""
+    return (F.size(a) == 1) & (F.get(a, 0) >= BELOW)
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated resemblance: shingles in both by shingles in either."""
+    """Estimated resemblance: shingles in both by shingles in either. Null (unknown) if
+    one of the two is a stand-in and the other a true fingerprint. Two stand-ins: whether
+    the least hashes are the same."""
     both = F.size(F.array_intersect(a, b))
-    return _let(both, lambda n: F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(n / (F.size(a) + F.size(b) - n)))
+    known = _let(both, lambda n: F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(n / (F.size(a) + F.size(b) - n)))
+    return F.when((F.size(a) == 0) | (F.size(b) == 0) | (stands_in(a) == stands_in(b)), known)
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated part of the first document's shingles that the second has."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+    """Estimated part of the first document's shingles that the second has. Null
+    (unknown) if one of the two is a stand-in and the other a true fingerprint, and for
+    two stand-ins if the second's hash is the lesser: the first's may stand behind it."""
+    known = F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+    comparable = (stands_in(a) == stands_in(b)) & ~(stands_in(a) & (F.get(b, 0) < F.get(a, 0)))
+    return F.when((F.size(a) == 0) | (F.size(b) == 0) | comparable, known)
 
 
 def next_documents(keys: DataFrame) -> DataFrame:

@@ -40,15 +40,17 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fingerprints.edited_pairs(_table(spark, sf_dir, "documents"))
     own, edited = F.col("sketch"), F.col("edited_sketch")
+    # the digest's SQL has 0.0 where the fingerprints can't tell
+    told = lambda estimate: F.coalesce(estimate, F.lit(0.0))
     return p.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         F.array_join(own, "").alias("fingerprint"),
         F.array_join(edited, "").alias("edited_fingerprint"),
-        fingerprints.likeness(own, edited).alias("near_edited"),
-        fingerprints.likeness(own, F.col("next_sketch")).alias("near_next"),
-        fingerprints.containment(own, edited).alias("kept_in_edited"),
+        told(fingerprints.likeness(own, edited)).alias("near_edited"),
+        told(fingerprints.likeness(own, F.col("next_sketch"))).alias("near_next"),
+        told(fingerprints.containment(own, edited)).alias("kept_in_edited"),
     )
 
 

@@ -8,8 +8,9 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from lamina.llm import flat, secret_scan, toxicity
+from lamina.llm import fingerprints, flat, secret_scan, toxicity
 
 from .conftest import sentence
 
@@ -93,3 +94,31 @@ def test_no_part_of_a_key_is_left(spark):
     for text in (plain + " starts a key. Then text.", plain + "\nThe header starts a key.\nmore text", "a " + plain + "\n\nb c " + end):
         got = secret_scan.redact(spark.createDataFrame([(1, text)], "doc_id int, text string"), length_col=None).first().text
         assert got == text.replace(plain, "[SECRET]")
+
+
+def test_containment_of_short_texts_is_never_a_false_zero(spark):
+    rng = random.Random(31)
+    pairs = []
+    for _ in range(200):
+        long = sentence(rng, 600, 10**6).split()
+        at = rng.randrange(500)
+        pairs.append((" ".join(long[at : at + 12]), " ".join(long)))
+        pairs.append((" ".join(long[at : at + 9]), " ".join(long[at : at + 11])))
+    a, b = (fingerprints.fingerprint(F.col(x)) for x in "xy")
+    got = spark.createDataFrame(pairs, "x string, y string").select("x", "y", a.alias("a"), b.alias("b"))
+    got = got.select("*", fingerprints.containment(F.col("a"), F.col("b")).alias("c"), fingerprints.likeness(F.col("a"), F.col("b")).alias("l"), fingerprints.stands_in(F.col("a")).alias("s"), fingerprints.stands_in(F.col("b")).alias("t")).collect()
+    # every first text is part of the second: the exact containment is 1
+    assert {r.c for r in got} == {1.0, None}
+    for r in got:
+        assert r.c == (None if r.s and r.a != r.b else 1.0)
+        assert (r.l is None) == (r.s != r.t)
+    unknown = sum(r.c is None for r in got if len(r.y) > 1000)
+    assert 0.2 < unknown / 200 < 0.5  # (7 / 8) ** 8 = 0.34
+    same = [r for r in got if r.s and r.t and r.a == r.b]
+    assert same and all(r.l == 1.0 for r in same)
+
+
+def test_empty_texts_have_known_containment(spark):
+    a, b = (fingerprints.fingerprint(F.col(x)) for x in "xy")
+    df = spark.createDataFrame([("", ""), ("", "a b"), ("a b", ""), ("a b", "a b")], "x string, y string")
+    assert [tuple(r) for r in df.select(fingerprints.containment(a, b), fingerprints.likeness(a, b)).collect()] == [(1.0, 1.0), (1.0, 0.0), (0.0, 0.0), (1.0, 1.0)]
