@@ -126,7 +126,8 @@ def _strings(op, arg) -> set[str] | None:
         return None if None in parts else set().union(*parts)
     if op is sre.MAX_REPEAT and arg[1] <= 4:
         body = _all([_strings(*x) for x in arg[2]])
-        return None if body is None else set().union(*(_all([body] * n) or set() for n in range(arg[0], arg[1] + 1)))
+        parts = [_all([body] * n) for n in range(arg[0], arg[1] + 1)]
+        return None if None in parts else set().union(*parts)
     return None
 
 

@@ -122,3 +122,22 @@ def test_empty_texts_have_known_containment(spark):
     a, b = (fingerprints.fingerprint(F.col(x)) for x in "xy")
     df = spark.createDataFrame([("", ""), ("", "a b"), ("a b", ""), ("a b", "a b")], "x string, y string")
     assert [tuple(r) for r in df.select(fingerprints.containment(a, b), fingerprints.likeness(a, b)).collect()] == [(1.0, 1.0), (1.0, 0.0), (0.0, 0.0), (1.0, 1.0)]
+
+
+def test_trigram_queries_of_wide_repeats_are_necessary(spark):
+    rng = random.Random(41)
+    cases = {
+        "sk-[0-7]{3}": lambda: "sk-" + "".join(rng.choices("01234567", k=3)),
+        "[abcde]{3}": lambda: "".join(rng.choices("abcde", k=3)),
+        "abc[0-7]{2,4}xyz": lambda: "abc" + "".join(rng.choices("01234567", k=rng.randint(2, 4))) + "xyz",
+        "a[0-7]{2,4}b": lambda: "a" + "".join(rng.choices("01234567", k=rng.randint(2, 4))) + "b",
+        "(?:ab|c){0,4}def": lambda: "".join(rng.choices(["ab", "c"], k=rng.randint(0, 4))) + "def",
+    }
+    for pattern, make in cases.items():
+        query = secret_scan.trigram_query(pattern)
+        for _ in range(100):
+            m = re.fullmatch(pattern, make())
+            assert query is True or any(all(t in m[0] for t in a) for a in query), (pattern, m[0])
+    rule = secret_scan.Rule("sk", "sk-[0-7]{3}")
+    df = spark.createDataFrame([(1, "a sk-123 b"), (2, "none")], "doc_id int, text string")
+    assert {r.doc_id: len(r.spans) for r in secret_scan.scan(df, (rule,)).collect()} == {1: 1, 2: 0}
