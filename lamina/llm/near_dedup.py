@@ -325,9 +325,9 @@ def _far_pairs(groups: DataFrame, pairs: DataFrame, roots: DataFrame, nodes: Dat
     return rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a row of ``docs``: doc_id, n_shingles, h (128-bit hash of its set, null
-    for an empty one), component_id, kept (doc_id = component_id)."""
+def _placed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and the distinct sets: node, doc_id (the set's least),
+    h, root (of the component)."""
     ensure_checkpoint_dir(docs.sparkSession)
     rows = _sketches(docs, id_col, text_col).checkpoint()
     found = rows.where("h is not null").groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
@@ -350,6 +350,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = sets.union(wanted(more).checkpoint())
     roots = components(links.union(_cluster_links(clusters, sets)).union(_confirmed(far, sets)))
     placed = nodes.select("node", "doc_id", "h").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return rows, placed
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row a row of ``docs``: doc_id, n_shingles, h (128-bit hash of its set, null
+    for an empty one), component_id, kept (doc_id = component_id)."""
+    rows, placed = _placed(docs, id_col, text_col)
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_set = placed.join(least, "root").select("h", "component_id")
     own = rows.select("doc_id", "n_shingles", "h")
@@ -361,8 +368,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay: of each component one
-    row with its least id, and every row with an empty set. Of a component without
-    any id, one row for each distinct set stays."""
+    row, and every row with an empty set. It is a row with the component's least id (null
+    if there is none), of these with the least set hash."""
     at, columns = docs.columns.index(text_col), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,8 +383,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     names = [f"c{i}" for i in range(len(columns))]
     kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema, strict=True))
     tagged = docs.toDF(*names).mapInArrow(run, f"{kinds}, set_hash binary")
-    near = near_duplicates(docs, id_col, text_col).where("kept and h is not null")
-    stay = near.groupBy(F.col("doc_id").alias("stay_id"), F.col("h").alias("stay_h")).agg(F.count("*").alias("copies")).checkpoint()
+    sketches, placed = _placed(docs, id_col, text_col)
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias("stay_id"), F.col("first.h").alias("stay_h"))
+    copies = sketches.where("h is not null").groupBy("doc_id", "h").agg(F.count("*").alias("copies"))
+    stay = first.join(copies, F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("h") == F.col("stay_h"))).select("stay_id", "stay_h", "copies").checkpoint()
     key = f"c{columns.index(id_col)}"
     found = F.col(key).eqNullSafe(F.col("stay_id")) & (F.col("set_hash") == F.col("stay_h"))
     some = tagged.join(stay, found, "left").where("stay_h is not null or set_hash is null")

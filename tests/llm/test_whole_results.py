@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lamina.llm import fingerprints, flat, secret_scan, toxicity
+from lamina.llm import fingerprints, flat, near_dedup, secret_scan, toxicity
 
 from .conftest import sentence
 
@@ -141,3 +141,19 @@ def test_trigram_queries_of_wide_repeats_are_necessary(spark):
     rule = secret_scan.Rule("sk", "sk-[0-7]{3}")
     df = spark.createDataFrame([(1, "a sk-123 b"), (2, "none")], "doc_id int, text string")
     assert {r.doc_id: len(r.spans) for r in secret_scan.scan(df, (rule,)).collect()} == {1: 1, 2: 0}
+
+
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(51)
+    def near(n):  # texts of one component, with different sets
+        words = sentence(rng, 200, 10**6).split()
+        return [" ".join([*words[:-1], f"end{k}"]) for k in range(n)]
+
+    same_id, no_id, mixed, plain = near(3), near(3), near(3), near(2)
+    docs = [(7, t) for t in same_id] + [(None, t) for t in no_id] + [(None, mixed[0]), (9, mixed[1]), (9, mixed[1])] + [(9, mixed[2])]
+    docs += [(20, plain[0]), (21, plain[1]), (30, ""), (30, ""), (None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = [tuple(r) for r in near_dedup.keep_one(df).collect()]
+    of = lambda texts: [i for i, t in got if t in texts]
+    assert of(same_id) == [7] and of(no_id) == [None] and of(mixed) == [9] and of(plain) == [20]
+    assert len(got) == 4 + 3
