@@ -13,10 +13,11 @@ a context of its own), and its score is the target's loss less the background's:
 is nearer to the target. Counts cover all texts and grow with them; no list of n-grams
 is cut, hashed or broadcast.
 
-Texts are dealt into blocks of about ``block_rows``. A block counts its own n-grams,
-Spark adds these up by n-gram, and the sums go back to the blocks that asked, so a task
-holds the n-grams of one block only. Blocks are chosen by id and, within an id, by a
-running number, so a repeated id is spread over ``SPREAD`` blocks.
+Texts are dealt into blocks of about ``block_rows`` texts and ``block_bytes`` of text. A
+block counts its own n-grams, Spark adds these up by n-gram, and the sums go back to the
+blocks that asked, so a task holds the n-grams of one block only. Blocks are chosen by
+a running number of the rows, so none depends on how often an id occurs; target texts
+are marked by a join on the id before.
 
 Results for special cases: null and empty texts have no tokens and null losses and
 score. Repeated rows count as often as they occur and get a row each. Without target
@@ -26,7 +27,6 @@ target if one of them is; a null id has no label.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +38,6 @@ from lamina.llm import flat
 from lamina.llm.piece_codec import Encoder
 from lamina.llm.pieces import default_path, model
 
-SPREAD = 32
 START = 1
 #: Keys of n-grams: pairs from 0 up (context * vocabulary + token), the total, contexts
 #: from -2 down, tokens below these.
@@ -58,12 +57,11 @@ def _bigrams(table: pa.Table, vocabulary: int) -> tuple[np.ndarray, np.ndarray,
     return context, word, context.astype(wide) * wide(vocabulary) + word, n
 
 
-def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, mass: float = 64.0, block_rows: int = 2000) -> DataFrame:
+def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, mass: float = 64.0, block_rows: int = 2000, block_bytes: int = 1 << 24) -> DataFrame:
     """One row a row of ``docs``: doc_id, n_tokens, loss_target, loss_background,
     ce_difference. ``target`` has the ids (doc_id) of the target texts."""
-    size = docs.count()
-    wide = max(1, math.ceil(size / block_rows / SPREAD))
-    spread = min(SPREAD, max(1, math.ceil(size / block_rows)))
+    size = docs.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size["rows"] // block_rows), -(-size["bytes"] // block_bytes))
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, keep=100_000)
@@ -74,11 +72,10 @@ def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
                 ids = encoder.packed(part.column(2).to_pylist(), "<u2")
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], names=["block", "doc_id", "ids"])
 
-    def count(tokens: pa.Table, marked: pa.Table) -> pa.Table:
+    def count(tokens: pa.Table) -> pa.Table:
         v = len(model(path or default_path()).pieces)
         context, word, pairs, n = _bigrams(tokens, v)
-        wanted = set(marked.column("doc_id").to_pylist()) - {None}
-        is_target = np.repeat(np.fromiter((d in wanted for d in tokens.column("doc_id").to_pylist()), bool, len(n)), n)
+        is_target = np.repeat(tokens.column("target").to_numpy().astype(bool), n)
         found, times = np.unique(pairs, return_counts=True)
         of_target = np.zeros(len(found), np.int64)
         t_found, t_times = np.unique(pairs[is_target], return_counts=True)
@@ -126,17 +123,16 @@ def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
         out = [pa.array(x, pa.float64(), mask=none) for x in (*means, means[0] - means[1])]
         return pa.table([tokens.column("doc_id"), pa.array(n), *out], names=["doc_id", "n_tokens", "loss_target", "loss_background", "ce_difference"])
 
-    by_id = F.pmod(F.xxhash64("doc_id"), F.lit(wide))
     # a running number of the scan: the same again when a task is run again
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.select((by_id * spread + F.pmod(F.xxhash64("row"), F.lit(spread))).alias("block"), "doc_id", "text")
+    rows = rows.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"), "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     tokens = rows.mapInArrow(tokenize, f"block long, doc_id {kind}, ids binary")
     marked = target.select(F.col("doc_id").cast(kind).alias("doc_id")).where("doc_id is not null").distinct()
-    marked = marked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    marked = marked.select((by_id * spread + F.col("part")).alias("block"), "doc_id")
+    tokens = tokens.join(marked.withColumn("target", F.lit(True)), "doc_id", "left")
+    tokens = tokens.select("block", "doc_id", "ids", F.coalesce("target", F.lit(False)).alias("target"))
     by_block = tokens.groupBy("block")
-    counted = by_block.cogroup(marked.groupBy("block")).applyInArrow(count, "block long, key long, b long, t long")
+    counted = by_block.applyInArrow(count, "block long, key long, b long, t long")
     sums = counted.groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
     asked = counted.select("block", "key").join(sums, "key").select("block", "key", "b", "t")
     out = f"doc_id {kind}, n_tokens long, loss_target double, loss_background double, ce_difference double"

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lamina.llm import fingerprints, flat, near_dedup, secret_scan, toxicity
+from lamina.llm import fingerprints, flat, lm_scoring, near_dedup, secret_scan, toxicity
 
 from .conftest import sentence
 
@@ -157,3 +157,18 @@ def test_one_row_of_each_component_stays(spark):
     of = lambda texts: [i for i, t in got if t in texts]
     assert of(same_id) == [7] and of(no_id) == [None] and of(mixed) == [9] and of(plain) == [20]
     assert len(got) == 4 + 3
+
+
+def test_lm_blocks_do_not_grow_with_a_repeated_id(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)  # rows of blocks that are too large
+    bigrams = lm_scoring._bigrams
+
+    def watched(table, vocabulary):
+        seen.add(table.num_rows if table.num_rows > 60 else 0)
+        return bigrams(table, vocabulary)
+
+    monkeypatch.setattr(lm_scoring, "_bigrams", watched)
+    docs = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"))
+    target = docs.where("doc_id < 100").select("doc_id")
+    got = lm_scoring.score(docs, target, block_rows=20)
+    assert got.count() == 4000 and seen.value == 0
