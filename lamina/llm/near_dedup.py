@@ -23,7 +23,8 @@ Linking. No group is paired up as a whole.
 2. Two nodes within CLUSTER_DISTANCE of a group's least node lie in one cluster (a
    component of all such pairs). In clusters with several components all pairs of nodes
    from different components are compared exactly, in blocks of BLOCK nodes: the nodes
-   outside the cluster's largest component with each other and with those in it. A
+   outside the cluster's largest component with each other and with those in it. Blocks
+   of large sets have fewer nodes, for BLOCK_BYTES of sets. A
    block gives at most one link for each of its nodes.
 3. In each group, the pairs of different components of which a node is farther from
    the least node are compared, also in blocks, and confirmed if near.
@@ -57,6 +58,8 @@ K = CHUNKS * PLACES
 MAX_DISTANCE = 50
 CLUSTER_DISTANCE = 65
 BLOCK = 512
+#: Bytes of sets in a block of a cluster, on average.
+BLOCK_BYTES = 1 << 24
 #: 32 MB: the filter of the nodes whose sets are wanted, some 22 million of them.
 MAX_FILTER_BITS = 1 << 28
 
@@ -251,14 +254,18 @@ def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return left, left if i[0] == j[0] else np.flatnonzero(own == j[0])
 
 
-def _cluster_rows(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+def _cluster_rows(pairs: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
     """(cluster, node, root, in_core, core, rest) of the clusters with several
-    components; core and rest are the numbers of nodes in and outside the largest."""
+    components; core and rest are the numbers of nodes in and outside the largest, or
+    more where their sets need more blocks than so many nodes."""
     placed = components(pairs.toDF("u", "v")).toDF("node", "cluster")
     placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    count = placed.groupBy("cluster", "root").agg(F.count("*").alias("n"))
-    size = count.groupBy("cluster").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).where("all > top.n")
-    size = size.select("cluster", F.col("top.root").alias("core_root"), F.col("top.n").alias("core"), (F.col("all") - F.col("top.n")).alias("rest"))
+    sizes = placed.join(nodes.select("node", F.col("n").alias("hashes")), "node")
+    count = sizes.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum("hashes").alias("hashes"))
+    size = count.groupBy("cluster").agg(F.max(F.struct("n", "root", "hashes")).alias("top"), F.sum("n").alias("all"), F.sum("hashes").alias("hashes")).where("all > top.n")
+    rows = lambda n, hashes: F.greatest(n, F.ceil(hashes * F.lit(8.0 * BLOCK / BLOCK_BYTES)).cast("long"))
+    core, rest = rows(F.col("top.n"), F.col("top.hashes")), rows(F.col("all") - F.col("top.n"), F.col("hashes") - F.col("top.hashes"))
+    size = size.select("cluster", F.col("top.root").alias("core_root"), core.alias("core"), rest.alias("rest"))
     return placed.join(size, "cluster").select("cluster", "node", "root", (F.col("root") == F.col("core_root")).alias("in_core"), "core", "rest")
 
 
@@ -344,7 +351,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
     sets = wanted(ends(near)).checkpoint()
     links = sized(_confirmed(near, sets).checkpoint())
     roots = components(links)
-    clusters = sized(_cluster_rows(pairs.select("a", "b"), roots).checkpoint())
+    clusters = sized(_cluster_rows(pairs.select("a", "b"), roots, nodes).checkpoint())
     far = sized(_far_pairs(groups, pairs, roots, nodes).checkpoint())
     more = clusters.select("node").union(ends(far)).join(sets.select("node"), "node", "left_anti")
     sets = sets.union(wanted(more).checkpoint())

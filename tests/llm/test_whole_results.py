@@ -172,3 +172,18 @@ def test_lm_blocks_do_not_grow_with_a_repeated_id(spark, monkeypatch):
     target = docs.where("doc_id < 100").select("doc_id")
     got = lm_scoring.score(docs, target, block_rows=20)
     assert got.count() == 4000 and seen.value == 0
+
+
+def test_blocks_of_large_sets_are_more(spark):
+    n, size = 64, 2_000_000  # one cluster, 16 MB a set; half of its nodes are one component
+    pairs = spark.createDataFrame([(0, k) for k in range(1, n)], "a long, b long")
+    roots = spark.createDataFrame([(k, 0) for k in range(n // 2)], "node long, root long")
+    nodes = spark.range(n).select(F.col("id").alias("node"), F.lit(size).cast("long").alias("n"))
+    dealt = near_dedup._dealt(near_dedup._cluster_rows(pairs, roots, nodes), "core", "rest")
+    held = {}
+    for r in dealt.collect():
+        held.setdefault((r.i, r.j), set()).add(r.node)
+    assert max(map(len, held.values())) <= n // 4
+    # all pairs of different components still meet
+    met = {(a, b) for x in held.values() for a in x for b in x}
+    assert all((a, b) in met for a in range(n) for b in range(n // 2, n) if a != b)
