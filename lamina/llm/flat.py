@@ -80,6 +80,25 @@ def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE_BYTES) -> It
         lo = hi
 
 
+def cuts(data: np.ndarray, is_cut: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Consecutive windows of one text, of about ``size`` bytes: each but the last ends
+    after a byte marked in ``is_cut`` (by byte value), the next such byte where there is
+    none in ``size`` bytes."""
+    lo, n = 0, len(data)
+    while lo < n:
+        hi = min(lo + size, n)
+        if hi < n:
+            found = np.flatnonzero(is_cut[data[lo:hi]])
+            if len(found):
+                hi = lo + int(found[-1]) + 1
+            else:
+                while hi < n and not is_cut[data[hi - 1]]:
+                    more = np.flatnonzero(is_cut[data[hi : hi + size]])
+                    hi = hi + int(more[0]) + 1 if len(more) else min(hi + size, n)
+        yield lo, hi
+        lo = hi
+
+
 def row_slices(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``size`` bytes of text each, one row at least."""
     _, offsets = text_bytes(batch.column(column))

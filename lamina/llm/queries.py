@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import fingerprints, flat, lm_scoring, near_dedup, packing, piece_codec, repetition, secret_scan, token_counts, toxicity, url_cascade
+from lamina.llm import collocations, dominance, fingerprints, flat, lm_scoring, near_dedup, packing, piece_codec, repetition, resampling, secret_scan, token_counts, toxicity, url_cascade
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +89,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), "chars_4096")
 
 
+def op11_dominance_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = dominance.pack(_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the texts of ``benchmark``."""
+    drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,7 +111,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_lm_scoring, op2_packing, op3_quality_rules, op4_fingerprints, op5_near_dedup, op6_toxicity, op7_piece_codec, op8_url_cascade, op9_secret_scan, op10_token_counts, pipeline)}
+    return {q.__name__: q for q in (op1_lm_scoring, op2_packing, op3_quality_rules, op4_fingerprints, op5_near_dedup, op6_toxicity, op7_piece_codec, op8_url_cascade, op9_secret_scan, op10_token_counts, op11_dominance_packing, op12_resampling, op13_collocations, pipeline)}
 
 
 #: The words of a text, and a list's windows of n words, as DuckDB expressions.
@@ -167,7 +182,49 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP12 = rf"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+w AS (SELECT 1 AS own, row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+      UNION ALL SELECT 0, 0, 0, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+v AS (SELECT DISTINCT word, hex(encode(word)) AS h FROM (SELECT unnest(ws) AS word FROM w)),
+b AS (SELECT word, xor(list_reduce([4294967295] || list_transform(range(length(h) // 2), lambda k: ('0x' || h[2 * k + 1 : 2 * k + 2])::BIGINT),
+                                   lambda c, x: xor(t[xor(c, x) % 256 + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM v, crc),
+u AS (SELECT own, r, bucket FROM (SELECT own, r, unnest(ws) AS word FROM w) JOIN b USING (word)),
+c AS (SELECT bucket, sum(own)::BIGINT AS s, sum(1 - own)::BIGINT AS t FROM u GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                                     / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM c),
+x AS (SELECT r, sum(gain)::BIGINT AS weight FROM u JOIN g USING (bucket) WHERE own = 1 GROUP BY r),
+d AS (SELECT r, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+             ('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT AS h FROM w LEFT JOIN x USING (r) WHERE own = 1),
+e AS (SELECT r, doc_id, n_features, weight,
+             weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d),
+k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS rank, count(*) OVER () AS n FROM e WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank::BIGINT END AS rank FROM e LEFT JOIN k USING (r)
+"""
+
+_OP13 = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, m, array_to_string(ws[i : i + m - 1], ' ') AS phrase, count(*) AS a
+      FROM w, range(1, 6) AS s(m), range(1, len(ws) - m + 2) AS t(i) GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, m, a, k, array_to_string(string_split(phrase, ' ')[1 : k], ' ') AS x,
+             array_to_string(string_split(phrase, ' ')[k + 1 : m], ' ') AS y FROM f, range(1, m) AS t(k)),
+s AS (SELECT c.*, l.a AS l, r.a AS r, n.n, (1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a) AS score
+      FROM c JOIN f l ON l.lang = c.lang AND l.phrase = x JOIN f r ON r.lang = c.lang AND r.phrase = y JOIN n ON n.lang = c.lang
+      QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1),
+i AS (SELECT DISTINCT o.lang, array_to_string(string_split(o.phrase, ' ')[b : b + q - 1], ' ') AS phrase, o.a AS longer
+      FROM f o, range(2, o.m) AS t(q), range(1, o.m - q + 2) AS u(b))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM s WHERE NOT EXISTS (FROM i WHERE i.lang = s.lang AND i.phrase = s.phrase AND 100 * i.longer >= 100 * s.a)
+QUALIFY rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op3_quality_rules": _OP3, "op4_fingerprints": _OP4, "op8_url_cascade": _OP8}
+    return {"op3_quality_rules": _OP3, "op4_fingerprints": _OP4, "op8_url_cascade": _OP8, "op12_resampling": _OP12, "op13_collocations": _OP13}
