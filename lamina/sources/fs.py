@@ -55,6 +55,44 @@ def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
     return [] if found is None else [str(st.getPath()) for st in found]
 
 
+def names(spark: SparkSession, pattern: str) -> list[str]:
+    """Last parts of the paths that match a glob pattern."""
+    return [d.rstrip("/").rsplit("/", 1)[1] for d in glob_dirs(spark, pattern)]
+
+
+def lines(spark: SparkSession, path: str) -> list[str]:
+    """The lines of a small text file; none without the file."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    out = []
+    try:
+        while (line := reader.readLine()) is not None:
+            out.append(str(line))
+    finally:
+        reader.close()
+    return out
+
+
+def remove_file(spark: SparkSession, uri: str, into: str | None = None) -> bool:
+    """Delete one file, given by its (encoded) URI, or move it to the same path below
+    ``into``. False if it isn't there any more."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    if into is None:
+        return bool(fs.delete(p, False))
+    to = jvm.org.apache.hadoop.fs.Path(into + str(p.toUri().getPath()))
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"{uri} could not be moved below {into}")
+    return True
+
+
 def _numbered(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     """The versions of a small text file, the newest first."""
     found = ((d.rsplit(".", 1)[1], d) for d in glob_dirs(spark, f"{path}.[0-9]*"))

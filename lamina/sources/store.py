@@ -4,14 +4,15 @@ Layout under one root (a folder in the cluster's shared storage)::
 
     rejected/ingest_id=7/             facts that cannot be routed, with a reason
     new/                              flat Parquet, appended by producers (S2)
-    master/_COMPACTED                 K and the live compactions (a few bytes)
+    master/_COMPACTED                 K, the live compactions and the ledger of batches (a few bytes)
     master/unit_id=4/property_id=0/ingest_id=7/part-*.parquet     an ingest batch
     master/unit_id=4/property_id=0/ingest_id=-9/part-*.parquet    a compaction
     _ingest/checkpoint, _ingest/archive   streaming ingest state (lamina.streaming)
 
 Partitions are ``unit_id`` / ``property_id`` (the union arm tags, S9) and
 ``ingest_id`` (the ingest batch). A batch written twice overwrites itself (dynamic
-partition overwrite), so a replayed ingest batch never duplicates facts.
+partition overwrite), so a replayed ingest batch never duplicates facts. Which id a batch
+has is the store's to say, not the stream's: see :meth:`FactStore.ingest_id`.
 Compaction merges the new batches, with earlier compactions that are not much larger,
 and moves the pointer (S12). What it merged stays on disk until the next compaction.
 """
@@ -216,13 +217,17 @@ def reset_workspace(spark: SparkSession, *paths: str) -> None:
         fs.mkdirs(spark, p)
 
 
+class StaleCheckpointError(RuntimeError):
+    """A stream's checkpoint is older than what master has of it."""
+
+
 class FactStore:
     """New-data and master datasets under one root.
 
     Master holds two kinds of partitions: ingest batches (``ingest_id >= 0``, one
     per micro-batch, many small files) and compactions (``ingest_id < 0``). The
     pointer file ``master/_COMPACTED`` holds K and the ids of the live compactions:
-    batches ``<= K`` are in these. Readers see batches above K and the live
+    batches ``<= K`` are in these (and the ledger of batches, see :meth:`ingest_id`). Readers see batches above K and the live
     compactions, a partition filter, so replacing the pointer (one rename) switches
     from the merged parts to their compaction at once. A compaction that was written
     but not committed is not live and never seen, and what a compaction merged stays
@@ -238,14 +243,48 @@ class FactStore:
         self.ingest_checkpoint = f"{self.root}/_ingest/checkpoint"
         self.ingest_archive = f"{self.root}/_ingest/archive"
 
+    def _held(self) -> dict:
+        """What the pointer holds: ``through`` (K), ``live`` compactions, and the ledger:
+        ``next`` (the least ingest id not given out), ``streams`` (stream: its newest batch
+        and that batch's ingest id) and ``consumed`` (stream: the log number through which
+        its files have left new data)."""
+        text = fs.read_text(self.spark, self.pointer)
+        return {"through": -1, "live": [], "next": 0, "streams": {}, "consumed": {}} | (json.loads(text) if text else {})
+
+    def _point(self, **changes) -> None:
+        fs.write_text(self.spark, self.pointer, json.dumps(self._held() | changes))
+
     def state(self) -> tuple[int, tuple[int, ...]]:
         """(K, live compactions) of the pointer."""
-        text = fs.read_text(self.spark, self.pointer)
-        if not text:
-            return -1, ()
-        held = json.loads(text)
+        held = self._held()
         return int(held["through"]), tuple(held["live"])
 
+    def ingest_id(self, stream: str, batch: int) -> int:
+        """The ingest id of a stream's batch (S13). The store gives out ids, upwards and never
+        one that it has had, and remembers each stream's newest batch. So a batch that is run
+        again finds the id that it had and overwrites itself, and a stream that starts anew (its
+        checkpoint was lost, its batches begin at 0 again) gets ids above K: its facts are
+        visible and overwrite nobody's. The ledger is written before the batch.
+
+        Only a stream's newest batch can be run again. One older than that means that the
+        checkpoint was put back to an earlier state; that raises."""
+        held = self._held()
+        newest, known = held["streams"].get(stream, (-1, -1))
+        if batch == newest:
+            return known
+        if batch < newest:
+            raise StaleCheckpointError(f"stream {stream} is at batch {batch}, master has its batch {newest}: the checkpoint is older than master")
+        given = max([held["next"] - 1, held["through"], *self._dirs()]) + 1
+        self._point(next=given + 1, streams=held["streams"] | {stream: (batch, given)})
+        return given
+
+    def consumed(self, stream: str) -> int:
+        """The log number through which a stream's files have left new data."""
+        return int(self._held()["consumed"].get(stream, -1))
+
+    def set_consumed(self, stream: str, through: int) -> None:
+        self._point(consumed=self._held()["consumed"] | {stream: through})
+
     def compacted_through(self) -> int:
         return self.state()[0]
 
@@ -388,5 +427,5 @@ class FactStore:
         if before != after:
             raise RuntimeError(f"consolidate: {before} rows in its parts, {after} compacted; pointer not moved")
         left = [i for i in live if i not in merged]
-        fs.write_text(spark, self.pointer, json.dumps({"through": k_new, "live": [*left, target]}))
+        self._point(through=k_new, live=[*left, target])
         return {"rows": after, "batches": len(new_ids), "files_before": files_before, "files_after": self._files([target])}

@@ -295,3 +295,126 @@ def test_published_view_switches_atomically(spark, tmp_root):
     PV.cache_view(v1, root)
     assert PV.read_view(spark, root).first().pageviews == 1
     assert len(fs.glob_dirs(spark, f"{root}/v-*")) == 2  # current and previous only
+
+
+def _ids(df):
+    return sorted(r[0] for r in df.select("dataunit.page_view.person.user_id").collect())
+
+
+def test_facts_after_a_lost_checkpoint_are_visible(spark, tmp_root):
+    """The new stream's batches begin at 0 again, below K: they get ids above it."""
+    store = ST.FactStore(spark, tmp_root).create()
+    for i in range(3):
+        store.append_new(pageviews(spark, [(i, "http://a.com/x", i)]))
+        assert ingest(store).rows == 1
+    assert store.compacted_through() == 2
+    fs.delete(spark, store.ingest_checkpoint)
+    store.append_new(pageviews(spark, [(10 + i, "http://a.com/y", i) for i in range(10)]))
+    report = ingest(store, consolidate=False)
+    assert report.batches == [3] and report.rows == 10  # no file that master has is read again
+    assert _ids(store.read_master()) == [0, 1, 2, *range(10, 20)]
+    store.consolidate()
+    assert _ids(store.read_master()) == [0, 1, 2, *range(10, 20)]
+    store.append_new(pageviews(spark, [(30, "http://a.com/y", 1)]))
+    assert ingest(store).batches == [4] and store.read_master().count() == 14
+
+
+def test_replays_stay_idempotent_after_a_lost_checkpoint(spark, tmp_root):
+    from lamina.streaming.ingest import IngestReport, absorb_batch, ingest_snapshot
+
+    store = ST.FactStore(spark, tmp_root).create()
+    store.append_new(pageviews(spark, [(1, "http://a.com/x", 1)]))
+    ingest(store)
+    fs.delete(spark, store.ingest_checkpoint)
+    store.append_new(pageviews(spark, [(2, "http://a.com/x", 1), (3, "http://a.com/x", 1)]))
+    absorb = absorb_batch(store, IngestReport())
+
+    def crash(df, batch_id):
+        absorb(df, batch_id)
+        raise RuntimeError("driver lost before the commit")
+
+    for _ in range(2):  # the batch dies twice and is run three times
+        q = ingest_snapshot(store, consume="off").writeStream.foreachBatch(crash)
+        with pytest.raises(Exception):
+            q.option("checkpointLocation", store.ingest_checkpoint).trigger(availableNow=True).start().awaitTermination()
+    assert ingest(store).batches == [1]
+    assert _ids(store.read_master()) == [1, 2, 3]
+
+
+def test_a_batch_without_legal_facts_keeps_its_id(spark, tmp_root):
+    store = ST.FactStore(spark, tmp_root).create()
+    bad = equivs(spark, [(1, 2)]).withColumn("dataunit", F.col("dataunit").withField("equiv", F.lit(None).cast(S.EQUIV_EDGE)))
+    for _ in range(3):
+        store.append_new(bad)
+        assert ingest(store).rejected == 1
+    assert store.read_rejected().count() == 3
+
+
+def test_a_checkpoint_put_back_raises(spark, tmp_root):
+    store = ST.FactStore(spark, tmp_root).create()
+    assert [store.ingest_id("s", 0), store.ingest_id("s", 1), store.ingest_id("s", 1), store.ingest_id("t", 0)] == [0, 1, 1, 2]
+    with pytest.raises(ST.StaleCheckpointError):
+        store.ingest_id("s", 0)
+
+
+@pytest.mark.parametrize("how", ["archive", "delete"])
+def test_new_data_holds_what_arrived_later(spark, tmp_root, how, monkeypatch):
+    """A file that arrives while a run goes on stays, all others leave at its end."""
+    store = ST.FactStore(spark, tmp_root).create()
+    store.append_new(fixture_facts(spark).repartition(3))
+    taken = set(data_files(store.new_path))
+    absorb = ST.FactStore.absorb
+
+    def late(self, *args):
+        absorb(self, *args)
+        self.append_new(pageviews(spark, [(77, "http://a.com/late", 1)]).coalesce(1))
+
+    monkeypatch.setattr(ST.FactStore, "absorb", late)
+    report = ingest(store, consume=how)
+    monkeypatch.undo()
+    left = set(data_files(store.new_path))
+    assert report.rows == 10 and report.consumed == len(taken)
+    assert len(left) == 1 and not left & taken
+    assert set(data_files(store.ingest_archive)) == (taken if how == "archive" else set())
+    assert ingest(store, consume=how).rows == 1 and data_files(store.new_path) == []
+    assert store.read_master().count() == 11
+
+
+def test_a_run_that_died_before_it_took_files_out_is_made_up_for(spark, tmp_root):
+    store = ST.FactStore(spark, tmp_root).create()
+    for i in range(3):
+        store.append_new(pageviews(spark, [(i, "http://a.com/x", i)]).coalesce(1))
+        ingest(store, consume="off")
+    assert len(data_files(store.new_path)) == 3
+    report = ingest(store)
+    assert (report.rows, report.consumed) == (0, 3) and data_files(store.new_path) == []
+    assert ingest(store).consumed == 0
+
+
+def test_files_leave_over_many_runs_of_a_compacting_log(spark, tmp_root):
+    """The source folds its file log from time to time: no file is missed."""
+    store = ST.FactStore(spark, tmp_root).create()
+    before = spark.conf.get("spark.sql.streaming.fileSource.log.compactInterval", "10")
+    spark.conf.set("spark.sql.streaming.fileSource.log.compactInterval", "2")
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+    try:
+        for i in range(7):
+            store.append_new(pageviews(spark, [(i, "http://a.com/x", i)]).coalesce(1))
+            assert ingest(store, consolidate=False).consumed == 1 and data_files(store.new_path) == []
+    finally:
+        spark.conf.set("spark.sql.streaming.fileSource.log.compactInterval", before)
+        spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
+    assert store.read_master().count() == 7
+
+
+def test_snapshots_are_counted_when_commits_are_purged(spark, tmp_root):
+    store = ST.FactStore(spark, tmp_root).create()
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+    got = []
+    try:
+        for i in range(7):
+            store.append_new(pageviews(spark, [(i, "http://a.com/x", i)]).coalesce(1))
+            got.append(snapshot_new(store, f"{tmp_root}/snap"))
+    finally:
+        spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
+    assert got == [1] * 7 and ST.scan_facts(spark, f"{tmp_root}/snap").count() == 7
