@@ -17,7 +17,8 @@ No step collects a neighbour list: per-node facts come from ``min``/``max``
 aggregates (partial aggregation before the shuffle, so a hub node costs one row per
 map task) joined back to the edges. Inside a fixpoint these facts are written first, so
 both sides of the join come from a shuffle of their own and AQE's skew join can split a
-hub's edges across tasks. Each round's output is written as a Parquet table in the shared checkpoint
+hub's edges across tasks; a round of fewer edges than ``SPLIT_ROWS``, which one task could
+join alone, is spared that job. Each round's output is written as a Parquet table in the shared checkpoint
 folder (or cut by a reliable checkpoint), so a lost executor recomputes at most one
 round, and the next round's joins are planned from real table sizes.
 """
@@ -34,6 +35,10 @@ from lamina import schema as S
 from lamina.functions.facts import only_unit, set_nested
 from lamina.session import default_stage, parquet_stage, workspace
 
+# A round of at most so many edges fits one task whatever its largest hub, so its
+# per-node facts need no table of their own (see the module's text).
+SPLIT_ROWS = 1 << 20
+
 # Loop guard only: a fixpoint that has not converged raises, it never returns a
 # partial map. Both methods need O(log n)-O(log^2 n) rounds.
 MAX_ROUNDS = 256
@@ -155,14 +160,14 @@ def _observed_sum(df: DataFrame, name: str, flag) -> tuple[DataFrame, Observatio
     only over-count, and callers test the counter for zero. Names are made unique,
     so concurrent or repeated fixpoints never read each other's counters."""
     obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
-    return df.observe(obs, F.sum(F.when(flag, 1).otherwise(0)).alias("n")), obs
+    return df.observe(obs, F.sum(F.when(flag, 1).otherwise(0)).alias("n"), F.count(F.lit(1)).alias("rows")), obs
 
 
-def _count(obs: Observation, staged: DataFrame) -> int:
-    """The counter's value. When the optimizer proved the input empty it drops the
-    observed node and no metrics arrive; that is confirmed on the staged result."""
+def _count(obs: Observation, staged: DataFrame, what: str = "n") -> int:
+    """The counter's value (``rows``: all rows). When the optimizer proved the input empty it
+    drops the observed node and no metrics arrive; that is confirmed on the staged result."""
     try:
-        return int(obs.get.get("n") or 0)
+        return int(obs.get.get(what) or 0)
     except Exception:
         if staged.isEmpty():
             return 0
@@ -186,10 +191,12 @@ def equiv_fixpoint(
     side = default_stage(spark)
     if stage is None:
         stage = parquet_stage(workspace(spark, "rounds")) if trace is not None else default_stage(spark)
-    current = edges.select("a", "b")
+    current, rows = edges.select("a", "b"), None
     for i in range(1, max_rounds + 1):
-        flagged, progress = _observed_sum(equiv_round(current, side, f"stats_{i}"), f"equiv_round_{i}", F.col("progress"))
+        split = side if rows is None or rows > SPLIT_ROWS else None
+        flagged, progress = _observed_sum(equiv_round(current, split, f"stats_{i}"), f"equiv_round_{i}", F.col("progress"))
         flagged = stage(flagged, f"equiv_round_{i}")
+        rows = _count(progress, flagged, "rows")
         if trace is not None:
             trace.append(flagged)
         if _count(progress, flagged) == 0:
@@ -198,7 +205,7 @@ def equiv_fixpoint(
     raise FixpointError(f"equiv_fixpoint did not converge in {max_rounds} rounds")
 
 
-def _large_star(oriented: DataFrame, name: str, stage: Stage) -> tuple[DataFrame, Observation]:
+def _large_star(oriented: DataFrame, name: str, stage: Stage | None) -> tuple[DataFrame, Observation]:
     """Large-star: every node links its larger neighbours to the smallest member of
     its closed neighbourhood. Output oriented ``a > b``. It is not made distinct:
     each input edge is relinked exactly once (from its smaller end), so the output
@@ -209,19 +216,20 @@ def _large_star(oriented: DataFrame, name: str, stage: Stage) -> tuple[DataFrame
     mins = bi.groupBy("a").agg(F.min("b").alias("min_b")).select(
         "a", F.least(F.col("a"), F.col("min_b")).alias("m")
     )
-    mins = stage(mins, f"{name}_mins")
+    mins = mins if stage is None else stage(mins, f"{name}_mins")
     emitted = bi.where(F.col("b") > F.col("a")).join(mins, "a")
     emitted, obs = _observed_sum(emitted, name, F.col("m") != F.col("a"))
     return emitted.select(F.col("b").alias("a"), F.col("m").alias("b")), obs
 
 
-def _small_star(oriented: DataFrame, name: str, stage: Stage) -> tuple[DataFrame, Observation]:
+def _small_star(oriented: DataFrame, name: str, stage: Stage | None) -> tuple[DataFrame, Observation]:
     """Small-star: every node links itself and its smaller neighbours to the smallest
     of them. Input oriented ``a > b`` (duplicates allowed), output oriented and
     distinct. One join with the per-node minimum yields both emitted edges, so the
     input is read twice (aggregate, join). The counter is the number of moved edges
     (a node with more than one smaller neighbour)."""
-    mins = stage(oriented.groupBy("a").agg(F.min("b").alias("m")), f"{name}_mins")
+    mins = oriented.groupBy("a").agg(F.min("b").alias("m"))
+    mins = mins if stage is None else stage(mins, f"{name}_mins")
     joined, obs = _observed_sum(oriented.join(mins, "a"), name, F.col("b") != F.col("m"))
     both = F.explode(
         F.array(
@@ -245,8 +253,8 @@ def star_fixpoint(
     graph is a star forest around each component's smallest id: then every node
     with a larger neighbour has no smaller one, and every other node has exactly
     one smaller neighbour. Each round is written as a table, and so is the large-star
-    step, which small-star reads twice, and the minima of either step. The counters are
-    filled by those writes. Returns star edges ``(a=id, b=smallest)`` and the number of
+    step, which small-star reads twice, and the minima of either step where the round has more
+    than ``SPLIT_ROWS`` edges. The counters are filled by those writes. Returns star edges ``(a=id, b=smallest)`` and the number of
     rounds. With ``trace`` every round's table is kept and appended to it."""
     spark = edges.sparkSession
     side = parquet_stage(workspace(spark, "stars"), keep_last=3)
@@ -255,11 +263,14 @@ def star_fixpoint(
     oriented = drop_self_loops(edges).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    oriented = stage(oriented.distinct(), "star_0")
+    oriented, first = _observed_sum(oriented.distinct(), "star_0", F.lit(True))
+    oriented = stage(oriented, "star_0")
+    rows = _count(first, oriented, "rows")
     for i in range(1, max_rounds + 1):
-        large, relinked = _large_star(oriented, f"large_star_{i}", side)
+        large, relinked = _large_star(oriented, f"large_star_{i}", side if rows > SPLIT_ROWS else None)
         large = side(large, f"large_{i}")
-        small, moved = _small_star(large, f"small_star_{i}", side)
+        rows = _count(relinked, large, "rows")
+        small, moved = _small_star(large, f"small_star_{i}", side if rows > SPLIT_ROWS else None)
         oriented = stage(small, f"star_{i}")
         if trace is not None:
             trace.append(oriented)
