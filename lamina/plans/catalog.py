@@ -22,8 +22,9 @@ from lamina.functions.urls import normalize_url
 from lamina.operators import identity as I
 from lamina.operators import pageviews as PV
 from lamina.operators.urls import normalize_urls
+from lamina.plans.live import LiveView, live_workflow
 from lamina.plans.workflow import batch_workflow, unique_pageviews
-from lamina.session import checkpoint_stage, ensure_checkpoint_dir, parquet_stage, workspace
+from lamina.session import checkpoint_stage, default_stage, ensure_checkpoint_dir, parquet_stage, workspace
 from lamina.sources import adapters as A
 from lamina.sources import store as ST
 from lamina.streaming.ingest import ingest, snapshot_new
@@ -66,7 +67,13 @@ def _bi(spark, sf_dir) -> DataFrame:
 
 
 def _round1(spark, sf_dir) -> DataFrame:
-    return _memo(spark, sf_dir, "round1", lambda: checkpoint_stage(I.equiv_round(_equiv_edges(spark, sf_dir))))
+    """The first relinking round, its per-node facts written first so that a hub is split."""
+    edges = _equiv_edges(spark, sf_dir)
+    return _memo(spark, sf_dir, "round1", lambda: checkpoint_stage(I.equiv_round(edges, default_stage(spark))))
+
+
+def _staged_stats(spark, bi: DataFrame) -> DataFrame:
+    return default_stage(spark)(I.node_stats(bi), "node_stats")
 
 
 def _edges_out(df: DataFrame, a: str = "a", b: str = "b", pa: str = "a", pb: str = "b", *extra) -> DataFrame:
@@ -303,7 +310,7 @@ def q_bidirectional_edges(spark, sf_dir):
 
 def q_relink_to_smallest(spark, sf_dir):
     bi = _bi(spark, sf_dir)
-    rel = I.relink_to_smallest(bi, I.node_stats(bi)).distinct()
+    rel = I.relink_to_smallest(bi, _staged_stats(spark, bi)).distinct()
     return rel.select(*flat_person("node", "node"), *flat_person("m", "m"), *flat_person("x", "x"), "progress")
 
 
@@ -350,7 +357,7 @@ def q_group_progress(spark, sf_dir):
 
 def q_distinct_flagged_edges(spark, sf_dir):
     bi = _bi(spark, sf_dir)
-    flagged = I.distinct_flagged_edges(I.relink_to_smallest(bi, I.node_stats(bi)))
+    flagged = I.distinct_flagged_edges(I.relink_to_smallest(bi, _staged_stats(spark, bi)))
     return _edges_out(flagged, "a", "b", "a", "b", "progress")
 
 
@@ -418,5 +425,38 @@ def q_batch_workflow(spark, sf_dir):
     return batch_workflow(spark, store, stage_root=f"{store.root}/stages", view_path=f"{store.root}/view")
 
 
+# --- increments ----------------------------------------------------------------------------------
+
+
+ARRIVALS = 3
+
+
+def _live(spark, sf_dir) -> LiveView:
+    """All facts, come in three arrivals that are taken in one after the other."""
+
+    def build():
+        arrived = parquet_stage(workspace(spark, "arrivals"))(facts(spark, sf_dir), "facts")
+        store, live = _fresh_store(spark, "live-master"), LiveView(spark, workspace(spark, "live"))
+        for k in range(ARRIVALS):
+            store.append_new(arrived.where(F.pmod(F.xxhash64("dataunit"), F.lit(ARRIVALS)) == k))
+            live_workflow(spark, store, live)
+        return live
+
+    return _memo(spark, sf_dir, "live", build)
+
+
+def q_canonical_ids_live(spark, sf_dir):
+    found = _live(spark, sf_dir).canon()
+    return found.select(*flat_person("id", "id"), *flat_person("canonical_id", "canonical"))
+
+
+def q_dedup_pageviews_live(spark, sf_dir):
+    return flatten(_live(spark, sf_dir).unique_views())
+
+
+def q_pageview_batch_view_live(spark, sf_dir):
+    return _live(spark, sf_dir).view()
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -288,4 +288,8 @@ def oracle_sql() -> dict[str, str]:
         "equiv_fixpoint": _q(f"SELECT {person('canonical_id', 'a')}, {person('id', 'b')} FROM canon"),
         "canonical_ids": CANON,
         "batch_workflow": VIEW,
+        # increments: the same as from all facts at once
+        "canonical_ids_live": CANON,
+        "dedup_pageviews_live": _q("SELECT * FROM ufacts"),
+        "pageview_batch_view_live": VIEW,
     }
