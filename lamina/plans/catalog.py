@@ -23,6 +23,7 @@ from lamina.operators import identity as I
 from lamina.operators import pageviews as PV
 from lamina.operators.urls import normalize_urls
 from lamina.plans.live import LiveView, live_workflow
+from lamina.plans.oracle import URL_SPELLINGS
 from lamina.plans.workflow import batch_workflow, unique_pageviews
 from lamina.session import checkpoint_stage, default_stage, ensure_checkpoint_dir, parquet_stage, workspace
 from lamina.sources import adapters as A
@@ -233,6 +234,18 @@ def q_normalize_url(spark, sf_dir):
     return pages.select("url", normalize_url("url").alias("normalized_url"))
 
 
+def q_normalize_url_spellings(spark, sf_dir):
+    """Every page's URL in the spellings of :mod:`lamina.plans.oracle`."""
+    cut = F.substring_index(F.substring_index("url", "#", 1), "?", 1)
+    pages = A.read_table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("u"), cut.alias("cut"))
+    scheme, rest = F.substring_index("cut", "://", 1), F.expr("substring(cut, length(substring_index(cut, '://', 1)) + 4)")
+    pages = pages.withColumn("scheme", scheme).withColumn("host", F.substring_index(rest, "/", 1))
+    pages = pages.withColumn("path", F.expr("substring(cut, length(scheme) + length(host) + 4)"))
+    spellings = F.array(*(F.expr(text) for text, _ in URL_SPELLINGS))
+    each = pages.select("page_id", F.posexplode(spellings).alias("spelling", "url"))
+    return each.withColumn("normalized_url", normalize_url("url"))
+
+
 def q_normalize_urls(spark, sf_dir):
     return flatten(normalize_urls(facts(spark, sf_dir)))
 

@@ -9,7 +9,6 @@ Spark results.
 from __future__ import annotations
 
 from lamina.functions.facts import FLAT_COLUMNS
-from lamina.functions.urls import sql_normalize_url
 
 FLAT_TYPES = {
     "unit_id": "INTEGER",
@@ -36,6 +35,23 @@ FLAT_TYPES = {
 assert list(FLAT_TYPES) == FLAT_COLUMNS
 
 
+def sql_normalize_url(expr: str) -> str:
+    """The URL rule for the shapes that the tables have, restated with string functions: cut at
+    ``#`` and ``?``, split at ``://``, the first ``/``, the ``@`` and the port's ``:``."""
+    text = f"regexp_replace({expr}, '^[\\x00- ]+|[\\x00- ]+$', '', 'g')"
+    cut = f"split_part(split_part({text}, '#', 1), '?', 1)"
+    scheme = f"lower(split_part({cut}, '://', 1))"
+    rest = f"substr({cut}, length(split_part({cut}, '://', 1)) + 4)"
+    authority = f"split_part({rest}, '/', 1)"
+    place = f"split_part({authority}, '@', -1)"
+    host = f"CASE WHEN starts_with({place}, '[') THEN split_part({place}, ']', 1) || ']' ELSE split_part({place}, ':', 1) END"
+    port = f"ltrim(substr({place}, length({host}) + 1), ':')"
+    return (
+        f"(CASE WHEN contains({cut}, '://') AND {scheme} IN ('http', 'https', 'ftp') AND regexp_full_match({port}, '[0-9]*') "
+        f"THEN {scheme} || '://' || {host} || substr({rest}, length({authority}) + 1) ELSE {expr} END)"
+    )
+
+
 def flat_select(src: str, **vals: str) -> str:
     cols = ", ".join(f"CAST({vals.get(c, 'NULL')} AS {t}) AS {c}" for c, t in FLAT_TYPES.items())
     return f"SELECT {cols} FROM {src}"
@@ -194,6 +210,36 @@ def _q(select: str) -> str:
     return f"{BASE} {select}"
 
 
+#: Spellings of every page's URL by number, as (text, what it is normalized to): both are literal. ``u``
+#: is the URL, ``cut`` its part before the query and fragment, ``base`` and ``path`` its normal form.
+URL_SPELLINGS = [
+    ("cut || '/a/./b/../.'", "base || path || '/a/./b/../.'"),
+    ("'url:' || u", "base || path"),
+    ("chr(1) || ' ' || u || chr(31)", "base || path"),
+    ("'jar:' || cut || '!/a/../B.class'", "'jar://' || cut || '!/a/../B.class'"),
+    ("'jar:' || cut", "'jar:' || cut"),
+    ("'MailTo:' || page_id || '@x.org?subject=a?b'", "'mailto://' || page_id || '@x.org?subject=a'"),
+    ("'file:/srv/' || page_id || '/../f'", "'file:///srv/' || page_id || '/../f'"),
+    ("'file:f' || page_id || '?x'", "'file://f' || page_id"),
+    ("scheme || '://a@b@' || host || path", "scheme || '://' || path"),
+    ("scheme || '://' || host || ':4294967296/' || page_id", "scheme || '://' || host || ':4294967296/' || page_id"),
+    ("scheme || '://' || host || ':+81/' || page_id", "base || '/' || page_id"),
+    ("'FTP://u:p@H.org:21/' || page_id || ';type=i?q'", "'ftp://H.org/' || page_id || ';type=i'"),
+    ("'http:////' || page_id", "'http://////' || page_id"),
+    ("scheme || '://[fe80::1%25e0]:80/' || page_id", "scheme || '://[fe80::1%25e0]/' || page_id"),
+    ("scheme || '://[12345::1]/' || page_id || '?q'", "scheme || '://[12345::1]/' || page_id || '?q'"),
+]
+
+
+def _url_spellings() -> str:
+    rows = " UNION ALL ".join(f"SELECT page_id, {k} AS spelling, {text} AS url, {norm} AS normalized_url FROM p" for k, (text, norm) in enumerate(URL_SPELLINGS))
+    return f"""
+WITH c AS (SELECT page_id, url AS u, split_part(split_part(url, '#', 1), '?', 1) AS cut FROM pages),
+s AS (SELECT *, split_part(cut, '://', 1) AS scheme, split_part(split_part(cut, '://', 2), '/', 1) AS host FROM c),
+p AS (SELECT *, scheme || '://' || host AS base, substr(cut, length(scheme || '://' || host) + 1) AS path FROM s)
+SELECT page_id, CAST(spelling AS INTEGER) AS spelling, url, normalized_url FROM ({rows})"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         # sources and sinks
@@ -223,6 +269,7 @@ def oracle_sql() -> dict[str, str]:
         "fact_target": _q("SELECT unit_id, property_id, CAST(count(*) AS BIGINT) AS facts FROM facts GROUP BY 1, 2"),
         "equiv_pairs": _q(f"SELECT {person('a', 'a')}, {person('b', 'b')} FROM eqf"),
         "normalize_url": f"SELECT url, {sql_normalize_url('url')} AS normalized_url FROM pages",
+        "normalize_url_spellings": _url_spellings(),
         "normalize_urls": _q("SELECT * FROM nfacts"),
         "set_nested": _q("SELECT * FROM nfacts WHERE unit_id = 4"),
         "is_url_page": _q("SELECT * FROM facts WHERE unit_id = 4 AND page_kind = 1"),

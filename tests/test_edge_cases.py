@@ -12,10 +12,11 @@ from helpers import canon_map, equivs, pageviews, user_edges
 from lamina import schema as S
 from lamina.functions import buckets as B
 from lamina.functions import facts as FF
-from lamina.functions.urls import normalize_url, sql_normalize_url
+from lamina.functions.urls import normalize_url
 from lamina.operators import identity as I
 from lamina.operators import pageviews as PV
 from lamina.operators.urls import normalize_urls
+from lamina.plans.oracle import sql_normalize_url
 from lamina.sources import store as ST
 
 URL_CASES = [
