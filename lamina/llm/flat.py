@@ -27,6 +27,9 @@ LOWER[65:91] += 32
 #: Bytes of text worked on at once; one longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 
+#: Bytes hashed at once.
+HASH_BYTES = 1 << 18
+
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -137,15 +140,28 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each non-empty span's bytes."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """A 64-bit hash of each non-empty span's bytes. Spans of about ``HASH_BYTES`` are
+    hashed at once, a longer one in parts of that size."""
     lengths = ends - starts
-    begin = np.cumsum(lengths) - lengths
-    at = np.arange(int(lengths.sum())) - np.repeat(begin, lengths)
-    power = powers(int(lengths.max()))
-    terms = _BYTE[data[at + np.repeat(starts, lengths)]] * power[at]
-    return mix(np.add.reduceat(terms, begin) + lengths.astype(np.uint64) * _BASE)
+    out = np.zeros(len(starts), np.uint64)
+    upto, lo = np.cumsum(lengths), 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] - lengths[lo] + HASH_BYTES, "right")))
+        if upto[hi - 1] - upto[lo] + lengths[lo] <= HASH_BYTES:
+            n = lengths[lo:hi]
+            begin = np.cumsum(n) - n
+            at = np.arange(int(n.sum())) - np.repeat(begin, n)
+            terms = _BYTE[data[at + np.repeat(starts[lo:hi], n)]] * powers(int(n.max()))[at]
+            out[lo:hi] = np.add.reduceat(terms, begin)
+        else:
+            total, factor = 0, 1
+            for a in range(int(starts[lo]), int(ends[lo]), HASH_BYTES):
+                part = data[a : min(a + HASH_BYTES, int(ends[lo]))]
+                total += factor * int((_BYTE[part] * powers(len(part))[: len(part)]).sum())
+                factor = factor * pow(int(_BASE), HASH_BYTES, 1 << 64) % (1 << 64)
+            out[lo] = total % (1 << 64)
+        lo = hi
+    return mix(out + lengths.astype(np.uint64) * _BASE)
 
 
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -60,11 +60,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
-    s = toxicity.score(docs, model)
+    s = toxicity.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ["doc_id", "lang"])
     held_out = F.coalesce(toxicity.bucket(F.col("doc_id")) == 0, F.lit(False))
-    return s.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "lang", "threshold", "toxic")
+    predicted = (F.col("verdict.score") >= 0.5).cast("int").alias("predicted")
+    return s.select("doc_id", held_out.alias("held_out"), "verdict.score", predicted, "lang", "verdict.threshold", "verdict.toxic")
 
 
 def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

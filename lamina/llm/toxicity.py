@@ -17,7 +17,12 @@ in their true proportion at every size of the table. A language's threshold has
 F1 on its histogram; languages with few labelled rows use that of all. Scoring runs on
 every whole text where it lies; texts are never shuffled.
 
+Texts go through the network in windows of ``SCORE_BYTES``, so a task holds the word vectors of
+one window whatever a text's length; a text's maxima are the maxima over its windows.
+
 Results for special cases: null and empty texts get the score of a text without words.
+Very long texts count whole. An empty table gives no rows. Columns beside the three named have no
+influence and are kept where rows are kept.
 Rows without a language use the common threshold. Repeated rows get equal scores. With
 no labelled rows, or rows of one label only, the score is the share of label 1 among
 them (0 without any). A doc_id with several labels counts as 1 if one of them is 1.
@@ -34,15 +39,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm import flat
+from lamina.session import workspace
 
 BITS, DIM, WIDTHS, FILTERS = 15, 12, (1, 2, 3), 8
 _LETTER = np.ones(256, bool)
 _LETTER[:128] = [chr(b).isalpha() for b in range(128)]
 
 
+#: Bytes of text whose words go through the network at once.
+SCORE_BYTES = 1 << 19
+
+
 def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of the word and of its beginnings, one row a word, and the words' texts.
-    Words are runs of ASCII letters and of bytes beyond ASCII."""
+    """Buckets of the word and of its beginnings, one row a word, where the words begin,
+    and words by text. Words are runs of ASCII letters and of bytes beyond ASCII."""
     data = flat.LOWER[data]
     starts, ends = flat.spans_between(~_LETTER[data], offsets)
     text = flat.owner(offsets, starts)
@@ -50,7 +60,7 @@ def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     for row, most in enumerate((None, 4, 5)):
         h = flat.span_hash(data, starts, ends if most is None else np.minimum(ends, starts + most))
         out[row] = (flat.mix(h + np.uint64(row)) >> np.uint64(64 - BITS)).astype(np.int64)
-    return out, text, np.bincount(text, minlength=len(offsets) - 1)
+    return out, starts, np.bincount(text, minlength=len(offsets) - 1)
 
 
 @dataclass
@@ -92,20 +102,47 @@ class Classifier:
             block += w
         return x, z + self.bias
 
-    def logits(self, feats: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        pooled = np.zeros((len(counts), FILTERS * len(WIDTHS)), np.float32)
+    def pooled(self, feats: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The maxima of every filter by text, 0 at least."""
+        out = np.zeros((len(counts), FILTERS * len(WIDTHS)), np.float32)
         some = counts > 0
         if some.any():
             _, z = self.activations(feats, counts)
             begin = (np.cumsum(counts) - counts)[some]
-            pooled[some] = np.maximum(np.maximum.reduceat(z, begin, axis=0), 0)
-        return pooled @ self.out + self.out_bias
+            out[some] = np.maximum(np.maximum.reduceat(z, begin, axis=0), 0)
+        return out
+
+    def pooled_long(self, data: np.ndarray) -> np.ndarray:
+        """The same for one text, window by window: the maximum of the windows' maxima.
+        A window begins with the last words of the one before, whose filters reach into
+        it, and leaves its own last words to the next."""
+        out = np.zeros(FILTERS * len(WIDTHS), np.float32)
+        back, before = max(WIDTHS) - 1, data[:0]
+        for begin, end in flat.cuts(data, ~_LETTER, SCORE_BYTES):
+            window = np.concatenate([before, data[begin:end]])
+            feats, starts, counts = word_features(window, np.array([0, len(window)]))
+            if end < len(data):
+                own = max(0, len(starts) - back)
+                before = window[starts[own] :] if len(starts) else data[:0]
+            else:
+                own = len(starts)
+            if own:
+                _, z = self.activations(feats, counts)
+                np.maximum(out, z[:own].max(0), out=out)
+        return out
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(offsets) - 1, self.constant)
-        feats, _, counts = word_features(data, offsets)
-        return 1 / (1 + np.exp(-self.logits(feats, counts).astype(np.float64)))
+        pooled = np.zeros((len(offsets) - 1, FILTERS * len(WIDTHS)), np.float32)
+        for lo, hi, part, inner in flat.slices(data, offsets, SCORE_BYTES):
+            if len(part) <= SCORE_BYTES:
+                feats, _, counts = word_features(part, inner)
+                pooled[lo:hi] = self.pooled(feats, counts)
+            else:
+                pooled[lo] = self.pooled_long(part)
+        logits = (pooled * self.out).sum(1, dtype=np.float64) + self.out_bias
+        return 1 / (1 + np.exp(-logits))
 
     def threshold(self, lang: str | None) -> float:
         return self.thresholds.get(lang, self.thresholds[None])
@@ -235,12 +272,17 @@ def histogram(docs: DataFrame, marked: DataFrame, trained: DataFrame, model: Cla
                 place = pa.array(place, pa.int32(), mask=part.column(4).to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), place], names=["doc_id", "lang", "short", "bin"])
 
-    # only ids and bins are shuffled; rows of one id are added up before they meet its label
     rows = docs.where("doc_id is not null").where(bucket(F.col("doc_id")) != 0)
     rows = rows.join(F.broadcast(trained.withColumn("trained", F.lit(True))), ["doc_id", "place"], "left")
     rows = rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), (F.length("text") <= sample_chars).alias("short"), F.coalesce("trained", F.lit(False)).alias("trained"))
     binned = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang string, short boolean, bin int")
-    of_id = binned.groupBy("doc_id", "lang", "short", "bin").agg(F.count("*").alias("n"))
+    return _added_up(binned, marked)
+
+
+def _added_up(binned: DataFrame, marked: DataFrame) -> DataFrame:
+    """(lang, toxic, short, bin, n) from a row (doc_id, lang, short, bin) a text. Only ids and
+    bins are shuffled; rows of one id are added up before they meet its label."""
+    of_id = binned.where("doc_id is not null").groupBy("doc_id", "lang", "short", "bin").agg(F.count("*").alias("n"))
     return of_id.join(marked, "doc_id").groupBy("lang", "toxic", "short", "bin").agg(F.sum("n").alias("n"))
 
 
@@ -249,34 +291,96 @@ def bucket(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 2000, sample_chars: int = 6000, **training) -> Classifier:
-    """Trains on a bounded sample of the labelled rows that aren't held out, and sets
-    the thresholds from all of them that were not trained on."""
+def _marked(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic of the labelled rows that aren't held out."""
     marked = labels.where("doc_id is not null and toxic is not null").where(bucket(F.col("doc_id")) != 0)
-    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", (F.length("text") <= sample_chars).alias("short"))
-    whole = whole.withColumn("place", F.xxhash64("doc_id", "text"))
-    source = whole.where("short").drop("short")
+    return marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def _place() -> Column:
+    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+
+
+def learn(docs: DataFrame, marked: DataFrame, sample_per_class: int, sample_chars: int, **training) -> tuple[Classifier, DataFrame]:
+    """A classifier trained on a bounded sample of the labelled rows of ``docs`` (doc_id,
+    text, lang), and (doc_id, place) of the rows that were trained on."""
+    spark = docs.sparkSession
+    source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", (F.length("text") <= sample_chars).alias("short"))
+    source = source.where("short").withColumn("place", _place())
     # which texts: found by ids and hashes alone, then fetched by a join with these few
     known = source.select("doc_id", "place").join(marked, "doc_id")
     picked = []
     for label in (0, 1):
         picked += known.where(F.col("toxic") == label).orderBy("place", "doc_id").limit(sample_per_class).collect()
-    if not picked:
-        return train([], np.zeros(0))
-    # at most 2 * sample_per_class rows
-    sample = docs.sparkSession.createDataFrame(picked, known.schema).dropDuplicates(["doc_id", "place"])
-    texts = source.join(F.broadcast(sample), ["doc_id", "place"]).dropDuplicates(["doc_id", "place"])
-    rows = texts.select("doc_id", "text", "lang", "toxic", "place").collect()
-    rows.sort(key=lambda r: (r.place, r.text, r.lang or ""))
-    own = [r for i, r in enumerate(rows) if i % 5]
+    own = []
+    if picked:
+        # at most 2 * sample_per_class rows
+        sample = spark.createDataFrame(picked, known.schema).dropDuplicates(["doc_id", "place"])
+        texts = source.join(F.broadcast(sample), ["doc_id", "place"]).dropDuplicates(["doc_id", "place"])
+        rows = texts.select("doc_id", "text", "lang", "toxic", "place").collect()
+        rows.sort(key=lambda r: (r.place, r.text, r.lang or ""))
+        own = [r for i, r in enumerate(rows) if i % 5]
     model = train([r.text for r in own], np.array([r.toxic for r in own]), **training)
+    return model, spark.createDataFrame([(r.doc_id, r.place) for r in own], known.select("doc_id", "place").schema)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 2000, sample_chars: int = 6000, **training) -> Classifier:
+    """Trains on a bounded sample of the labelled rows that aren't held out, and sets
+    the thresholds from all of them that were not trained on."""
+    marked = _marked(labels)
+    model, trained = learn(docs, marked, sample_per_class, sample_chars, **training)
     if model.constant is None:
-        trained = docs.sparkSession.createDataFrame([(r.doc_id, r.place) for r in own], known.select("doc_id", "place").schema)
-        calibrate(model, [tuple(r) for r in histogram(whole.drop("short"), marked, trained, model, sample_chars).collect()])
+        whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang").withColumn("place", _place())
+        calibrate(model, [tuple(r) for r in histogram(whole, marked, trained, model, sample_chars).collect()])
     return model
 
 
+def judge(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None, sample_per_class: int = 2000, sample_chars: int = 6000, **training) -> DataFrame:
+    """:func:`fit` on ``docs`` and the verdict on each of its rows, with one pass of the
+    network over the texts: the ``columns`` of ``docs`` (all by default) and a last column
+    ``verdict`` (score, threshold, toxic), with underscores before its name if ``docs`` has
+    that name. The scores are a table in the shared folder, the histogram and the verdicts are
+    taken from it."""
+    spark = docs.sparkSession
+    columns = docs.columns if columns is None else columns
+    free = lambda name: name if name not in docs.columns else free(f"_{name}")
+    short, place, known, score_, bin_, verdict = map(free, ("short", "place", "trained", "score", "bin", "verdict"))
+    marked = _marked(labels)
+    model, trained = learn(docs, marked, sample_per_class, sample_chars, **training)
+    shared = spark.sparkContext.broadcast(model)  # its size is fixed by BITS and DIM
+    rows = docs.withColumn(short, F.coalesce(F.length("text") <= sample_chars, F.lit(True))).withColumn(place, _place())
+    # at most 2 * sample_per_class rows
+    of_sample = trained.select(F.col("doc_id").alias("_sample_id"), F.col("place").alias("_sample_place"), F.lit(True).alias(known))
+    rows = rows.join(F.broadcast(of_sample), (F.col("doc_id") == F.col("_sample_id")) & (F.col(place) == F.col("_sample_place")), "left")
+    rows = rows.select(*{c: 0 for c in [*columns, "doc_id", "lang", "text"]}, short, F.coalesce(known, F.lit(False)).alias(known))
+    text_at = rows.columns.index("text")
+    kept = [i for i, c in enumerate(rows.columns) if c != "text" or "text" in columns]
+    schema = ", ".join(f"`{rows.columns[i]}` {rows.schema[i].dataType.simpleString()}" for i in kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            for part in flat.row_slices(batch, text_at):
+                s = m.scores(*flat.text_bytes(part.column(text_at)))
+                b = np.searchsorted(EDGES, s, side="right")
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), pa.array(s), pa.array(b, pa.int32())], names=[*(part.schema.names[i] for i in kept), score_, bin_])
+
+    path = f"{workspace(spark, 'toxicity')}/scores"
+    rows.mapInArrow(run, f"{schema}, `{score_}` double, `{bin_}` int").write.parquet(path)
+    scored = spark.read.parquet(path)
+    if model.constant is None:
+        known_bin = F.when(~F.col(known), F.col(bin_))
+        counts = scored.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col(short).alias("short"), known_bin.alias("bin"))
+        calibrate(model, [tuple(r) for r in _added_up(counts, marked).collect()])
+    limit = F.lit(model.thresholds[None])
+    own = {k: v for k, v in model.thresholds.items() if k is not None}  # one a language
+    if own:
+        by_lang = F.create_map(*(F.lit(x) for pair in own.items() for x in pair))
+        limit = F.coalesce(F.try_element_at(by_lang, F.col("lang").cast("string")), limit)
+    said = F.struct(F.col(score_).alias("score"), limit.alias("threshold"), (F.col(score_) >= limit).alias("toxic"))
+    return scored.select(*columns, said.alias(verdict))
+
+
 def score(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row a row of ``docs``: doc_id, score, lang, threshold, toxic (score at or
     over the language's threshold)."""
