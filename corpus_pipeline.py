@@ -35,7 +35,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.keep_clean(docs, toxicity.fit(docs, labels))
+    judged = toxicity.judge(docs, labels)
+    verdict = judged.columns[-1]
+    return judged.where(~judged[verdict]["toxic"]).drop(verdict)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
