@@ -11,14 +11,16 @@ shuffled, and a common trigram never becomes one list or one task.
 
 Spans are [start, end) in code points, leftmost and without overlap within a rule.
 They are found from the lengths of the matches and of the texts between them; prefix
-sums go by blocks, so a text with very many matches stays cheap.
+sums go by blocks, so a text with very many matches stays cheap. To take secrets out, spans are
+found in bytes, and what lies between them is cut out and joined once.
 
 A private key's span goes from its BEGIN line over its body to its END line; without an
 END line it ends with the last piece of base64 that follows the header.
 
 Results for special cases: a null text is empty and has no spans. Repeated rows get
 equal results, each its own row. Whole texts are searched. Documents are told apart by
-id and text, so null or repeated ids do no harm; further columns have no influence.
+id and text, so null or repeated ids do no harm; further columns have no influence. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -221,32 +223,38 @@ _BLOCK = 64
 _SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
-def _total(x: Column) -> Column:
-    return F.aggregate(x, F.lit(0).cast("long"), lambda a, b: a + b)
+def _folded(op: Callable[[Column, Column], Column]) -> Callable[[Column], Column]:
+    return lambda x: F.aggregate(x, F.lit(0).cast("long"), op)
 
 
-def _running(x: Column) -> Column:
-    """Running sums of an array."""
+_ADD = lambda a, b: a + b
+_MOST = lambda a, b: F.greatest(a, b)
+
+
+def _running(x: Column, op: Callable[[Column, Column], Column] = _ADD) -> Column:
+    """Running sums of an array of numbers from 0 up (or another operation's)."""
+    total = _folded(op)
     cut = lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / _BLOCK).cast("int")), lambda b: F.slice(a, (b * _BLOCK + 1).cast("int"), _BLOCK))
-    inner = lambda block: F.transform(block, lambda _, k: _total(F.slice(block, F.lit(1), k + 1)))
+    inner = lambda block: F.transform(block, lambda _, k: total(F.slice(block, F.lit(1), k + 1)))
     return _let(x, lambda a: _let(
         F.transform(cut(a), inner),
         lambda blocks: _let(
             F.transform(blocks, lambda b: F.element_at(b, -1)),
-            lambda ends: F.flatten(F.zip_with(blocks, F.transform(ends, lambda _, i: _total(F.slice(ends, F.lit(1), i))), lambda b, base: F.transform(b, lambda v: v + base))),
+            lambda ends: F.flatten(F.zip_with(blocks, F.transform(ends, lambda _, i: total(F.slice(ends, F.lit(1), i))), lambda b, base: F.transform(b, lambda v: op(v, base)))),
         ),
     ))
 
 
-def rule_spans(text: Column, rule: Rule, kind: int) -> Column:
-    """The spans of a rule in a text: array of (start, kind, end)."""
+def rule_spans(text: Column, rule: Rule, kind: int, measure: Callable[[Column], Column] = F.length) -> Column:
+    """The spans of a rule in a text: array of (start, kind, end), in code points or what
+    else ``measure`` counts."""
     pattern = ("(?i)" if rule.ignore_case else "") + (rule.same_as or rule.pattern)
     length = lambda m: (F.length(m) if rule.group == 0 else F.length(F.regexp_extract(m, pattern, rule.group)))
 
     def spans(found: Column) -> Column:
         def placed(gaps: Column) -> Column:
-            before = lambda m, i: F.length(F.get(gaps, i)).cast("long") + F.when(i > 0, F.length(F.get(found, i - 1))).otherwise(0)
-            all_spans = F.zip_with(_running(F.transform(found, before)), found, lambda s, m: F.struct(s.alias("start"), F.lit(kind).alias("kind"), (s + F.length(m)).alias("end"), m.alias("m")))
+            before = lambda m, i: measure(F.get(gaps, i)).cast("long") + F.when(i > 0, measure(F.get(found, i - 1))).otherwise(0)
+            all_spans = F.zip_with(_running(F.transform(found, before)), found, lambda s, m: F.struct(s.alias("start"), F.lit(kind).alias("kind"), (s + measure(m)).alias("end"), m.alias("m")))
             good = F.filter(all_spans, lambda s: length(s["m"]) >= rule.least)
             return F.transform(good, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
@@ -266,10 +274,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     return both.select("doc_id", "text", _all_spans(rules).alias("spans"))
 
 
-def _all_spans(rules: tuple[Rule, ...]) -> Column:
+def _all_spans(rules: tuple[Rule, ...], measure: Callable[[Column], Column] = F.length) -> Column:
     each = []
     for i, r in enumerate(rules):
-        spans = rule_spans(F.col("text"), r, i)
+        spans = rule_spans(F.col("text"), r, i, measure)
         if trigram_query(r.pattern) is not True:
             spans = F.when(F.col("rules").bitwiseAND(F.lit(1 << i)) != 0, spans).otherwise(F.array().cast(_SPANS))
         each.append(spans)
@@ -283,15 +291,24 @@ def listed(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each union of overlapping spans replaced by a mark."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    """The text with each union of overlapping spans replaced by a mark. ``spans`` are in
+    bytes: what stays is cut out of the text's bytes, which takes no search for the place, and
+    joined once."""
+
+    def kept(raw: Column) -> Column:
+        part = lambda a, b: F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")).cast("string")
+
+        def around(reach: Column) -> Column:
+            # a span that begins at or after the end of all before begins a union
+            before = F.concat(F.array(F.lit(0).cast("long")), reach)
+            gaps = F.zip_with(F.slice(before, F.lit(1), F.size(reach)), spans, lambda at, s: F.struct(at.alias("a"), s["start"].alias("b")))
+            pieces = F.transform(F.filter(gaps, lambda g: g["b"] >= g["a"]), lambda g: part(g["a"], g["b"]))
+            tail = part(F.element_at(reach, -1), F.length(raw))
+            return F.array_join(F.concat(pieces, F.array(tail)), mark)
 
-    def step(done: Column, s: Column) -> Column:
-        upto = F.when(s["start"] >= done["at"], F.concat(F.substring(text, (done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int")), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.concat(done["out"], upto).alias("out"), F.greatest(done["at"], s["end"]).alias("at"))
+        return _let(_running(F.transform(spans, lambda s: s["end"]), _MOST), around)
 
-    rest = lambda done: F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+    return F.when(F.size(spans) == 0, text).otherwise(_let(text.cast("binary"), kept))
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
@@ -307,7 +324,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_
     tagged = own.withColumn("h", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
     both = tagged.join(found, F.col(key).eqNullSafe(F.col("c_id")) & (F.col("h") == F.col("c_h")), "left")
     both = both.withColumn("rules", F.coalesce("rules", F.lit(0))).withColumn("text", F.coalesce(F.col(text), F.lit("")))
-    both = both.withColumn("spans", _all_spans(rules)).withColumn("changed", F.size("spans") > 0)
+    both = both.withColumn("spans", _all_spans(rules, F.octet_length)).withColumn("changed", F.size("spans") > 0)
     new = F.when(F.col("changed"), redacted(F.col("text"), F.col("spans"))).otherwise(F.col(text))
     out = both.withColumn("new_text", new)
     pick = []
