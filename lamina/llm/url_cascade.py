@@ -14,8 +14,10 @@ blocked if the cascade of listed hosts has its host or a parent domain.
 
 Levels are built by Spark: bits are set in tasks, combined by word before and after
 the shuffle, and only the filter itself comes to the driver, some 12 bits a key of its
-level. ``MAX_BITS`` bounds the broadcast; a longer list raises, and ``judge_by_join``
-then gives the same answers with joins.
+level. ``MAX_BITS`` bounds a filter. Where the keys need more, they are dealt by their hash into
+shards with cascades of their own, and the urls go through the shards one after the other, each
+pass looking up the keys of its shard: as many passes over the urls, no join, and never more
+than one shard's cascades in memory. (``judge_by_join`` gives the same answers by joins.)
 
 Results for special cases: a null url, or one without ``://``, has an empty host and
 path, no keys and the verdict allow. Empty tables and empty lists are allowed. Repeated
@@ -36,7 +38,7 @@ from lamina.llm import flat
 from lamina.session import ensure_checkpoint_dir
 
 HASHES, BITS_PER_KEY = 7, 12
-MAX_BITS = 1 << 31
+MAX_BITS = 1 << 28
 MAX_LEVELS = 64
 
 #: Fixed values: (verdict, rule); a rule is a host and the beginning of a path.
@@ -139,7 +141,7 @@ def build(universe: DataFrame, listed: str) -> Cascade:
             return Cascade(levels)
         bits = max(64, -(-n * BITS_PER_KEY // 64) * 64)
         if bits > MAX_BITS:
-            raise ValueError(f"a filter of {bits} bits is too large to broadcast; use judge_by_join")
+            raise ValueError(f"a filter of {bits} bits is too large to broadcast; judge shards the keys, judge_by_join needs no filter")
 
         def set_bits(batches: Iterator[pa.RecordBatch], level: int = level, bits: int = bits) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -189,34 +191,60 @@ def universe_of(parts: DataFrame, rules: Sequence[tuple[str, str]], listed: Data
     return once.mapInArrow(hashed, "h1 long, h2 long, allow boolean, block boolean, listed boolean")
 
 
+def _shards(universe: DataFrame) -> int:
+    """How many shards the keys need: a first filter holds a list, a second one some hundredth
+    of all keys; half of ``MAX_BITS`` is left free for shards that get more than their share."""
+    names = ("allow", "block", "listed")
+    n = universe.agg(F.count("*").alias("all"), *(F.count_if(F.col(c)).alias(c) for c in names)).first()
+    most = max(n["all"] / 100, *(n[c] for c in names))
+    return max(1, -(-int(2 * most * BITS_PER_KEY) // MAX_BITS))
+
+
 def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row a row of ``pages``: page_id, host, path, rule, verdict, listed."""
     spark = pages.sparkSession
     ensure_checkpoint_dir(spark)
     parts = _parts(pages, id_col, url_col)
     universe = universe_of(parts, rules, listed).checkpoint()
-    cascades = spark.sparkContext.broadcast([build(universe, c) for c in ("allow", "block", "listed")])
-    lengths = _lengths(rules)
+    shards, lengths = _shards(universe), _lengths(rules)
+    kind = parts.schema["page_id"].dataType.simpleString()
+    names = ["page_id", "host", "path", "rule", "allowed", "listed"]
+    found = parts.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(False).alias("allowed"), F.lit(False).alias("listed"))
+    for shard in range(shards):
+        own = universe if shards == 1 else universe.where(F.pmod("h1", F.lit(shards)) == shard)
+        cascades = spark.sparkContext.broadcast([build(own, c) for c in ("allow", "block", "listed")])
+
+        def run(batches: Iterator[pa.RecordBatch], shard: int = shard, cascades=cascades) -> Iterator[pa.RecordBatch]:
+            allow, block, on_list = cascades.value
+            for batch in batches:
+                urls = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
+                keys = [keys_of(h, p, lengths) for h, p in urls]
+                h1, h2 = key_hashes([k for own in keys for k in own])
+                here = h1.view(np.int64) % shards == shard  # keys of other shards are in none of these lists
+                is_allow, is_block, is_listed = (_has(c, h1, h2, here) for c in (allow, block, on_list))
+                rule, allowed, hit, at = [], [], [], 0
+                for own, best, good, seen in zip(keys, *(batch.column(k).to_pylist() for k in (3, 4, 5)), strict=True):
+                    for i, key in enumerate(own, at):
+                        if (is_allow[i] or is_block[i]) and (best is None or len(key) > len(best)):
+                            best, good = key, is_allow[i]
+                    hit.append(seen or any(is_listed[at : at + len(own)]))
+                    rule.append(best)
+                    allowed.append(good)
+                    at += len(own)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(rule, pa.string()), pa.array(allowed, pa.bool_()), pa.array(hit, pa.bool_())], names=names)
+
+        found = found.mapInArrow(run, f"page_id {kind}, host string, path string, rule string, allowed boolean, listed boolean")
+        if shard + 1 < shards:  # the next pass has other cascades
+            found = found.checkpoint()
+    by_list = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
+    by_rule = F.when(F.col("allowed"), F.lit("allow")).otherwise(F.lit("block"))
+    return found.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNull(), by_list).otherwise(by_rule).alias("verdict"), "listed")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allow, block, on_list = cascades.value
-        for batch in batches:
-            urls = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
-            keys = [keys_of(h, p, lengths) for h, p in urls]
-            h1, h2 = key_hashes([k for own in keys for k in own])
-            is_allow, is_block, is_listed = (c.has(h1, h2).tolist() for c in (allow, block, on_list))
-            rule, verdict, hit, at = [], [], [], 0
-            for own in keys:
-                best = max((k for i, k in enumerate(own, at) if is_allow[i] or is_block[i]), key=len, default=None)
-                found = any(is_listed[at : at + len(own)])
-                hit.append(found)
-                rule.append(best)
-                verdict.append(("block" if found else "allow") if best is None else "allow" if is_allow[at + own.index(best)] else "block")
-                at += len(own)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rule, pa.string()), pa.array(verdict, pa.string()), pa.array(hit, pa.bool_())], names=["page_id", "host", "path", "rule", "verdict", "listed"])
 
-    kind = parts.schema["page_id"].dataType.simpleString()
-    return parts.mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string, listed boolean")
+def _has(cascade: Cascade, h1: np.ndarray, h2: np.ndarray, here: np.ndarray) -> list[bool]:
+    out = np.zeros(len(h1), bool)
+    out[here] = cascade.has(h1[here], h2[here])
+    return out.tolist()
 
 
 def judge_by_join(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
