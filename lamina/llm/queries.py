@@ -1,4 +1,4 @@
-"""The registered queries of the subpackage: one an operator, and the pipeline.
+"""The registered queries of the subpackage, one an operator.
 
 Each takes (spark, sf_dir), runs its operator over its whole table and derives the
 digest columns from the operator's output.
@@ -104,14 +104,8 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_lm_scoring, op2_packing, op3_quality_rules, op4_fingerprints, op5_near_dedup, op6_toxicity, op7_piece_codec, op8_url_cascade, op9_secret_scan, op10_token_counts, op11_dominance_packing, op12_resampling, op13_collocations, pipeline)}
+    return {q.__name__: q for q in (op1_lm_scoring, op2_packing, op3_quality_rules, op4_fingerprints, op5_near_dedup, op6_toxicity, op7_piece_codec, op8_url_cascade, op9_secret_scan, op10_token_counts, op11_dominance_packing, op12_resampling, op13_collocations)}
 
 
 #: The words of a text, and a list's windows of n words, as DuckDB expressions.
