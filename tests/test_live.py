@@ -176,3 +176,27 @@ def test_master_compacted_past_the_view_is_a_rebuild(spark, tmp_root):
     live.catch_up(store)
     check(live, store)
     assert held.count() == 4  # readers of the state before still find it
+
+
+def test_a_workflow_that_died_goes_on_with_its_written_steps(spark, tmp_root, monkeypatch):
+    from lamina.plans import workflow as W
+
+    store = ST.FactStore(spark, f"{tmp_root}/store").create()
+    store.append_new(pageviews(spark, [(1, "http://a.com:80/x", 5), (2, "http://a.com/x", 5), (3, "http://a.com/y", 7)]))
+    store.append_new(equivs(spark, [(1, 2)]))
+    want = rows(PV.sort_view(PV.pageview_batch_view(unique_pageviews(store.read_new()))))
+    run = lambda: rows(W.batch_workflow(spark, store, stage_root=f"{tmp_root}/stages"))
+
+    def dies(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(W.I, "normalize_user_ids", dies)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            run()
+    with monkeypatch.context() as m:  # the first two steps are read
+        m.setattr(W, "normalize_urls", dies)
+        m.setattr(W.I, "canonical_ids", dies)
+        assert run() == want
+    store.append_new(pageviews(spark, [(4, "http://a.com/z", 9)]))  # another state of master
+    assert len(run()) == len(want) + 4

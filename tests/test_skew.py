@@ -106,6 +106,9 @@ def test_hub_is_split_in_every_join(spark):
             "small": I._small_star(plain, "t_small", stage)[0],
             "round": I.equiv_round(df, stage),
         }
+        bi = I.bidirectional_edges(df)
+        relinked = I.relink_to_smallest(bi, stage(I.node_stats(bi), "t_stats"))
+        joins |= {"relink": relinked, "flagged": I.distinct_flagged_edges(relinked)}
         for name, out in joins.items():
             out.collect()
             assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString(), name
