@@ -27,6 +27,7 @@ from lamina.plans.oracle import URL_SPELLINGS
 from lamina.plans.workflow import batch_workflow, unique_pageviews
 from lamina.session import checkpoint_stage, default_stage, ensure_checkpoint_dir, parquet_stage, workspace
 from lamina.sources import adapters as A
+from lamina.sources import fs
 from lamina.sources import store as ST
 from lamina.streaming.ingest import ingest, snapshot_new
 
@@ -143,6 +144,22 @@ def q_scan_tolerant(spark, sf_dir):
     return flatten(scan.facts.where(store.visible()))
 
 
+GOOD_FILES, DAMAGED_FILES = 6, 2
+
+
+def q_scan_tolerant_damaged(spark, sf_dir):
+    """All facts beside copies of some files that break off half way: what is read of either,
+    and how many files were listed and lost rows."""
+    root = workspace(spark, "damaged")
+    facts(spark, sf_dir).repartition(GOOD_FILES).write.parquet(root)
+    for k, path in enumerate(sorted(fs.glob_dirs(spark, f"{root}/part-*"))[:DAMAGED_FILES]):
+        fs.copy_beginning(spark, path, f"{root}/part-damaged-{k}.parquet")
+    scan = ST.scan_tolerant(spark, root)
+    counts = ST.shred(scan.facts).groupBy("unit_id", "property_id").agg(F.count(F.lit(1)).alias("facts"))
+    files = scan.files.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.expr("expected is null or read < expected")).alias("lost"), F.sum("read").alias("rows_read"))
+    return counts.select("*", *(F.lit(v).cast("bigint").alias(k) for k, v in files.first().asDict().items()))
+
+
 def q_ingest_snapshot(spark, sf_dir):
     store = _fresh_store(spark, "snapshot")
     store.append_new(facts(spark, sf_dir))
@@ -172,6 +189,13 @@ def q_validate_target(spark, sf_dir):
     return ST.validate_target(ST.shred(facts(spark, sf_dir)))
 
 
+def q_validate_target_illegal(spark, sf_dir):
+    """All facts, and the edges again without their arm: these have no legal target."""
+    edges = A.equiv_facts(spark, sf_dir)
+    nothing = F.col("dataunit").cast(S.DATAUNIT).withField("equiv", F.lit(None).cast(S.EQUIV_EDGE))
+    return ST.validate_target(ST.shred(facts(spark, sf_dir).unionByName(edges.withColumn("dataunit", nothing))))
+
+
 def q_absorb(spark, sf_dir):
     store = _fresh_store(spark, "absorb")
     store.absorb(ST.shred(facts(spark, sf_dir)), 0)

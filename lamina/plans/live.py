@@ -128,7 +128,7 @@ class LiveView:
         before = self._parts("views", {d: r for d, r in state["views"].items() if d in days})
         after = self._moved(before, merged) if changed else before.select("pedigree", "pv", "day")
         after = after.unionByName(incoming).distinct()
-        self._write(after, "views", "day", run)
+        self._write(after, "views", "day", run, "pedigree.true_as_of_secs", F.xxhash64("pv"))
         now["views"] = state["views"] | dict.fromkeys(sorted(days, key=int), run)
 
         as_facts = lambda v: v.select("pedigree", page_view_arm(F.col("pv")).alias("dataunit"))
@@ -136,7 +136,7 @@ class LiveView:
         delta = stage(INC.view_delta(INC.signed_hours(as_facts(before), as_facts(written))), "delta")
         months = {str(r["month"]) for r in delta.select("month").distinct().collect()}
         held = self._parts("view", {m: r for m, r in state["view"].items() if m in months})
-        self._write(INC.merge_view(held.drop("run"), delta), "view", "month", run)
+        self._write(INC.merge_view(held.drop("run"), delta), "view", "month", run, "url", "bucket")
         now["view"] = state["view"] | dict.fromkeys(sorted(months, key=int), run)
         # a partition whose rows have all gone has no folder
         for kind, by in (("views", "day"), ("view", "month")):
@@ -162,9 +162,12 @@ class LiveView:
         person = F.coalesce("_canonical", "pv.person")
         return joined.select("pedigree", F.col("pv").withField("person", person).alias("pv"), "day")
 
-    def _write(self, df: DataFrame, kind: str, by: str, run: int) -> None:
+    def _write(self, df: DataFrame, kind: str, by: str, run: int, *within) -> None:
+        """Ranges of (``by``, ``within``): a day or month has few files, a large one as many
+        as it has ranges."""
         (
-            df.withColumn("run", F.lit(run).cast("bigint"))
+            df.repartitionByRange(by, *within)
+            .withColumn("run", F.lit(run).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(by, "run")

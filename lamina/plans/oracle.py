@@ -252,6 +252,10 @@ def oracle_sql() -> dict[str, str]:
             "ELSE CAST(unit_id AS VARCHAR) || '/' || CAST(property_id AS VARCHAR) END AS rel_path FROM facts"
         ),
         "scan_tolerant": FACTS,
+        "scan_tolerant_damaged": _q(
+            "SELECT unit_id, property_id, CAST(count(*) AS BIGINT) AS facts, CAST(8 AS BIGINT) AS files, CAST(2 AS BIGINT) AS lost, "
+            "CAST((SELECT count(*) FROM facts) AS BIGINT) AS rows_read FROM facts GROUP BY 1, 2"
+        ),
         "ingest_snapshot": FACTS,
         "ingest_consume": FACTS,
         "shred": FACTS,
@@ -259,6 +263,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT unit_id, property_id, CAST(count(*) AS BIGINT) AS facts, "
             f"(unit_id, property_id) IN ({LEGAL}) AS valid FROM facts GROUP BY 1, 2"
         ),
+        "validate_target_illegal": _q(
+            f"SELECT unit_id, property_id, CAST(count(*) AS BIGINT) AS facts, (unit_id, property_id) IN ({LEGAL}) AS valid "
+            "FROM (SELECT unit_id, property_id FROM facts UNION ALL SELECT 0, 0 FROM eqf) GROUP BY 1, 2"
+        ),
         "absorb": FACTS,
         "consolidate": FACTS,
         "ingest": FACTS,

@@ -93,6 +93,14 @@ def remove_file(spark: SparkSession, uri: str, into: str | None = None) -> bool:
     return True
 
 
+def copy_beginning(spark: SparkSession, path: str, to: str, part: float = 0.5) -> None:
+    """A new file with the first ``part`` of a file's bytes (for tests of damaged files)."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(to), True)
+    jvm.org.apache.hadoop.io.IOUtils.copyBytes(fs.open(p), out, int(fs.getFileStatus(p).getLen() * part), True)
+
+
 def _numbered(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     """The versions of a small text file, the newest first."""
     found = ((d.rsplit(".", 1)[1], d) for d in glob_dirs(spark, f"{path}.[0-9]*"))

@@ -149,8 +149,8 @@ def test_a_run_that_died_is_run_again(spark, tmp_root, monkeypatch):
     store.append_new(pageviews(spark, [(3, "http://a.com/y", 5)]))
     write = LiveView._write
 
-    def dies(self, df, kind, by, run):
-        write(self, df, kind, by, run)
+    def dies(self, df, kind, *rest):
+        write(self, df, kind, *rest)
         if kind == "view":
             raise RuntimeError("driver lost before the state was replaced")
 
