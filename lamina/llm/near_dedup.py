@@ -35,7 +35,9 @@ lost to a cap.
 Results for special cases: null, empty and wordless texts have an empty set, no links
 and are their own component. Rows with equal texts share a component. Rows that share a
 doc_id are told apart by their texts. A null doc_id never is a component's least; a
-component without any doc_id has component_id null and is kept.
+component without any doc_id has component_id null and is kept. An empty table gives no rows.
+Very long texts count whole (a text's words and shingles are held at once, some 60 bytes a
+word). Columns beside the two named have no influence; ``keep_one`` keeps them.
 """
 
 from __future__ import annotations
@@ -50,7 +52,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import flat
 from lamina.llm.components import components, sized
-from lamina.session import ensure_checkpoint_dir
+from lamina.session import ensure_checkpoint_dir, parquet_stage, workspace
 
 SHINGLE = 5
 CHUNKS, PLACES = 18, 6
@@ -259,13 +261,16 @@ def _cluster_rows(pairs: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataF
     components; core and rest are the numbers of nodes in and outside the largest, or
     more where their sets need more blocks than so many nodes."""
     placed = components(pairs.toDF("u", "v")).toDF("node", "cluster")
-    placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = sized(placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).checkpoint())
     sizes = placed.join(nodes.select("node", F.col("n").alias("hashes")), "node")
     count = sizes.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum("hashes").alias("hashes"))
     size = count.groupBy("cluster").agg(F.max(F.struct("n", "root", "hashes")).alias("top"), F.sum("n").alias("all"), F.sum("hashes").alias("hashes")).where("all > top.n")
     rows = lambda n, hashes: F.greatest(n, F.ceil(hashes * F.lit(8.0 * BLOCK / BLOCK_BYTES)).cast("long"))
     core, rest = rows(F.col("top.n"), F.col("top.hashes")), rows(F.col("all") - F.col("top.n"), F.col("hashes") - F.col("top.hashes"))
     size = size.select("cluster", F.col("top.root").alias("core_root"), core.alias("core"), rest.alias("rest"))
+    # one row a cluster, as a table: its real size tells the planner whether to send it to the nodes,
+    # which then aren't dealt by cluster; a large one is joined by a shuffle that AQE can split
+    size = parquet_stage(workspace(pairs.sparkSession, "near"))(size, "clusters")
     return placed.join(size, "cluster").select("cluster", "node", "root", (F.col("root") == F.col("core_root")).alias("in_core"), "core", "rest")
 
 

@@ -11,8 +11,8 @@ is bounded by one pool, and a lost task packs the same rows into the same window
 (a window's id is made of the partition's number and a running number). A partition
 wastes at most about one window.
 
-Results for special cases: null and empty texts are the separator alone. Repeated rows
-are packed each for itself. Texts are never cut short: a long one gets many pieces, and
+Results for special cases: null and empty texts are the separator alone. Repeated rows,
+and rows with null or equal ids, are packed each for itself. An empty table gives no pieces. Texts are never cut short: a long one gets many pieces, and
 each id lies in exactly one piece. Columns beside the two named have no influence.
 """
 

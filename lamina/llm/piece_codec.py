@@ -10,7 +10,7 @@ from: merging all pairs of a rank at once would change the library's ids.
 
 Results for special cases: null and empty texts have no ids and decode to the empty
 text. Repeated rows, and columns beside the two named, have no influence. Texts are
-never cut; one very long text is a batch of its own.
+never cut; one very long text is a batch of its own. An empty table gives no rows.
 """
 
 from __future__ import annotations
