@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import collocations, dominance, flat, resampling
 from lamina.llm.pieces import default_path
-from tests.llm.conftest import SCHEMA, rows, sentence
+from .conftest import SCHEMA, rows, sentence
 
 
 @pytest.fixture(scope="module")
