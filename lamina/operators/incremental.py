@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamina import schema as S
 from lamina.functions import buckets as B
 from lamina.operators import identity as I
 from lamina.operators import pageviews as PV
@@ -69,7 +70,9 @@ def extend_canonical_ids(canon: DataFrame, new_edges: DataFrame, stage: I.Stage
     spark = new_edges.sparkSession
     stage = stage or parquet_stage(workspace(spark, "extension"))
     edges = stage(contract_edges(new_edges, canon, stage), "contracted")
-    merged = stage(I.canonical_ids(edges, method=method), "merged")
+    # mostly, new edges join what was joined already
+    found = spark.createDataFrame([], S.CANONICAL) if edges.isEmpty() else I.canonical_ids(edges, method=method)
+    merged = stage(found, "merged")
     root = merged.select(F.col("id").alias("_root"), F.col("canonical_id").alias("_new"))
     members = canon.join(root, F.col("canonical_id") == F.col("_root"))
     moved = members.select("id", F.col("canonical_id").alias("before"), F.col("_new").alias("canonical_id"))
