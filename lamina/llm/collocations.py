@@ -12,19 +12,19 @@ breaks). It is a candidate if it occurs ``support`` times or more in its languag
    occurs at most one time less than was asked there. Phrases whose bound stays below
    ``support`` go.
 3. *Exact counts.* A bit map of fixed size tells which phrases may be in the union. Every task
-   counts these in its texts again, one row a phrase and shard, and the sums are exact: a
-   phrase whose bit is set by chance is counted in all shards alike, and costs only its rows.
-   What reaches the support stays.
+   counts these in its texts again, one row a phrase and task, and the sums are exact: a
+   phrase whose bit is set by chance is counted in all tasks alike, and costs only its rows.
+   What reaches the support stays. Single words are counted if they are in a pair of the union.
 4. *Scores.* For each cut of a phrase in two, 1000 * a * n / (l * r) in decimals of 38 digits,
    by joins of the frequent phrases with themselves. Phrases that occur inside a longer one
    nearly as often as alone go; it is enough to look one word further, as no longer phrase is
    more frequent than those inside.
 
-A phrase that a third of all texts hold is one row a shard in either shuffle. What goes to
+A phrase that a third of all texts hold is one row a shard or task in either shuffle. What goes to
 the driver: two numbers a language, and the bit map. A shard's memory is bounded by ``shard_words`` (some
-60 bytes a word) whatever a text's length: texts are read in windows, and a shard that ends
+30 bytes a word) whatever a text's length: texts are read in windows, and a shard that ends
 inside a piece looks ahead at the next words of it. As ``support`` is an absolute number, local
-supports fall with the number of shards: larger partitions make fewer candidates.
+supports fall with the number of shards: larger shards make fewer candidates.
 
 Results for special cases: null and empty texts have no phrases. A null language is
 ``und``. Repeated rows count as often as they occur, ids have no influence. Very long texts
@@ -35,6 +35,7 @@ Columns beside the two named have no influence.
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -55,8 +56,13 @@ IS_CUT[[32, 9]] = True
 
 WINDOW_BYTES = 1 << 20
 SHARD_WORDS = 6_000_000
+#: Words of a shard where phrases are only counted, rows that a task holds back to add them up
+#: (a merge leaves that many at most), and bytes of text that a task counts at most (unless one partition has more).
+COUNT_WORDS, HELD_ROWS, TASK_BYTES = 2_000_000, 2_000_000, 1 << 30
 #: log2 of the bit map's size: 8 MB.
 MAP_BITS = 26
+#: Parts in which the phrases of a shard and length are counted one after the other.
+_PARTS = 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -66,7 +72,8 @@ def _lang_hash(lang: str) -> np.uint64:
 
 @dataclass
 class Shard:
-    """Words of consecutive windows of text, and how they hang together."""
+    """Words of consecutive windows of text, and how they hang together. The first ``size``
+    words are its own; others are of the same piece as the last of them."""
 
     words: list[pa.DictionaryArray] = field(default_factory=list)
     lang: list[np.ndarray] = field(default_factory=list)
@@ -79,6 +86,9 @@ class Shard:
         self.lang.append(lang)
         self.joined.append(joined)
 
+    def clear(self) -> None:
+        self.words, self.lang, self.joined = [], [], []
+
 
 class Reader:
     """Cuts batches of (text, language) into shards; ``langs`` numbers the languages."""
@@ -95,7 +105,7 @@ class Reader:
         ends_piece = ENDS_PIECE[data]
         starts, ends = flat.spans_between(IS_CUT[data], offsets)
         if not len(starts):
-            return pa.array([], pa.string()).dictionary_encode(), np.zeros(0, np.int32), np.zeros(0, bool), follows and not ends_piece.any()
+            return pa.array([], pa.string()).dictionary_encode(), codes[:0], np.zeros(0, bool), follows and not ends_piece.any()
         text = flat.owner(offsets, starts)
         passed = np.cumsum(ends_piece, dtype=np.int32)
         joined = np.zeros(len(starts), bool)
@@ -106,13 +116,13 @@ class Reader:
         np.cumsum(length, out=at[1:])
         letters = data[flat.ragged(starts, length)]
         words = pa.Array.from_buffers(pa.string(), len(length), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(letters.tobytes())])
-        return words.dictionary_encode(), codes[text].astype(np.int32), joined, not ends_piece[ends[-1] :].any()
+        return words.dictionary_encode(), codes[text], joined, not ends_piece[ends[-1] :].any()
 
     def _windows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             data, offsets = flat.text_bytes(batch.column(0))
             own = [self.langs.setdefault(x if x is not None else "und", len(self.langs)) for x in batch.column(1).to_pylist()]
-            codes = np.array(own, np.int32)
+            codes = np.array(own, np.int16 if len(self.langs) < 1 << 15 else np.int32)
             for lo, hi, part, inner in flat.slices(data, offsets, WINDOW_BYTES):
                 if len(part) <= WINDOW_BYTES:
                     size = np.bincount(codes[lo:hi], weights=np.diff(inner))
@@ -124,66 +134,107 @@ class Reader:
                     yield *window, {int(codes[lo]): b - a}
 
     def shards(self, batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
+        """Shards of about ``shard_words`` words. A task's last ones are of like size, half
+        as much again at most: a small rest would have a support that everything reaches."""
+        held: deque[tuple] = deque()
+        total = 0
+        for window in self._windows(batches):
+            held.append(window)
+            total += len(window[0])
+            if total >= 2 * self.shard_words:
+                yield (shard := self._take(held, self.shard_words))
+                total -= shard.size
+        for left in range(2 if total > 1.5 * self.shard_words else 1, 0, -1):
+            yield (shard := self._take(held, total // left if left > 1 else total))
+            total -= shard.size
+
+    def _take(self, held: deque[tuple], words: int) -> Shard:
+        """The first windows with so many words, and what the last one's piece goes on with."""
         shard = Shard()
-        for words, lang, joined, size in self._windows(batches):
-            if shard.size >= self.shard_words and len(words):
-                if joined[0]:  # words of the same piece after the shard's own
-                    shard.add(words[: self.ahead], lang[: self.ahead], joined[: self.ahead])
-                yield shard
-                shard = Shard()
+        while held and (shard.size < words or not len(held[0][0])):
+            own, lang, joined, size = held.popleft()
+            if len(own) and not shard.size:
                 joined = joined.copy()
                 joined[0] = False
-            shard.add(words, lang, joined)
-            shard.size += len(words)
+            shard.add(own, lang, joined)
+            shard.size += len(own)
             for k, n in size.items():
                 shard.bytes[k] = shard.bytes.get(k, 0) + n
-        if shard.words:
-            yield shard
+        asked = self.ahead if shard.size else 0
+        for own, lang, joined, _ in held:
+            run = joined[:asked]
+            more = len(run) if run.all() else int(run.argmin())
+            shard.add(own[:more], lang[:more], joined[:more])
+            asked = asked - more if more == len(run) else 0
+            if not asked:
+                break
+        return shard
 
 
 Rule = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
+def _blocks(x: np.ndarray) -> Iterator[np.ndarray]:
+    """An array in parts, so that what is made of it is small; one empty part of none."""
+    yield x[: 1 << 18]
+    for lo in range(1 << 18, len(x), 1 << 18):
+        yield x[lo : lo + (1 << 18)]
+
+
 def _grams(shard: Shard, longest: int, hashes: np.ndarray, keep: Rule) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
     """For each length the phrases that ``keep`` (language, occurrences, hash) chooses:
     languages, phrases, occurrences that begin at the shard's own words. A phrase is looked at
     where its first and its last words but one were kept."""
+    if not shard.size:
+        return
     whole = pa.chunked_array(shard.words).unify_dictionaries()
+    shard.words = []
     vocabulary = whole.chunk(0).dictionary.cast(pa.string())
     word = np.concatenate([c.indices.to_numpy() for c in whole.chunks])
     lang = np.concatenate(shard.lang)
     joined = np.concatenate(shard.joined)
-    if not len(word):
-        return
+    own_words = shard.size
+    shard.clear()
+    del whole
     letters, offsets = flat.text_bytes(vocabulary)
     word_hash = flat.span_hash(letters, offsets[:-1], offsets[1:])
     at = np.arange(len(word), dtype=np.int32)  # where the phrases looked at begin
-    key = lang.astype(np.int64) * len(vocabulary) + word
-    gram = np.full(len(word), -1, np.int32)  # number of the kept phrase that begins here
-    known = np.zeros(0, np.uint64)
+    gram, known = word, np.zeros(0, np.uint64)  # number and hash of the kept phrase that begins here
     for m in range(1, longest + 1):
         if m > 1:
-            at = at[at + m <= len(word)]
-            at = at[joined[at + m - 1] & (gram[at] >= 0) & (gram[at + 1] >= 0)]
-            key = gram[at].astype(np.int64) * len(known) + gram[at + 1]
-        if not len(at):
+            at = np.concatenate([x[joined[x + m - 1] & (gram[x] >= 0) & (gram[x + 1] >= 0)] for x in _blocks(at[: int(np.searchsorted(at, len(word) - m + 1))])])
+        after, kept, found = np.full(len(word), -1, np.int32), [], 0
+        part = np.concatenate([(gram[x] % _PARTS).astype(np.int8) for x in _blocks(at)])
+        for p in range(_PARTS):
+            here = at[part == p]
+            if not len(here):
+                continue
+            key = lang[here].astype(np.int64) if m == 1 else gram[here].astype(np.int64)
+            key *= len(vocabulary) if m == 1 else len(known)
+            key += gram[here if m == 1 else here + 1]
+            coded = pa.array(key).dictionary_encode()  # numbered as they come
+            inverse = coded.indices.to_numpy()
+            del key, coded
+            first = np.flatnonzero(np.diff(np.maximum.accumulate(inverse), prepend=-1))
+            begin = here[first]
+            before = hashes[lang[begin]] if m == 1 else known[gram[begin]]
+            own_hash = flat.mix(before * _STEP + word_hash[word[begin + m - 1]])
+            chosen = keep(lang[begin], np.bincount(inverse, minlength=len(begin)), own_hash)
+            number = np.full(len(begin), -1, np.int32)
+            number[chosen] = np.arange(found, found + int(chosen.sum()), dtype=np.int32)
+            after[here] = number[inverse]
+            found += int(chosen.sum())
+            kept.append(own_hash[chosen])
+            own = np.bincount(inverse[: int(np.searchsorted(here, own_words))], minlength=len(begin))[chosen]
+            begin = begin[chosen]
+            del inverse, first, before, own_hash, number
+            words = [vocabulary.take(pa.array(word[begin + k])) for k in range(m)]
+            yield lang[begin], pc.binary_join_element_wise(*words, " "), own
+        if not found:
             return
-        one, first, inverse, times = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        begin = at[first]
-        last = word_hash[word[begin + m - 1]]
-        before = hashes[lang[begin]] if m == 1 else known[gram[begin]]
-        own_hash = flat.mix(before * _STEP + last)
-        chosen = keep(lang[begin], times, own_hash)
-        number = np.full(len(one), -1, np.int32)
-        number[chosen] = np.arange(int(chosen.sum()), dtype=np.int32)
-        gram[:] = -1
-        gram[at] = number[inverse]
-        known = own_hash[chosen]
-        own = np.bincount(inverse[at < shard.size], minlength=len(one))[chosen]
-        begin = begin[chosen]
-        parts = [vocabulary.take(pa.array(word[begin + k])) for k in range(m)]
-        yield lang[begin], pc.binary_join_element_wise(*parts, " "), own
-        at = at[gram[at] >= 0]
+        gram, known = after, np.concatenate(kept)
+        del after
+        at = np.concatenate([x[gram[x] >= 0] for x in _blocks(at)])
 
 
 def _batches(langs: dict[str, int], lang: np.ndarray, phrase: pa.Array, *numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -193,17 +244,47 @@ def _batches(langs: dict[str, int], lang: np.ndarray, phrase: pa.Array, *numbers
         yield pa.RecordBatch.from_arrays([pa.array(names[lang[part]], pa.string()), phrase[part], *(pa.array(x[part].astype(np.int64)) for x in numbers)], names=["lang", "phrase", "f", "missed"][: 2 + len(numbers)])
 
 
+class Held:
+    """Rows (lang, phrase, numbers) that a task holds back, to add up those of one phrase."""
+
+    def __init__(self):
+        self.tables: list[pa.Table] = []
+        self.merged = 0  # rows that the last merge left
+
+    def add(self, batches: Iterator[pa.RecordBatch]) -> None:
+        self.tables += [pa.Table.from_batches([b]) for b in batches]
+        if sum(map(len, self.tables)) > 2 * self.merged + HELD_ROWS // 8:
+            self._merge()
+
+    def _merge(self) -> None:
+        if self.tables:
+            names = self.tables[0].column_names
+            self.tables = [pa.concat_tables(self.tables).group_by(names[:2]).aggregate([(c, "sum") for c in names[2:]]).rename_columns(names)]
+            self.merged = len(self.tables[0])
+
+    def over(self) -> Iterator[pa.RecordBatch]:
+        """All rows, once a merge leaves more than ``HELD_ROWS``."""
+        if self.merged > HELD_ROWS:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        self._merge()
+        for table in self.tables:
+            yield from table.combine_chunks().to_batches(1 << 16)
+        self.tables, self.merged = [], 0
+
+
 def _lang_hashes(langs: dict[str, int]) -> np.ndarray:
     return np.array([_lang_hash(x) for x in langs], np.uint64)
 
 
 def _mined(texts: DataFrame, total: dict[str, int], support: int, longest: int, shard_words: int) -> DataFrame:
-    """Rows (lang, phrase, f, missed): a phrase that is frequent in a shard, with its
+    """Rows (lang, phrase, f, missed): a phrase that is frequent in shards, with its
     occurrences there, and ``missed``, the most a phrase not named there can have. Phrase null:
-    the shard's words of the language."""
+    the shards' words of the language. The rows of a task's shards are added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shard_words, longest - 1)
+        reader, held = Reader(shard_words, longest - 1), Held()
         for shard in reader.shards(batches):
             asked = np.ones(len(reader.langs), np.int64)
             for name, k in reader.langs.items():
@@ -215,10 +296,12 @@ def _mined(texts: DataFrame, total: dict[str, int], support: int, longest: int,
                 words += np.bincount(own, minlength=len(asked))
                 at += len(lang)
             here = np.flatnonzero(words)
-            yield from _batches(reader.langs, here, pa.nulls(len(here), pa.string()), words[here], asked[here] - 1)
+            held.add(_batches(reader.langs, here, pa.nulls(len(here), pa.string()), words[here], asked[here] - 1))
             frequent = lambda lang, times, _: times >= asked[lang]
             for lang, phrase, own in _grams(shard, longest, _lang_hashes(reader.langs), frequent):
-                yield from _batches(reader.langs, lang, phrase, own, asked[lang] - 1)
+                held.add(_batches(reader.langs, lang, phrase, own, asked[lang] - 1))
+            yield from held.over()
+        yield from held.rest()
 
     return texts.mapInArrow(run, "lang string, phrase string, f long, missed long")
 
@@ -252,11 +335,12 @@ def _bit_map(phrases: DataFrame) -> np.ndarray:
 
 
 def _counted(texts: DataFrame, known: np.ndarray, longest: int, shard_words: int) -> DataFrame:
-    """Rows (lang, phrase, f) of the phrases that the bit map knows, by shard."""
+    """Rows (lang, phrase, f) of the phrases that the bit map knows: one a phrase and task, more
+    where a task meets more than ``HELD_ROWS`` of them."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shard_words, longest - 1)
+        reader, held = Reader(shard_words, longest - 1), Held()
 
         def listed(_, __, h: np.ndarray) -> np.ndarray:
             bit = h >> np.uint64(64 - MAP_BITS)
@@ -265,19 +349,24 @@ def _counted(texts: DataFrame, known: np.ndarray, longest: int, shard_words: int
         for shard in reader.shards(batches):
             for lang, phrase, own in _grams(shard, longest, _lang_hashes(reader.langs), listed):
                 some = own > 0
-                yield from _batches(reader.langs, lang[some], phrase.filter(pa.array(some)), own[some])
+                held.add(_batches(reader.langs, lang[some], phrase.filter(pa.array(some)), own[some]))
+            yield from held.over()
+        yield from held.rest()
 
     return texts.mapInArrow(run, "lang string, phrase string, f long")
 
 
 def frequent(docs: DataFrame, support: int = 100, longest: int = 5, shard_words: int = SHARD_WORDS, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
-    """All phrases of 1 to ``longest`` words that occur ``support`` times or more in a
-    language (lang, phrase, a), and the words of each language (lang, n)."""
+    """All phrases of 2 to ``longest`` words that occur ``support`` times or more in a
+    language, and their words (lang, phrase, a), and the words of each language (lang, n)."""
     spark = docs.sparkSession
     base = workspace(spark, "collocations")
     texts = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     sizes = texts.groupBy(F.coalesce("lang", F.lit("und")).alias("lang")).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n"))
     total = {r["lang"]: r["n"] for r in sizes.collect()}  # one row a language
+    # several partitions to a task: shards have more words and higher supports, and a phrase is
+    # counted in fewer tasks
+    texts = texts.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-sum(total.values()) // TASK_BYTES)))
     _mined(texts, total, support, longest, shard_words).write.parquet(f"{base}/mined")
     mined = spark.read.parquet(f"{base}/mined")
     langs = mined.where("phrase is null").groupBy("lang").agg(F.sum("f").alias("n"), F.sum("missed").alias("missed_in_all"))
@@ -285,7 +374,13 @@ def frequent(docs: DataFrame, support: int = 100, longest: int = 5, shard_words:
     langs = spark.createDataFrame([tuple(r) for r in langs.collect()], "lang string, n long, missed_in_all long")
     union = mined.where("phrase is not null").groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.sum("missed").alias("missed"))
     union = union.join(F.broadcast(langs), "lang").where(F.col("f") + F.col("missed_in_all") - F.col("missed") >= support)
-    counted = _counted(texts, _bit_map(union), longest, shard_words)
+    union.select("lang", "phrase").write.parquet(f"{base}/union")
+    union = spark.read.parquet(f"{base}/union")
+    # a word that is in no pair needs no count
+    pair = F.col("phrase").contains(" ")
+    in_pairs = union.where(F.size(F.split("phrase", " ")) == 2).select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
+    union = union.where(pair).unionAll(union.where(~pair).join(in_pairs, ["lang", "phrase"], "left_semi"))
+    counted = _counted(texts, _bit_map(union), longest, min(shard_words, COUNT_WORDS))
     counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("a")).where(F.col("a") >= support)
     counted.write.parquet(f"{base}/frequent")
     return spark.read.parquet(f"{base}/frequent"), langs.select("lang", "n")
@@ -297,7 +392,11 @@ def collocations(docs: DataFrame, support: int = 100, longest: int = 5, top: int
     of its lowest cut, of equal ones the first; phrases within a longer one that has
     ``within_percent`` of their occurrences are left out. Order: score and a downwards, phrase
     by its bytes."""
-    all_, langs = frequent(docs, support, longest, shard_words, text_col, lang_col)
+    return ranked(*frequent(docs, support, longest, shard_words, text_col, lang_col), top, within_percent)
+
+
+def ranked(all_: DataFrame, langs: DataFrame, top: int, within_percent: int) -> DataFrame:
+    """:func:`collocations` from frequent phrases (lang, phrase, a) and languages (lang, n)."""
     words = F.split("phrase", " ", -1)
     several = all_.where(F.size(words) > 1)
     # the parts of every cut, and what occurs inside a phrase with one word less
