@@ -94,11 +94,16 @@ def remove_file(spark: SparkSession, uri: str, into: str | None = None) -> bool:
 
 
 def copy_beginning(spark: SparkSession, path: str, to: str, part: float = 0.5) -> None:
-    """A new file with the first ``part`` of a file's bytes (for tests of damaged files)."""
+    """A new file with the first ``part`` of a small file's bytes (to see how damaged files are
+    read)."""
     fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    out = fs.create(jvm.org.apache.hadoop.fs.Path(to), True)
-    jvm.org.apache.hadoop.io.IOUtils.copyBytes(fs.open(p), out, int(fs.getFileStatus(p).getLen() * part), True)
+    source = fs.open(p)
+    out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to), True)
+    try:
+        out.write(bytearray(source.readNBytes(int(fs.getFileStatus(p).getLen() * part))))
+    finally:
+        out.close()
+        source.close()
 
 
 def _numbered(spark: SparkSession, path: str) -> list[tuple[int, str]]:
