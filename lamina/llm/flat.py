@@ -7,6 +7,7 @@ hash and worked on once. No step loops over characters in Python.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -25,7 +26,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Bytes of text worked on at once; one longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Bytes hashed at once.
 HASH_BYTES = 1 << 18
@@ -74,6 +75,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Free memory goes back to the machine: a worker lives on after its task, beside others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim is not None:
+        trim(0)
+
+
 def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) of about ``size`` bytes each."""
     lo, n = 0, len(offsets) - 1
@@ -81,6 +90,8 @@ def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE_BYTES) -> It
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
+    if n and offsets[-1] > SLICE_BYTES:
+        give_back()
 
 
 def cuts(data: np.ndarray, is_cut: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
