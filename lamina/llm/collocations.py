@@ -1,30 +1,27 @@
-"""Phrase collocations by language, mined by partitioning (SON).
+"""Phrase collocations by language, found level by level behind bit maps.
 
 A phrase is a run of words within one piece of a text (pieces end at punctuation and line
 breaks). It is a candidate if it occurs ``support`` times or more in its language.
 
-1. *Shards.* Every task mines the texts of its partition, in shards of a bounded number
-   of words. A shard that holds b of a language's B bytes of text finds all phrases that occur
-   ceil(support * b / B) times in it, level by level: a phrase of m words is looked at where its
-   first and its last m - 1 words are frequent in the shard. A phrase that misses this in every
-   shard occurs less than ``support`` times in all.
-2. *Union.* The local counts of a phrase are added up; where a shard has not named it, it
-   occurs at most one time less than was asked there. Phrases whose bound stays below
-   ``support`` go.
-3. *Exact counts.* A bit map of fixed size tells which phrases may be in the union. Every task
-   counts these in its texts again, one row a phrase and task, and the sums are exact: a
+1. *Levels.* For m = 1, 2, ... a pass over the texts counts the phrases of m words by a 64-bit hash
+   (language included); Spark adds the counts of all tasks up. What reaches the support sets a bit in a
+   map of fixed size, and the next pass looks only at phrases whose first and whose last m - 1 words are
+   in it. Equal hashes or bits of different phrases add candidates, none is lost: a phrase is never more
+   frequent than its parts.
+2. *Exact counts.* The maps of all levels together tell which phrases may be frequent. Every task
+   counts these in its texts, one row a phrase and task, and the sums are exact: a
    phrase whose bit is set by chance is counted in all tasks alike, and costs only its rows.
-   What reaches the support stays. Single words are counted if they are in a pair of the union.
-4. *Scores.* For each cut of a phrase in two, 1000 * a * n / (l * r) in decimals of 38 digits,
+   What reaches the support stays.
+3. *Scores.* For each cut of a phrase in two, 1000 * a * n / (l * r) in decimals of 38 digits,
    by joins of the frequent phrases with themselves. Phrases that occur inside a longer one
    nearly as often as alone go; it is enough to look one word further, as no longer phrase is
    more frequent than those inside.
 
-A phrase that a third of all texts hold is one row a shard or task in either shuffle. What goes to
-the driver: two numbers a language, and the bit map. A shard's memory is bounded by ``shard_words`` (some
-30 bytes a word) whatever a text's length: texts are read in windows, and a shard that ends
-inside a piece looks ahead at the next words of it. As ``support`` is an absolute number, local
-supports fall with the number of shards: larger shards make fewer candidates.
+The support is that of the whole table at every level, however many tasks there are. A phrase that a
+third of all texts hold is one row a task in each shuffle (some, where a task meets more than
+``HELD_ROWS`` phrases). What goes to the driver: two numbers a language, and the bit maps. A task's memory is bounded by
+``shard_words`` and ``HELD_ROWS`` whatever its text: texts are read in windows, and a shard that ends
+inside a piece looks ahead at the next words of it.
 
 Results for special cases: null and empty texts have no phrases. A null language is
 ``und``. Repeated rows count as often as they occur, ids have no influence. Very long texts
@@ -55,10 +52,10 @@ IS_CUT = ENDS_PIECE.copy()
 IS_CUT[[32, 9]] = True
 
 WINDOW_BYTES = 1 << 20
-SHARD_WORDS = 6_000_000
-#: Words of a shard where phrases are only counted, rows that a task holds back to add them up
-#: (a merge leaves that many at most), and bytes of text that a task counts at most (unless one partition has more).
-COUNT_WORDS, HELD_ROWS, TASK_BYTES = 2_000_000, 2_000_000, 1 << 30
+SHARD_WORDS = 2_000_000
+#: Rows that a task holds back to add them up (a merge leaves that many at most), and bytes of
+#: text that a task counts at most (unless one partition has more).
+HELD_ROWS, TASK_BYTES = 500_000, 1 << 30
 #: log2 of the bit map's size: 8 MB.
 MAP_BITS = 26
 #: Parts in which the phrases of a shard and length are counted one after the other.
@@ -137,11 +134,13 @@ class Reader:
         """Shards of about ``shard_words`` words. A task's last ones are of like size, half
         as much again at most: a small rest would have a support that everything reaches."""
         held: deque[tuple] = deque()
-        total = 0
+        total = widest = 0
         for window in self._windows(batches):
             held.append(window)
             total += len(window[0])
-            if total >= 2 * self.shard_words:
+            widest = max(widest, len(window[0]))
+            # a shard ends with a window, and the words ahead of it are held
+            if total >= max(2 * self.shard_words, self.shard_words + widest + self.ahead):
                 yield (shard := self._take(held, self.shard_words))
                 total -= shard.size
         for left in range(2 if total > 1.5 * self.shard_words else 1, 0, -1):
@@ -237,11 +236,11 @@ def _grams(shard: Shard, longest: int, hashes: np.ndarray, keep: Rule) -> Iterat
         at = np.concatenate([x[gram[x] >= 0] for x in _blocks(at)])
 
 
-def _batches(langs: dict[str, int], lang: np.ndarray, phrase: pa.Array, *numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _batches(langs: dict[str, int], lang: np.ndarray, phrase: pa.Array, f: np.ndarray) -> Iterator[pa.RecordBatch]:
     names = np.array(list(langs), object)
     for lo in range(0, len(lang), 1 << 16):
         part = slice(lo, lo + (1 << 16))
-        yield pa.RecordBatch.from_arrays([pa.array(names[lang[part]], pa.string()), phrase[part], *(pa.array(x[part].astype(np.int64)) for x in numbers)], names=["lang", "phrase", "f", "missed"][: 2 + len(numbers)])
+        yield pa.RecordBatch.from_arrays([pa.array(names[lang[part]], pa.string()), phrase[part], pa.array(f[part].astype(np.int64))], names=["lang", "phrase", "f"])
 
 
 class Held:
@@ -278,58 +277,94 @@ def _lang_hashes(langs: dict[str, int]) -> np.ndarray:
     return np.array([_lang_hash(x) for x in langs], np.uint64)
 
 
-def _mined(texts: DataFrame, total: dict[str, int], support: int, longest: int, shard_words: int) -> DataFrame:
-    """Rows (lang, phrase, f, missed): a phrase that is frequent in shards, with its
-    occurrences there, and ``missed``, the most a phrase not named there can have. Phrase null:
-    the shards' words of the language. The rows of a task's shards are added up."""
+class Sums:
+    """Numbers by 64-bit hash that a task adds up, ``HELD_ROWS`` hashes at most."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, held = Reader(shard_words, longest - 1), Held()
-        for shard in reader.shards(batches):
-            asked = np.ones(len(reader.langs), np.int64)
-            for name, k in reader.langs.items():
-                asked[k] = max(1, -(-support * shard.bytes.get(k, 0) // max(total.get(name, 0), 1)))
-            words = np.zeros(len(asked), np.int64)
-            at = 0
-            for lang in shard.lang:
-                own = lang[: max(0, shard.size - at)]
-                words += np.bincount(own, minlength=len(asked))
-                at += len(lang)
-            here = np.flatnonzero(words)
-            held.add(_batches(reader.langs, here, pa.nulls(len(here), pa.string()), words[here], asked[here] - 1))
-            frequent = lambda lang, times, _: times >= asked[lang]
-            for lang, phrase, own in _grams(shard, longest, _lang_hashes(reader.langs), frequent):
-                held.add(_batches(reader.langs, lang, phrase, own, asked[lang] - 1))
-            yield from held.over()
-        yield from held.rest()
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
 
-    return texts.mapInArrow(run, "lang string, phrase string, f long, missed long")
+    def add(self, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(np.unique(hashes, return_counts=True))
+        if sum(len(h) for h, _ in self.parts) > HELD_ROWS:
+            self._merge()
+            if len(self.parts[0][0]) > HELD_ROWS // 2:
+                yield from self.rest()
 
+    def _merge(self) -> None:
+        if len(self.parts) > 1:
+            own = np.concatenate([h for h, _ in self.parts])
+            order = np.argsort(own)
+            own = own[order]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+            n = np.concatenate([n for _, n in self.parts])[order]
+            self.parts = [(own[first], np.add.reduceat(n, first) if len(first) else n)]
 
-def _bit_map(phrases: DataFrame) -> np.ndarray:
-    """A bit for the hash of every phrase (lang, phrase); its size is fixed."""
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        self._merge()
+        for hashes, n in self.parts:
+            for lo in range(0, len(hashes), 1 << 16):
+                h = pa.array(hashes[lo : lo + (1 << 16)].view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.string()), h, pa.array(n[lo : lo + (1 << 16)].astype(np.int64))], names=["lang", "hash", "n"])
+        self.parts = []
+
+
+def _in_map(known: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit in the map."""
+    bit = h >> np.uint64(64 - MAP_BITS)
+    return (known[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _phrase_hashes(shard: Shard, m: int, seeds: np.ndarray, known: np.ndarray | None) -> np.ndarray:
+    """The hashes (as those of :func:`_grams`) of the phrases of ``m`` words that begin at the shard's
+    own words and whose first and last ``m`` - 1 words the map knows."""
+    own = []
+    for words in shard.words:
+        letters, offsets = flat.text_bytes(words.dictionary.cast(pa.string()))
+        own.append(flat.span_hash(letters, offsets[:-1], offsets[1:])[words.indices.to_numpy()])
+    word, lang, joined = np.concatenate(own), np.concatenate(shard.lang), np.concatenate(shard.joined)
+    del own
+    h = flat.mix(seeds[lang] * _STEP + word)
+    whole = np.ones(len(word), bool)
+    for k in range(2, m + 1):
+        n = max(0, len(word) - k + 1)
+        whole = whole[:n] & joined[k - 1 : k - 1 + n]
+        if k == m:
+            listed = _in_map(known, h)
+            whole &= listed[:n] & listed[1 : n + 1]
+        h = flat.mix(h[:n] * _STEP + word[k - 1 : k - 1 + n])
+    return h[: shard.size][whole[: shard.size]]
+
+
+def _level(texts: DataFrame, m: int, known: np.ndarray | None, shard_words: int) -> DataFrame:
+    """Rows (lang, hash, n): occurrences of the phrases of ``m`` words, by hash (``lang`` null), and for
+    ``m`` = 1 the words of each language (``hash`` null). The rows of a task's shards are added up."""
+    shared = None if known is None else texts.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = flat.text_bytes(batch.column(1))
-            starts, ends = flat.spans_between(data == 32, offsets)
-            phrase = flat.owner(offsets, starts)
-            word = flat.span_hash(data, starts, ends)
-            lang = batch.column(0).dictionary_encode()
-            own = np.array([_lang_hash(x) for x in lang.dictionary.to_pylist()], np.uint64)[lang.indices.to_numpy()]
-            nth = np.arange(len(phrase)) - np.searchsorted(phrase, phrase, "left")
-            for k in range(int(nth.max()) + 1 if len(nth) else 0):
-                here = nth == k
-                own[phrase[here]] = flat.mix(own[phrase[here]] * _STEP + word[here])
-            bit = np.unique(own >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-            if len(bit):
-                slot = bit >> 6
-                first = np.flatnonzero(np.diff(slot, prepend=-1))
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (bit & 63).astype(np.uint64), first)
-                yield pa.RecordBatch.from_arrays([pa.array(slot[first], pa.int32()), pa.array(bits.view(np.int64))], names=["slot", "bits"])
-
+        reader, sums, words = Reader(shard_words, m - 1), Sums(), {}
+        for shard in reader.shards(batches):
+            if not shard.size:
+                continue
+            if m == 1:
+                for k, n in enumerate(np.bincount(np.concatenate(shard.lang)[: shard.size]).tolist()):
+                    words[k] = words.get(k, 0) + n
+            yield from sums.add(_phrase_hashes(shard, m, _lang_hashes(reader.langs), shared and shared.value))
+            flat.give_back()
+        yield from sums.rest()
+        names = list(reader.langs)
+        own = {names[k]: n for k, n in words.items() if n}
+        if own:
+            yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.nulls(len(own), pa.int64()), pa.array(list(own.values()), pa.int64())], names=["lang", "hash", "n"])
+
+    return texts.mapInArrow(run, "lang string, hash long, n long")
+
+
+def _bit_map(hashes: DataFrame) -> np.ndarray:
+    """A bit for every ``hash``; the map's size is fixed."""
+    bit = F.shiftrightunsigned("hash", 64 - MAP_BITS)
+    slot, bits = F.shiftright(bit, 6).cast("int"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - MAP_BITS}) & 63 AS int))")
+    found = hashes.select(slot.alias("slot"), bits.alias("bits")).groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
-    found = phrases.select("lang", "phrase").mapInArrow(run, "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     out[found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return out
 
@@ -343,8 +378,7 @@ def _counted(texts: DataFrame, known: np.ndarray, longest: int, shard_words: int
         reader, held = Reader(shard_words, longest - 1), Held()
 
         def listed(_, __, h: np.ndarray) -> np.ndarray:
-            bit = h >> np.uint64(64 - MAP_BITS)
-            return (shared.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+            return _in_map(shared.value, h)
 
         for shard in reader.shards(batches):
             for lang, phrase, own in _grams(shard, longest, _lang_hashes(reader.langs), listed):
@@ -362,28 +396,26 @@ def frequent(docs: DataFrame, support: int = 100, longest: int = 5, shard_words:
     spark = docs.sparkSession
     base = workspace(spark, "collocations")
     texts = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sizes = texts.groupBy(F.coalesce("lang", F.lit("und")).alias("lang")).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n"))
-    total = {r["lang"]: r["n"] for r in sizes.collect()}  # one row a language
-    # several partitions to a task: shards have more words and higher supports, and a phrase is
-    # counted in fewer tasks
-    texts = texts.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-sum(total.values()) // TASK_BYTES)))
-    _mined(texts, total, support, longest, shard_words).write.parquet(f"{base}/mined")
-    mined = spark.read.parquet(f"{base}/mined")
-    langs = mined.where("phrase is null").groupBy("lang").agg(F.sum("f").alias("n"), F.sum("missed").alias("missed_in_all"))
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    # several partitions to a task: a phrase is counted in fewer tasks
+    texts = texts.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
+    known, any_level = None, np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    for m in range(1, longest + 1):
+        counts = _level(texts, m, known, shard_words)
+        if m == 1:
+            counts.write.parquet(f"{base}/words")
+            counts = spark.read.parquet(f"{base}/words")
+            langs = counts.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n"))
+        known = _bit_map(counts.where("hash is not null").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= support))
+        any_level |= known
+        if not known.any():
+            break
     # one row a language
-    langs = spark.createDataFrame([tuple(r) for r in langs.collect()], "lang string, n long, missed_in_all long")
-    union = mined.where("phrase is not null").groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.sum("missed").alias("missed"))
-    union = union.join(F.broadcast(langs), "lang").where(F.col("f") + F.col("missed_in_all") - F.col("missed") >= support)
-    union.select("lang", "phrase").write.parquet(f"{base}/union")
-    union = spark.read.parquet(f"{base}/union")
-    # a word that is in no pair needs no count
-    pair = F.col("phrase").contains(" ")
-    in_pairs = union.where(F.size(F.split("phrase", " ")) == 2).select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
-    union = union.where(pair).unionAll(union.where(~pair).join(in_pairs, ["lang", "phrase"], "left_semi"))
-    counted = _counted(texts, _bit_map(union), longest, min(shard_words, COUNT_WORDS))
+    langs = spark.createDataFrame([tuple(r) for r in langs.collect()], "lang string, n long")
+    counted = _counted(texts, any_level, longest, shard_words)
     counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("a")).where(F.col("a") >= support)
     counted.write.parquet(f"{base}/frequent")
-    return spark.read.parquet(f"{base}/frequent"), langs.select("lang", "n")
+    return spark.read.parquet(f"{base}/frequent"), langs
 
 
 def collocations(docs: DataFrame, support: int = 100, longest: int = 5, top: int = 2000, within_percent: int = 100, shard_words: int = SHARD_WORDS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

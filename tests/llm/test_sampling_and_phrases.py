@@ -285,6 +285,35 @@ def test_shards_and_windows_lose_no_phrase(monkeypatch, mixed, shard_words, wind
     assert dict(+got) == brute_frequent(mixed.collect(), 1, 5)[0]
 
 
+@pytest.mark.parametrize("shard_words", [3, 20, 10**6])
+def test_candidates_do_not_grow_with_the_number_of_shards(mixed, shard_words):
+    """The support holds at every level, also where there are more shards than it is: pairs are
+    counted only where both words reach it in the whole table."""
+    support, f = 40, brute_frequent(mixed.collect(), 1, 2)[0]
+    texts = mixed.select("text", "lang").coalesce(1)
+    words = collocations._level(texts, 1, None, shard_words).where("hash is not null")
+    known = collocations._bit_map(words.groupBy("hash").agg({"n": "sum"}).where(f"sum(n) >= {support}"))
+    often = {k for k, a in f.items() if len(k[1]) == 1 and a >= support}
+    assert int(np.bitwise_count(known).sum()) == len(often) < sum(len(k[1]) == 1 for k in f) / 2
+    pairs = [a for (lang, p), a in f.items() if len(p) == 2 and all((lang, (w,)) in often for w in p)]
+    got = collocations._level(texts, 2, known, shard_words).where("hash is not null").collect()
+    assert len(got) == len(pairs) and sum(r.n for r in got) == sum(pairs)
+
+
+def test_hash_counts_held_back_are_bounded(monkeypatch):
+    monkeypatch.setattr(collocations, "HELD_ROWS", 100)
+    rng, sums, got, want = np.random.default_rng(5), collocations.Sums(), collections.Counter(), collections.Counter()
+    for _ in range(50):
+        own = rng.integers(0, 300, 60).astype(np.uint64)
+        want.update(own.tolist())
+        for batch in sums.add(own):
+            got.update(dict(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)))
+        assert sum(len(h) for h, _ in sums.parts) <= 100
+    for batch in sums.rest():
+        got.update(dict(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)))
+    assert got == want
+
+
 def test_scores_beyond_64_bits(spark):
     """The products of the score pass 64 bits, the score does not."""
     langs = spark.createDataFrame([("en", 4 * 10**12)], "lang string, n long")
