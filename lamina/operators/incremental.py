@@ -35,7 +35,7 @@ def known_ids(persons: DataFrame, canon: DataFrame, stage: I.Stage, name: str) -
     are a table first: if they are few the planner sends them to the map, which is read where it
     lies and not shuffled."""
     asked = stage(persons.distinct(), f"{name}_asked")
-    found = asked.join(canon, F.col("p") == F.col("id")).select("id", "canonical_id")
+    found = I.shuffled(asked).join(canon, F.col("p") == F.col("id")).select("id", "canonical_id")
     return stage(found, f"{name}_known")
 
 
@@ -43,7 +43,7 @@ def contract_edges(edges: DataFrame, canon: DataFrame, stage: I.Stage, name: str
     """Edges between the canonical ids of their ends, without loops and repetitions."""
     work = I.drop_self_loops(edges.select("a", "b"))
     persons = work.select(F.col("a").alias("p")).unionByName(work.select(F.col("b").alias("p")))
-    known = known_ids(persons, canon, stage, name)
+    known = I.shuffled(known_ids(persons, canon, stage, name))
     for end in ("a", "b"):
         of_end = known.select(F.col("id").alias("_id"), F.col("canonical_id").alias("_canonical"))
         work = work.join(of_end, F.col(end) == F.col("_id"), "left")
@@ -73,7 +73,7 @@ def extend_canonical_ids(canon: DataFrame, new_edges: DataFrame, stage: I.Stage
     # mostly, new edges join what was joined already
     found = spark.createDataFrame([], S.CANONICAL) if edges.isEmpty() else I.canonical_ids(edges, method=method)
     merged = stage(found, "merged")
-    root = merged.select(F.col("id").alias("_root"), F.col("canonical_id").alias("_new"))
+    root = I.shuffled(merged).select(F.col("id").alias("_root"), F.col("canonical_id").alias("_new"))
     members = canon.join(root, F.col("canonical_id") == F.col("_root"))
     moved = members.select("id", F.col("canonical_id").alias("before"), F.col("_new").alias("canonical_id"))
     moved = moved.unionByName(merged.select("id", F.col("id").alias("before"), "canonical_id"))
