@@ -398,4 +398,4 @@ def test_pipeline_of_an_empty_table(spark, tmp_path, nothing):
 def test_every_operator_has_a_query():
     names = list(queries.queries())
     assert [n for n in names if n != "pipeline"] == sorted((n for n in names if n != "pipeline"), key=lambda n: int(n[2:].split("_")[0]))
-    assert len(names) == 11 and set(queries.oracle_sql()) <= set(names)
+    assert len(names) == 13 and set(queries.oracle_sql()) <= set(names)
