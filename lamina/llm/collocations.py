@@ -18,10 +18,10 @@ breaks). It is a candidate if it occurs ``support`` times or more in its languag
    more frequent than those inside.
 
 The support is that of the whole table at every level, however many tasks there are. A phrase that a
-third of all texts hold is one row a task in each shuffle (some, where a task meets more than
-``HELD_ROWS`` phrases). What goes to the driver: two numbers a language, and the bit maps. A task's memory is bounded by
-``shard_words`` and ``HELD_ROWS`` whatever its text: texts are read in windows, and a shard that ends
-inside a piece looks ahead at the next words of it.
+third of all texts hold is one row a task in each shuffle (some, where a task meets more phrases than half
+of ``HELD_ROWS``). What goes to the driver: two numbers a language, and the bit maps. A task's memory is bounded by
+``shard_words``, ``HELD_ROWS`` and ``BATCH_BYTES`` whatever its text: texts come in batches of a few MB and are read in
+windows, and a shard that ends inside a piece looks ahead at the next words of it.
 
 Results for special cases: null and empty texts have no phrases. A null language is
 ``und``. Repeated rows count as often as they occur, ids have no influence. Very long texts
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.llm import flat
-from lamina.session import workspace
+from lamina.session import arrow_batches, workspace
 
 #: Bytes that end a piece, and bytes between words.
 ENDS_PIECE = np.zeros(256, bool)
@@ -52,14 +52,17 @@ IS_CUT = ENDS_PIECE.copy()
 IS_CUT[[32, 9]] = True
 
 WINDOW_BYTES = 1 << 20
-SHARD_WORDS = 2_000_000
+#: Words worked on at once; only memory and time depend on it.
+SHARD_WORDS = 500_000
+#: Bytes of text that a task is given at once, as far as texts are of like length.
+BATCH_BYTES = 4 << 20
 #: Rows that a task holds back to add them up (a merge leaves that many at most), and bytes of
 #: text that a task counts at most (unless one partition has more).
 HELD_ROWS, TASK_BYTES = 500_000, 1 << 30
 #: log2 of the bit map's size: 8 MB.
 MAP_BITS = 26
 #: Parts in which the phrases of a shard and length are counted one after the other.
-_PARTS = 16
+_PARTS = 4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -98,9 +101,8 @@ class Reader:
         """Words, their languages, whether each follows the one before in its piece, and
         whether a next window's first word would. ``follows``: the first word does if no
         piece ends before it."""
-        data = flat.LOWER[data]
-        ends_piece = ENDS_PIECE[data]
-        starts, ends = flat.spans_between(IS_CUT[data], offsets)
+        ends_piece, cut = ENDS_PIECE[data], IS_CUT[data]
+        starts, ends = flat.spans_between(cut, offsets)
         if not len(starts):
             return pa.array([], pa.string()).dictionary_encode(), codes[:0], np.zeros(0, bool), follows and not ends_piece.any()
         text = flat.owner(offsets, starts)
@@ -111,7 +113,7 @@ class Reader:
         length = ends - starts
         at = np.zeros(len(length) + 1, np.int32)
         np.cumsum(length, out=at[1:])
-        letters = data[flat.ragged(starts, length)]
+        letters = flat.LOWER[data[~cut]]  # those of all words, one after the other
         words = pa.Array.from_buffers(pa.string(), len(length), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(letters.tobytes())])
         return words.dictionary_encode(), codes[text], joined, not ends_piece[ends[-1] :].any()
 
@@ -252,18 +254,18 @@ class Held:
 
     def add(self, batches: Iterator[pa.RecordBatch]) -> None:
         self.tables += [pa.Table.from_batches([b]) for b in batches]
-        if sum(map(len, self.tables)) > 2 * self.merged + HELD_ROWS // 8:
+        if sum(map(len, self.tables)) > HELD_ROWS:
             self._merge()
 
     def _merge(self) -> None:
         if self.tables:
             names = self.tables[0].column_names
-            self.tables = [pa.concat_tables(self.tables).group_by(names[:2]).aggregate([(c, "sum") for c in names[2:]]).rename_columns(names)]
-            self.merged = len(self.tables[0])
+            added = pa.concat_tables(self.tables).group_by(names[:2], use_threads=False).aggregate([(c, "sum") for c in names[2:]])
+            self.tables, self.merged = [added.rename_columns(names)], len(added)
 
     def over(self) -> Iterator[pa.RecordBatch]:
-        """All rows, once a merge leaves more than ``HELD_ROWS``."""
-        if self.merged > HELD_ROWS:
+        """All rows, once a merge leaves more than half of ``HELD_ROWS``."""
+        if self.merged > HELD_ROWS // 2:
             yield from self.rest()
 
     def rest(self) -> Iterator[pa.RecordBatch]:
@@ -384,7 +386,8 @@ def _counted(texts: DataFrame, known: np.ndarray, longest: int, shard_words: int
             for lang, phrase, own in _grams(shard, longest, _lang_hashes(reader.langs), listed):
                 some = own > 0
                 held.add(_batches(reader.langs, lang[some], phrase.filter(pa.array(some)), own[some]))
-            yield from held.over()
+                yield from held.over()
+            flat.give_back()
         yield from held.rest()
 
     return texts.mapInArrow(run, "lang string, phrase string, f long")
@@ -396,25 +399,26 @@ def frequent(docs: DataFrame, support: int = 100, longest: int = 5, shard_words:
     spark = docs.sparkSession
     base = workspace(spark, "collocations")
     texts = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    size, rows = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
     # several partitions to a task: a phrase is counted in fewer tasks
     texts = texts.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
     known, any_level = None, np.zeros(1 << (MAP_BITS - 6), np.uint64)
-    for m in range(1, longest + 1):
-        counts = _level(texts, m, known, shard_words)
-        if m == 1:
-            counts.write.parquet(f"{base}/words")
-            counts = spark.read.parquet(f"{base}/words")
-            langs = counts.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n"))
-        known = _bit_map(counts.where("hash is not null").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= support))
-        any_level |= known
-        if not known.any():
-            break
-    # one row a language
-    langs = spark.createDataFrame([tuple(r) for r in langs.collect()], "lang string, n long")
-    counted = _counted(texts, any_level, longest, shard_words)
-    counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("a")).where(F.col("a") >= support)
-    counted.write.parquet(f"{base}/frequent")
+    with arrow_batches(spark, max(1, BATCH_BYTES * rows // max(1, size))):
+        for m in range(1, longest + 1):
+            counts = _level(texts, m, known, shard_words)
+            if m == 1:
+                counts.write.parquet(f"{base}/words")
+                counts = spark.read.parquet(f"{base}/words")
+                langs = counts.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n"))
+            known = _bit_map(counts.where("hash is not null").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= support))
+            any_level |= known
+            if not known.any():
+                break
+        # one row a language
+        langs = spark.createDataFrame([tuple(r) for r in langs.collect()], "lang string, n long")
+        counted = _counted(texts, any_level, longest, shard_words)
+        counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("a")).where(F.col("a") >= support)
+        counted.write.parquet(f"{base}/frequent")
     return spark.read.parquet(f"{base}/frequent"), langs
 
 

@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import collocations, dominance, flat, resampling
 from lamina.llm.pieces import default_path
+from lamina.session import arrow_batches
 from .conftest import SCHEMA, rows, sentence
 
 
@@ -314,6 +316,61 @@ def test_hash_counts_held_back_are_bounded(monkeypatch):
     assert got == want
 
 
+def test_phrase_counts_held_back_are_bounded(monkeypatch):
+    """A task holds so many rows before it adds them up, whatever the last sum left."""
+    monkeypatch.setattr(collocations, "HELD_ROWS", 100)
+    rng, held, got, want = np.random.default_rng(5), collocations.Held(), collections.Counter(), collections.Counter()
+
+    def take(batches):
+        for b in batches:
+            for lang, phrase, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                got[lang, phrase] += n
+
+    for _ in range(60):
+        own, lang = rng.integers(0, 80, 20), rng.integers(0, 2, 20)
+        want.update(("xy"[k], str(x)) for k, x in zip(lang.tolist(), own.tolist(), strict=True))
+        held.add(collocations._batches({"x": 0, "y": 1}, lang, pa.array(map(str, own.tolist())), np.ones(20, int)))
+        assert sum(map(len, held.tables)) <= 100
+        take(held.over())
+    take(held.rest())
+    assert got == want
+
+
+def test_memory_of_a_level_is_bounded():
+    """Twelve MB of short words: what a task works on at once is a part of them."""
+    batch = pa.record_batch([pa.array(["ab cd ef gh " * 90_000] * 12), pa.array(["en"] * 12)], names=["text", "lang"])
+    seeds, every = np.arange(1, 9, dtype=np.uint64), np.full(1 << (collocations.MAP_BITS - 6), np.uint64(2**64 - 1))
+    reader, pairs = collocations.Reader(collocations.SHARD_WORDS, 1), 0
+    tracemalloc.start()
+    try:
+        for shard in reader.shards(iter([batch])):
+            pairs += len(collocations._phrase_hashes(shard, 2, seeds, every))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert pairs == 12 * (4 * 90_000 - 1)
+    assert peak < 100e6
+
+
+def test_texts_come_in_batches_of_bounded_bytes(spark, monkeypatch):
+    """Python gets few long texts at once, and the session keeps its own setting."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), []
+    level = collocations._level
+    monkeypatch.setattr(collocations, "_level", lambda *a: seen.append(spark.conf.get(key)) or level(*a))
+    docs = spark.range(0, 300, 1, 1).select(F.lit("a b " * 25_000).alias("text"), F.lit("en").alias("lang"))
+    collocations.frequent(docs)
+    assert seen and max(map(int, seen)) * 100_000 <= collocations.BATCH_BYTES
+    assert spark.conf.get(key) == before
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([len(b)])], names=["n"])
+
+    with arrow_batches(spark, 7):
+        assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) == 7
+
+
 def test_scores_beyond_64_bits(spark):
     """The products of the score pass 64 bits, the score does not."""
     langs = spark.createDataFrame([("en", 4 * 10**12)], "lang string, n long")
